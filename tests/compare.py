@@ -69,7 +69,7 @@ SAME_TYPE = {
 }
 
 
-def main() -> None:
+def main() -> None:  # noqa: D103
     import __spark_entry__ as entry
     from ticketry.session import get_spark
 

@@ -441,7 +441,7 @@ def _top3_hits(spark, d) -> DataFrame:
 add("a31_top_list_hit_rate", _top3_hits, on_population(
     "SELECT split, round(avg(cast(hit as int)), 6) AS acerto_top, count(*) AS n FROM (SELECT e.split, CASE WHEN k.top IS NULL THEN e.y = mo.m ELSE list_contains(k.top, e.y) END AS hit "
     f"FROM (SELECT *, {LABEL} AS y FROM ev) e CROSS JOIN mo LEFT JOIN (SELECT {_ITEM}, list({LABEL}) AS top FROM (SELECT {_ITEM}, {LABEL}, row_number() OVER (PARTITION BY {_ITEM} ORDER BY count(*) DESC, {LABEL}) AS rn "
-    f"FROM tr WHERE {_ITEM} IS NOT NULL GROUP BY ALL) WHERE rn <= 2 GROUP BY 1) k USING ({_ITEM})) GROUP BY 1", mode_cte("mo", "tr", None, LABEL, "m")))
+    f"FROM tr WHERE {_ITEM} IS NOT NULL GROUP BY {_ITEM}, {LABEL}) WHERE rn <= 2 GROUP BY 1) k USING ({_ITEM})) GROUP BY 1", mode_cte("mo", "tr", None, LABEL, "m")))
 add("m21_class_weights", lambda spark, d: rounded(B.class_weights(_train(modelled(spark, d)), LABEL, "peso")),
     on_population(f"SELECT {LABEL}, round((SELECT count(*) FROM tr) / ((SELECT count(DISTINCT {LABEL}) FROM tr) * count(*)), 6) AS peso FROM tr GROUP BY 1"))
 

@@ -1,2 +1,240 @@
-from ticketry.catalog.base import Catalog
+"""Forecast and text models on the whole stand-in tables.
+
+Fitted models have no counterpart in plain SQL; where a step does (single-feature regression,
+naive forecasts) the comparison SQL is given.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ticketry.catalog.analysis import CLASSES, LEVELS, TEXT, _judged, _train
+from ticketry.catalog.base import Catalog, dense_volume, modelled, on_series, rounded
+from ticketry.operators import alerts, checks, metrics as M, novelty as N, series as TS
+from ticketry.plans import registry, tickets_ml as ML, volume as V
+from ticketry.schema import LEAKAGE_COLUMNS, STAND_IN_RULES as R
+from ticketry.session import checkpoint_dir
+from ticketry.sources import stand_ins as SI
+
 catalog = Catalog()
+add = catalog.add
+
+
+def _models_dir(spark) -> str:
+    return f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+
+
+# -- volume ------------------------------------------------------------------------------
+def _stored_forecast(spark, d) -> V.Forecast:
+    """Train, save, load, check the feature contract, forecast."""
+    series = dense_volume(spark, d)
+    base = _models_dir(spark)
+    V.save(spark, base, V.train(series, R), R)
+    loaded = registry.load(spark, base, V.FAMILY)
+    features = TS.volume_features(series, R)
+    registry.require_features(loaded.metadata, [c for c in features.columns if c not in (TS.KEY, TS.DAY)])
+    return V.forecast(series, loaded.model, R, loaded.metadata["modelo"], loaded.metadata["versao"])
+
+
+add("m01_m10_volume_forecast", lambda spark, d: _stored_forecast(spark, d).rows)
+add("m09_volume_out_of_sample_metrics", lambda spark, d: _stored_forecast(spark, d).metrics)
+
+
+def _ridge_coefficients(spark, d) -> DataFrame:
+    train = V.training_frame(dense_volume(spark, d), R).where("split = 'TRAIN'")
+    return V.coefficients(V.fit(train, R.d7_features, "target_d7", V.Regressor("ridge", alpha=R.ridge_alpha)), R.d7_features, spark)
+
+
+add("m15_ridge_coefficients", _ridge_coefficients)
+
+
+def daily_dataset(spark, d) -> DataFrame:
+    """All candidate features of the dense daily series, composition included."""
+    rows = SI.tickets(spark, d, "data_abertura", "prioridade", "aberto_por", "incidente_pai").where(
+        (F.col("data_abertura") >= F.lit(R.start).cast("date")) & F.col("prioridade").isin(*CLASSES))
+    daily = TS.composition(rows, LEVELS, "monitoramento", "manual").withColumn(TS.KEY, F.lit("total"))
+    filled = TS.spine(daily).join(daily, [TS.KEY, TS.DAY], "left").fillna(0)
+    return V.experiment_dataset(filled, R)
+
+
+_E00 = ("d AS (SELECT *, cast(lead(volume_total, 7) OVER w AS double) AS y, cast(lag(volume_total, 7) OVER w AS double) AS x, cast(lag(volume_total, 6) OVER w AS double) AS nv, "
+        "lag(volume_total, 28) OVER w AS warm FROM serie WINDOW w AS (ORDER BY data_abertura))")
+
+
+def _cut(strategy: str) -> str:
+    a, b = (R.train_end, R.val_end) if strategy == "II" else (R.family_train_end, R.family_val_end)
+    return f"CASE WHEN data_abertura < DATE '{a}' THEN 'TRAIN' WHEN data_abertura < DATE '{b}' THEN 'VAL' ELSE 'TEST' END"
+
+
+def _small_experiments(spark, d) -> DataFrame:
+    series = TS.drop_warm_up(TS.with_naive(TS.with_targets(TS.with_lags(dense_volume(spark, d), R.lags))), ["lag_28"])
+    return V.experiment_table(series, [
+        V.VolumeExperiment("E00", (), V.Regressor("naive"), "D+7", "II"),
+        V.VolumeExperiment("E01", ("lag_7",), V.Regressor("linear"), "D+7", "I"),
+    ], R).drop("horizonte", "estrategia", "modelo")
+
+
+_EXP_SQL = ("round(avg(abs(y - p)), 3) AS mae, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, "
+            "round(100 * avg(CASE WHEN abs(y) + abs(p) = 0 THEN 0 ELSE 2 * abs(y - p) / (abs(y) + abs(p)) END), 3) AS smape_pct, "
+            "round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 3) AS r2, count(*) AS n")
+add("m02_m12_single_lag_experiments", _small_experiments, on_series(
+    f"SELECT 'E00' AS experimento, split, {_EXP_SQL} FROM (SELECT y, nv AS p, {_cut('II')} AS split FROM d WHERE warm IS NOT NULL AND y IS NOT NULL) GROUP BY 2 UNION ALL "
+    f"SELECT 'E01', split, {_EXP_SQL} FROM (SELECT e.split, y, greatest(b0 + b1 * x, 0) AS p FROM e, (SELECT regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0 FROM e WHERE split = 'TRAIN')) GROUP BY 2",
+    _E00, f"e AS (SELECT y, x, {_cut('I')} AS split FROM d WHERE warm IS NOT NULL AND y IS NOT NULL)"))
+
+add("m02_m12_volume_experiments", lambda spark, d: V.experiment_table(daily_dataset(spark, d), V.standard_experiments(R, ("D+7",)), R))
+
+
+def _grid(spark, d) -> DataFrame:
+    return V.experiment_table(daily_dataset(spark, d), V.alpha_grid(R.d7_features, (0.001, 0.1, 1, 10, 100)) + V.tree_grid(R.lag_columns, (2, 4), (50,)), R)
+
+
+add("m13_best_alpha_and_tree", lambda spark, d: V.best_on_val(_grid(spark, d)))
+
+
+def _finalists(spark, d) -> DataFrame:
+    lags = tuple(R.d7_features)
+    return V.finalists(V.experiment_table(daily_dataset(spark, d), [
+        V.VolumeExperiment("naive", (), V.Regressor("naive")),
+        V.VolumeExperiment("ridge", lags, V.Regressor("ridge", alpha=R.ridge_alpha)),
+        V.VolumeExperiment("forest", lags, V.Regressor("forest", depth=4, trees=100, min_rows=2)),
+    ], R))
+
+
+add("m14_finalists", _finalists)
+
+
+def _regression_thresholds(spark, d) -> DataFrame:
+    forecast = _stored_forecast(spark, d)
+    rows = alerts.volume_threshold(dense_volume(spark, d), R).unionByName(alerts.error_threshold(forecast.metrics))
+    return rows.drop("calculado_em")
+
+
+add("a15_a16_thresholds_of_the_model", _regression_thresholds)
+
+
+def _volume_checks(spark, d) -> DataFrame:
+    return checks.forecast_table(_stored_forecast(spark, d).rows).select("checagem", "ok")
+
+
+add("v11_model_forecast_checks", _volume_checks,
+    "SELECT unnest(['dois_horizontes', 'modelo_e_versao', 'd1_e_persistencia', 'previsao_nao_negativa']) AS checagem, true AS ok")
+
+# -- ticket text ---------------------------------------------------------------------------
+_SILVER = ("numero", "aberto", "data_abertura", "prioridade", "produto", TEXT)
+
+
+def silver(spark, d, *extra: str) -> DataFrame:
+    return SI.tickets(spark, d, *_SILVER, *extra)
+
+
+def fitted(spark, d) -> ML.FittedText:
+    """The production model, through the store."""
+    base = _models_dir(spark)
+    ML.save(spark, base, ML.train(silver(spark, d), R), R)
+    return ML.load(spark, base)
+
+
+def _unseen(spark, d) -> DataFrame:
+    return ML.predict_unseen(silver(spark, d), fitted(spark, d), R)[0]
+
+
+add("m03_m08_ticket_forecast", _unseen)
+add("m09_ticket_out_of_sample_metrics", lambda spark, d: ML.predict_unseen(silver(spark, d), fitted(spark, d), R)[1])
+add("v14_ticket_forecast_checks", lambda spark, d: checks.ticket_forecast_table(_unseen(spark, d), R).select("checagem", "ok"),
+    "SELECT unnest(['tabela_nao_vazia', 'classe_real_presente', 'modelo_e_versao', 'classe_prevista_valida']) AS checagem, true AS ok")
+
+
+def _prepared(spark, d, *extra: str) -> DataFrame:
+    return ML.prepared(modelled(spark, d, *extra), R)
+
+
+def _fit_here(spark, d) -> tuple[ML.FittedText, DataFrame]:
+    rows = _prepared(spark, d)
+    return ML.fit(_train(rows), ML.LABEL, ML.default_features(R), ML.TextModel("svc", c=R.svc_c)), rows
+
+
+def _ranked(spark, d) -> DataFrame:
+    model, rows = _fit_here(spark, d)
+    scored = ML.score(model, _judged(rows))
+    return scored.select("numero", "previsto", "score_vencedor", F.to_json("ranking").alias("ranking"))
+
+
+def _top_terms(spark, d) -> DataFrame:
+    model, _ = _fit_here(spark, d)
+    return ML.top_terms(model, spark)
+
+
+def _top_k(spark, d) -> DataFrame:
+    model, rows = _fit_here(spark, d)
+    scored = ML.score(model, _judged(rows))
+    hit = M.top_k_hit(ML.top_labels(k=2), F.col(ML.LABEL), 2)
+    return rounded(scored.groupBy("split").agg(F.avg(hit.cast("int")).alias("top2_accuracy"), F.count(F.lit(1)).alias("n")))
+
+
+add("m15_top_terms_per_class", _top_terms)
+add("m16_ranked_classes", _ranked)
+add("a41_top_k_accuracy", _top_k)
+
+
+def _suggestions(spark, d) -> DataFrame:
+    """Categories suggested for the tickets of the current regime that have none."""
+    rows = SI.tickets(spark, d, "numero", "data_abertura", "prioridade", "produto", "categoria", TEXT)
+    ready = ML.prepared(rows, R)
+    known = ready.where(F.col("categoria") != R.default_label)
+    learn = N.bucket_rare_labels(known, known, "categoria", "numero", 50)
+    what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), (), 1, 2, 5000)
+    N.require_no_leakage(what.columns, [c for c in LEAKAGE_COLUMNS if c != "categoria"])
+    model = ML.fit(learn, "categoria", what, ML.TextModel("logistic", max_iter=15))
+    open_ones = ready.where((F.col("categoria") == R.default_label) & (F.col("data_abertura") >= F.lit(R.regime_cut).cast("date")))
+    return ML.suggest(model, open_ones).select("numero", F.to_json("sugestoes").alias("sugestoes"))
+
+
+add("m17_category_suggestions", _suggestions)
+
+
+def _experiment_rows(spark, d) -> tuple[DataFrame, DataFrame]:
+    pop = modelled(spark, d, "aberto_por", "item_configuracao")
+    rows = ML.with_calendar(ML.prepared(pop, R).withColumn("texto_bruto", F.col(TEXT)))
+    rows = N.bucket_rare(_train(pop), rows, "item_configuracao", "numero", 5, out="item_config_prep")
+    rows = ML.text_variants(rows, "texto_bruto")
+    judged = N.with_seen_flag(_train(pop), rows.where("split = 'VAL'"), TEXT, "numero")
+    return _train(rows), judged
+
+
+def _text_experiments(spark, d) -> DataFrame:
+    return ML.experiment_table(*_experiment_rows(spark, d), ML.standard_experiments(), CLASSES)
+
+
+add("m12_text_experiments", _text_experiments)
+add("a48_text_experiment_pivot", lambda spark, d: M.experiment_pivot(ML.experiment_table(*_experiment_rows(spark, d), ML.standard_experiments()[1:3], CLASSES)))
+add("m18_text_variants", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), ML.variant_experiments(), CLASSES))
+add("m13_svc_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experiment_rows(spark, d), ML.svc_grid((0.5, 2.0), (1, 2), (1,)), CLASSES)))
+add("m13_class_weight_grid", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), ML.weight_grid((0.3, 3.0)), CLASSES))
+add("m13_tfidf_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experiment_rows(spark, d), ML.tfidf_grid((1, 2), (1, 5), (5000,)), CLASSES)))
+add("m07_forest_on_structure", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), [
+    ML.TextExperiment("B2_estrut_RF", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por", "item_config_prep")), ML.TextModel("forest", trees=50, depth=6, balanced=True)),
+    ML.TextExperiment("B1_estrut_LR", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por")), ML.TextModel("logistic", balanced=True)),
+], CLASSES))
+
+
+def _rare_cuts(spark, d) -> DataFrame:
+    rows = ML.prepared(modelled(spark, d, "categoria"), R)
+    what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), (), 1, 2, 5000)
+    return ML.rare_label_experiments(_train(rows), rows.where("split = 'VAL'"), "categoria", "numero", what, ML.TextModel("logistic", max_iter=15), (10, 30))
+
+
+add("p30_rare_cut_experiment", _rare_cuts)
+
+
+def _hybrid(spark, d) -> DataFrame:
+    model, rows = _fit_here(spark, d)
+    scored = ML.score(model, _judged(rows)).drop("ranking")
+    both = ML.hybrid(_train(rows), scored)
+    return both.select("numero", "previsto", "previsto_hibrido", "no_dicionario")
+
+
+add("j12_dictionary_with_model_fallback", _hybrid)

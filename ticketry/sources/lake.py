@@ -169,7 +169,7 @@ class Lake:
             target_day("data_referencia", "horizonte").alias("data_alvo"),
         )
         return self.merge("gold", name, out, ["data_referencia", "serie", "horizonte"],
-                          F.date_format("data_referencia", "yyyy-MM"))
+                          F.date_format("data_referencia", "yyyy"))
 
     def upsert_ticket_forecasts(self, forecasts: DataFrame, name: str = "previsoes_prioridade") -> int:
         out = forecasts.select(
