@@ -87,7 +87,7 @@ def main() -> None:  # noqa: D103
         try:
             ok, n, note = compare(spark, con, folder, query, sqls.get(name))
         except Exception as err:  # report and go on with the next query
-            ok, n, note = False, -1, f"{type(err).__name__}: {str(err)[:700]}"
+            ok, n, note = False, -1, f"{type(err).__name__}: {str(err).replace(chr(10), " ")[:4000]}"
         bad += not ok
         print(f"{'ok ' if ok else 'BAD'} {name:42s} {n:8d} rows {time.time() - start:6.2f}s {note}", flush=True)
     print(f"{bad} differ")

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
+    LinearSVC, LinearSVCModel, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.feature import (
     IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer,
@@ -179,7 +179,25 @@ def fit(train: DataFrame, label: str, what: TextFeatures, how: TextModel) -> Fit
     ready = keep(matrix.transform(index.transform(train)).select("features", "_y", *(["peso"] if how.balanced else [])))
     fitted = how.estimator(ready.count()).fit(ready)
     ready.unpersist()
-    return FittedText(PipelineModel([*matrix.stages, fitted]), list(index.labels), what)
+    return FittedText(PipelineModel([*matrix.stages, *_scoring_stages(fitted)]), list(index.labels), what)
+
+
+def _scoring_stages(fitted) -> list:
+    """One stage per class for a one-against-rest model, so that scoring stays in the JVM."""
+    if not hasattr(fitted, "models"):
+        return [fitted]
+    out = []
+    for i, one in enumerate(fitted.models):
+        out.append(one.setFeaturesCol("features").setRawPredictionCol(f"_raw_{i}").setPredictionCol(f"_pred_{i}"))
+    return out
+
+
+def _margins(stages: list):
+    """Score of every class, in the order of the labels."""
+    binary = [m for m in stages if isinstance(m, LinearSVCModel)]
+    if not binary:
+        return vector_to_array(F.col("rawPrediction"))
+    return F.array(*[vector_to_array(F.col(m.getRawPredictionCol()))[1] for m in binary])
 
 
 def score(fitted: FittedText, rows: DataFrame, out: str = "previsto") -> DataFrame:
@@ -187,14 +205,13 @@ def score(fitted: FittedText, rows: DataFrame, out: str = "previsto") -> DataFra
 
     The score of a margin classifier is no probability.
     """
-    kept = rows.columns
     labels = F.array(*[F.lit(x) for x in fitted.labels])
-    scored = fitted.model.transform(rows)
-    raw = vector_to_array(F.col("rawPrediction"))
-    ranked = F.reverse(F.array_sort(F.arrays_zip(raw.alias("score"), labels.alias("classe"))))
-    return scored.select(
-        *kept, F.element_at(labels, F.col("prediction").cast("int") + 1).alias(out),
-        F.array_max(raw).alias("score_vencedor"), ranked.alias("ranking"))
+    scores = _margins(fitted.model.stages)
+    by_rank = F.array_sort(F.arrays_zip(F.transform(scores, lambda x: -x).alias("menos"), labels.alias("classe")))
+    ranked = F.transform(by_rank, lambda x: F.struct((-x["menos"]).alias("score"), x["classe"].alias("classe")))
+    scored = fitted.model.transform(rows).select(*rows.columns, ranked.alias("ranking"))
+    return scored.withColumns({
+        out: F.col("ranking")[0]["classe"], "score_vencedor": F.col("ranking")[0]["score"]})
 
 
 def top_labels(ranking: str = "ranking", k: int = 3):
@@ -275,11 +292,11 @@ def top_terms(fitted: FittedText, spark, k: int = 12) -> DataFrame:
     The weights are part of the model and already on the driver; only the ``k`` best leave it.
     """
     names = feature_names(fitted.model, fitted.what)
-    last = fitted.model.stages[-1]
-    if hasattr(last, "models"):
-        weights = [m.coefficients.toArray() for m in last.models]
+    binary = [m for m in fitted.model.stages if isinstance(m, LinearSVCModel)]
+    if binary:
+        weights = [m.coefficients.toArray() for m in binary]
     else:
-        weights = list(last.coefficientMatrix.toArray())
+        weights = list(fitted.model.stages[-1].coefficientMatrix.toArray())
     rows = []
     for label, w in zip(fitted.labels, weights):
         for place, i in enumerate(w.argsort()[::-1][:k]):
