@@ -183,12 +183,16 @@ def fit(train: DataFrame, label: str, what: TextFeatures, how: TextModel) -> Fit
 
 
 def _scoring_stages(fitted) -> list:
-    """One stage per class for a one-against-rest model, so that scoring stays in the JVM."""
+    """One stage per class for a one-against-rest model, so that scoring stays in the JVM.
+
+    A fitted binary model drags its training summary, and with it the session, into every task;
+    a copy leaves the summary behind.
+    """
     if not hasattr(fitted, "models"):
         return [fitted]
     out = []
     for i, one in enumerate(fitted.models):
-        out.append(one.setFeaturesCol("features").setRawPredictionCol(f"_raw_{i}").setPredictionCol(f"_pred_{i}"))
+        out.append(one.copy().setFeaturesCol("features").setRawPredictionCol(f"_raw_{i}").setPredictionCol(f"_pred_{i}"))
     return out
 
 
