@@ -76,7 +76,7 @@ def clean(raw: DataFrame, rules: Rules = Rules(), strict: bool = True, date_form
         stop = F.raise_error(F.concat(F.lit("broken ticket "), F.coalesce("numero", F.lit("NULL")), F.lit(": "), broken))
         df = df.withColumn(
             "duracao_segundos",
-            F.when(broken == "", F.col("_seconds").cast("long")).otherwise(stop.cast("long")),
+            F.when(sum(tests.values(), F.lit(0)) == 0, F.col("_seconds").cast("long")).otherwise(stop.cast("long")),
         )
     else:
         df = df.withColumn("duracao_segundos", F.col("_seconds").cast("long"))

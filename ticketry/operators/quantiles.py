@@ -29,6 +29,7 @@ def exact_quantiles(
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_v")).agg(n.cast("long").alias("_n"))
         .withColumn("_bin", F.floor(F.col("_v") / F.lit(float(width))).cast("long"))
+        .where(F.col("_bin").isNotNull())  # stated here so that both readers share one exchange
     )
     group = Window.partitionBy(*by)
     running = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -8,6 +8,7 @@ in force. Merged and appended tables live in one folder of their own.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +65,9 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path(layer, name)}/{folder}")
         n = int(seen.get.get("n") or 0)
-        self.spark.createDataFrame([(version, folder, n)], _COMMIT).coalesce(1).write.mode("append").json(
-            f"{self.path(layer, name)}/commits"
-        )
+        commit = self.spark.range(0, 1, 1, 1).select(
+            F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"), F.lit(n).cast("long").alias("n_rows"))
+        commit.write.mode("append").json(f"{self.path(layer, name)}/commits")
         return n
 
     def table(self, layer: str, name: str) -> DataFrame:
@@ -93,7 +94,10 @@ class Lake:
         return self.replace("bronze", name, out)
 
     def replace_all(self, layer: str, frames: dict[str, DataFrame]) -> dict[str, int]:
-        return {name: self.replace(layer, name, df) for name, df in frames.items()}
+        """Several full loads; the jobs are independent and share the cluster, a few at a time."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            loads = {name: pool.submit(self.replace, layer, name, df) for name, df in frames.items()}
+            return {name: load.result() for name, load in loads.items()}
 
     # -- append-only tables ------------------------------------------------------------
     def append(self, layer: str, name: str, df: DataFrame) -> int:
