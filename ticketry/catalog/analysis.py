@@ -14,6 +14,7 @@ from ticketry.catalog.base import (
 from ticketry.functions import columns as C
 from ticketry.functions import text as T
 from ticketry.operators import alerts, baselines as B, checks, metrics as M, novelty as N, quantiles as Q, series as TS, stats as S
+from ticketry.operators.lookups import digested
 from ticketry.schema import STAND_IN_RULES as R
 from ticketry.sources import stand_ins as SI
 
@@ -193,7 +194,7 @@ add("a24_column_profile", lambda spark, d: S.profile(SI.tickets(spark, d, *_PROF
     + " UNION ALL ".join(_profile_sql(c) for c in _PROFILED) + ")"))
 add("a24_time_range", lambda spark, d: S.time_range(SI.tickets(spark, d, "aberto"), "aberto"), on_tickets("SELECT min(aberto) AS inicio, max(aberto) AS fim FROM tickets"))
 add("a24_approx_distinct", lambda spark, d: S.approx_distinct(SI.tickets(spark, d, "numero", "item_configuracao"), ["numero", "item_configuracao"]))
-add("a25_duplicate_documents", lambda spark, d: S.duplicate_rows(SI.texts(spark, d), ["text", "lang"]), with_ctes(
+add("a25_duplicate_documents", lambda spark, d: S.duplicate_rows(digested(SI.texts(spark, d), "text"), ["text", "lang"]), with_ctes(
     "SELECT cast(sum(n) as bigint) AS linhas, cast(sum(n - 1) as bigint) AS duplicadas, cast(round(cast(100.0e0 * sum(n - 1) / sum(n) as decimal(30, 12)), 2) as double) AS pct FROM (SELECT count(*) AS n FROM texts GROUP BY text, lang)", SI.TEXTS_CTE))
 
 
@@ -252,7 +253,7 @@ add("a43_feature_correlations",
               "lag(volume_total, 28) OVER (ORDER BY data_abertura) AS lag_28 FROM serie) WHERE lag_28 IS NOT NULL)"))
 add("a44_text_repetition", lambda spark, d: rounded(S.repetition_rate(SI.tickets(spark, d, "descricao_resumida"), "descricao_resumida")),
     on_tickets("SELECT count(DISTINCT descricao_resumida) AS distintos, count(*) AS linhas, round(1 - count(DISTINCT descricao_resumida) / count(*), 6) AS taxa_repeticao FROM tickets"))
-add("a44_document_repetition", lambda spark, d: rounded(S.repetition_rate(SI.texts(spark, d), "text")),
+add("a44_document_repetition", lambda spark, d: rounded(S.repetition_rate(digested(SI.texts(spark, d), "text"), "text")),
     with_ctes("SELECT count(DISTINCT text) AS distintos, count(*) AS linhas, round(1 - count(DISTINCT text) / count(*), 6) AS taxa_repeticao FROM texts", SI.TEXTS_CTE))
 add("a45_duration_histogram", lambda spark, d: rounded(S.histogram(SI.tickets(spark, d, "duracao_segundos"), "duracao_segundos")),
     on_tickets("SELECT faixa, count(*) AS qtd, round(max(a) + (max(b) - max(a)) / 40.0e0 * (faixa - 1), 6) AS inicio FROM (SELECT cast(least(floor((duracao_segundos - a) / ((b - a) / 40.0e0)) + 1, 40) as int) AS faixa, a, b "
@@ -307,7 +308,7 @@ add("p27_novelty_counts", _novelty_counts, on_population("SELECT split, categori
 
 def _documents_seen(spark, d) -> DataFrame:
     docs = SI.texts(spark, d)
-    return N.with_seen_flag(_train(docs), _judged(docs), "text", "doc_id").select("doc_id", "split", "seen_in_train")
+    return N.with_seen_flag(_train(docs), _judged(docs), "text", "doc_id", long_text=True).select("doc_id", "split", "seen_in_train")
 
 
 add("j07_documents_seen_in_train", _documents_seen, with_ctes(
@@ -316,7 +317,7 @@ add("j07_documents_seen_in_train", _documents_seen, with_ctes(
 
 def _documents_seen_counts(spark, d) -> DataFrame:
     docs = SI.texts(spark, d)
-    return N.seen_counts(_train(docs), _judged(docs), "text", ["split", "lang"])
+    return N.seen_counts(_train(docs), _judged(docs), "text", ["split", "lang"], long_text=True)
 
 
 add("j07_documents_seen_counts", _documents_seen_counts, with_ctes(

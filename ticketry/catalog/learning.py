@@ -15,7 +15,7 @@ from ticketry.catalog.analysis import CLASSES, LEVELS, TEXT, _judged, _train
 from ticketry.catalog.base import Catalog, dense_volume, modelled, on_series, rounded
 from ticketry.operators import alerts, checks, metrics as M, novelty as N, series as TS
 from ticketry.plans import registry, tickets_ml as ML, volume as V
-from ticketry.schema import LEAKAGE_COLUMNS, STAND_IN_RULES as R
+from ticketry.schema import STAND_IN_RULES as R
 from ticketry.session import checkpoint_dir
 from ticketry.sources import stand_ins as SI
 
@@ -43,6 +43,12 @@ add("m01_m10_volume_forecast", lambda spark, d: _stored_forecast(spark, d).rows)
 add("m09_volume_out_of_sample_metrics", lambda spark, d: _stored_forecast(spark, d).metrics)
 
 
+add("w12_persistence_rows",
+    lambda spark, d: (lambda s: V.persistence_rows(s, s.where(F.col("data_abertura") >= F.lit(R.val_end).cast("date"))))(dense_volume(spark, d)),
+    on_series(f"SELECT data_abertura AS data_referencia, serie, 'D+1' AS horizonte, cast(volume_total as double) AS valor_previsto, 'persistencia' AS modelo_utilizado, "
+              f"'1.0' AS versao_modelo FROM serie WHERE data_abertura >= DATE '{R.val_end}'"))
+
+
 def _ridge_coefficients(spark, d) -> DataFrame:
     train = V.training_frame(dense_volume(spark, d), R).where("split = 'TRAIN'")
     return V.coefficients(V.fit(train, R.d7_features, "target_d7", V.Regressor("ridge", alpha=R.ridge_alpha)), R.d7_features, spark)
@@ -180,19 +186,45 @@ add("m16_ranked_classes", _ranked)
 add("a41_top_k_accuracy", _top_k)
 
 
+_CATEGORY_COLUMNS = ("numero", "aberto", "data_abertura", "prioridade", "produto", "categoria", "item_configuracao", "aberto_por", TEXT)
+
+
+def _category_rows(spark, d) -> DataFrame:
+    return ML.prepared(ML.category_population(SI.tickets(spark, d, *_CATEGORY_COLUMNS), R, extra=("item_configuracao", "aberto_por")), R)
+
+
 def _suggestions(spark, d) -> DataFrame:
     """Categories suggested for the tickets of the current regime that have none."""
-    rows = SI.tickets(spark, d, "numero", "data_abertura", "prioridade", "produto", "categoria", TEXT)
-    ready = ML.prepared(rows, R)
-    known = ready.where(F.col("categoria") != R.default_label)
+    rows = _category_rows(spark, d)
+    known = rows.where("rotulado")
     learn = N.bucket_rare_labels(known, known, "categoria", "numero", 50)
     what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), (), 1, 2, 5000)
-    N.require_no_leakage(what.columns, [c for c in LEAKAGE_COLUMNS if c != "categoria"])
     model = ML.fit(learn, "categoria", what, ML.TextModel("logistic", max_iter=15))
-    open_ones = ready.where((F.col("categoria") == R.default_label) & (F.col("data_abertura") >= F.lit(R.regime_cut).cast("date")))
+    open_ones = rows.where(~F.col("rotulado") & (F.col("data_abertura") >= F.lit(R.regime_cut).cast("date")))
     return ML.suggest(model, open_ones).select("numero", F.to_json("sugestoes").alias("sugestoes"))
 
 
+def _category_experiments(spark, d) -> DataFrame:
+    """Category families on the labelled tickets, rare labels grouped by the TRAIN counts."""
+    known = _category_rows(spark, d).where("rotulado")
+    train = known.where("split = 'TRAIN'")
+    rows = N.bucket_rare(train, known, "item_configuracao", "numero", 5, "RARO", None, "_ic_bucket")
+    rows = N.with_frequency(rows.where("split = 'TRAIN'"), rows, "_ic_bucket", "numero")
+    rows = ML.with_calendar_labels(N.bucket_rare_labels(train, rows, "categoria", "numero", 30))
+    judged = N.with_seen_flag(train, rows.where("split = 'VAL'"), TEXT, "numero")
+    picked = [e for e in ML.category_experiments(max_iter=15, forest_trees=30) if e.how.kind != "svc"]
+    return ML.experiment_table(rows.where("split = 'TRAIN'"), judged, picked)
+
+
+def _internal_novelty(spark, d) -> DataFrame:
+    """The production features judged inside TRAIN: earlier months against later ones."""
+    months = R.priority_train_months
+    early, late = ML.months_apart(_train(_prepared(spark, d)), months[:5], months[5:])
+    return ML.experiment_table(early, late, [ML.TextExperiment("E09_Novidade_Interna", ML.default_features(R), ML.TextModel("svc"))], CLASSES)
+
+
+add("m12_category_experiments", _category_experiments)
+add("m12_internal_novelty", _internal_novelty)
 add("m17_category_suggestions", _suggestions)
 
 
@@ -222,9 +254,9 @@ add("m07_forest_on_structure", lambda spark, d: ML.experiment_table(*_experiment
 
 
 def _rare_cuts(spark, d) -> DataFrame:
-    rows = ML.prepared(modelled(spark, d, "categoria"), R)
+    rows = _category_rows(spark, d).where("rotulado")
     what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), (), 1, 2, 5000)
-    return ML.rare_label_experiments(_train(rows), rows.where("split = 'VAL'"), "categoria", "numero", what, ML.TextModel("logistic", max_iter=15), (10, 30))
+    return ML.rare_label_experiments(rows.where("split = 'TRAIN'"), rows.where("split = 'VAL'"), "categoria", "numero", what, ML.TextModel("logistic", max_iter=15), (10, 30))
 
 
 add("p30_rare_cut_experiment", _rare_cuts)

@@ -229,7 +229,8 @@ add("p23_p26_text_columns",
         f"trim(coalesce({template_sql('descricao_resumida')}, '') || ' ' || tok) AS modelo_e_itens, split_part(descricao_resumida, ':', 1) AS prefixo "
         "FROM (SELECT *, coalesce(array_to_string(list_transform(regexp_extract_all(descricao_resumida, 'IC\\p{Nd}+'), lambda x: 'TOKEN_' || x), ' '), '') AS tok FROM tickets)"))
 add("p24_document_templates",
-    lambda spark, d: SI.texts(spark, d).select("doc_id", F.md5(T.as_template("text").cast("binary")).alias("modelo_md5")))
+    lambda spark, d: SI.texts(spark, d).select("doc_id", F.md5(T.as_template("text").cast("binary")).alias("modelo_md5")),
+    f"SELECT doc_id, md5({template_sql('text')}) AS modelo_md5 FROM documents")
 add("p32_recoded_columns",
     lambda spark, d: SI.tickets(spark, d, "numero", "prioridade", "aberto_por", "incidente_pai").select(
         "numero", C.recode("prioridade", {"4 - Baixa": 0, "3 - Média": 1, "2 - Alta": 2}).alias("nivel"), F.lower("aberto_por").alias("canal"),

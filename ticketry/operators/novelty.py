@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketry.functions import text as T
-from ticketry.operators.lookups import known_keys, lookup_join
+from ticketry.operators.lookups import digested, known_keys, lookup_join
 from ticketry.schema import LEAKAGE_COLUMNS
+from ticketry.session import keep
 
 # --- fixed values: the four novelty classes, nearest first -------------------------------
 EXACT = "Exact Match"
@@ -34,7 +35,7 @@ def text_novelty(train: DataFrame, texts: DataFrame, column: str) -> DataFrame:
     """
     distinct = texts.where(F.col(column).isNotNull()).select(column).distinct()
     keyed = distinct.withColumns({"_norm": T.as_template(column), "_prefix": T.before_colon(column)})
-    seen = train.select(column).where(F.col(column).isNotNull()).distinct()
+    seen = keep(train.select(column).where(F.col(column).isNotNull()).distinct())
     norms = seen.select(T.as_template(column).alias("_norm")).distinct().withColumn("_norm_known", F.lit(True))
     prefixes = seen.select(T.before_colon(column).alias("_prefix")).distinct().withColumn("_prefix_known", F.lit(True))
     out = keyed.join(seen.withColumn("_exact", F.lit(True)), column, "left")
@@ -60,14 +61,25 @@ def novelty_counts(train: DataFrame, rows: DataFrame, column: str, by: Sequence[
         F.sum("_n").alias("n"))
 
 
-def with_seen_flag(train: DataFrame, rows: DataFrame, column: str, row_id: str, flag: str = "seen_in_train") -> DataFrame:
-    """``rows`` plus whether their value of ``column`` occurs in ``train``."""
-    out = lookup_join(rows, known_keys(train, [column], flag), [column], [row_id])
-    return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+def with_seen_flag(train: DataFrame, rows: DataFrame, column: str, row_id: str, flag: str = "seen_in_train",
+                   long_text: bool = False) -> DataFrame:
+    """``rows`` plus whether their value of ``column`` occurs in ``train``.
+
+    ``long_text`` compares digests and so keeps the texts themselves out of the shuffle.
+    """
+    key = column
+    if long_text:
+        key = "_digest"
+        rows = rows.withColumn(key, F.sha2(column, 256))
+        train = train.select(F.sha2(column, 256).alias(key))
+    out = lookup_join(rows, known_keys(train, [key], flag), [key], [row_id]).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return out.drop("_digest") if long_text else out
 
 
-def seen_counts(train: DataFrame, rows: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+def seen_counts(train: DataFrame, rows: DataFrame, column: str, by: Sequence[str], long_text: bool = False) -> DataFrame:
     """Rows per slice with a value known from ``train``, and without."""
+    if long_text:
+        train, rows = digested(train, column), digested(rows, column)
     counts = rows.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
     known = known_keys(train, [column], "_known")
     return counts.join(known, column, "left").groupBy(

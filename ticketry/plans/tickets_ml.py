@@ -42,6 +42,17 @@ def population(silver: DataFrame, rules: Rules = Rules(), extra: Sequence[str] =
     ).select("numero", "aberto", "data_abertura", LABEL, "produto", TEXT, *extra)
 
 
+def category_population(silver: DataFrame, rules: Rules = Rules(), priorities: Sequence[str] | None = None,
+                        extra: Sequence[str] = ()) -> DataFrame:
+    """Tickets of the two upper modelled priorities with a flag for those that carry a category,
+    split by opening day around the regime change."""
+    priorities = list(priorities or rules.priority_classes[:2])
+    labelled = F.col("categoria").isNotNull() & (F.col("categoria") != rules.default_label)
+    return silver.where(F.col(LABEL).isin(*priorities)).select(
+        "numero", "aberto", "data_abertura", LABEL, "produto", "categoria", TEXT, *extra,
+        labelled.alias("rotulado"), C.split_by_cuts("data_abertura", rules.family_train_end, rules.family_val_end).alias("split"))
+
+
 def prepared(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Text without NULLs; the default product label becomes the model's own unknown label."""
     product = F.coalesce(F.col("produto"), F.lit(rules.unknown_product))
@@ -365,6 +376,39 @@ def standard_experiments() -> list[TextExperiment]:
     ]
 
 
+def category_experiments(max_iter: int = 50, forest_trees: int = 300) -> list[TextExperiment]:
+    """Category families: text, structure, both; then calendar columns one-hot, and no channel."""
+    lr, svm = TextModel("logistic", balanced=True, max_iter=max_iter), TextModel("svc", balanced=True, max_iter=max_iter)
+    text = dict(max_ngram=1, min_df=2, max_features=5000)
+    structure, number = (LABEL, PRODUCT, "aberto_por"), ("freq_log",)
+    calendar = ("hora_txt", "dia_txt", "mes_txt")
+
+    def make(name, block, categories, how, numbers=number):
+        return TextExperiment(name, TextFeatures(block, categories, numbers, **text), how, "categoria")
+
+    return [
+        make("A1_texto_LR", TEXT, (), lr, ()), make("A2_texto_SVM", TEXT, (), svm, ()),
+        make("B1_estrut_LR", None, structure, lr),
+        make("B2_estrut_RF", None, structure, TextModel("forest", balanced=True, trees=forest_trees)),
+        make("C1_hibrido_LR", TEXT, structure, lr), make("C2_hibrido_SVM", TEXT, structure, svm),
+        make("exp09_com_temporal", TEXT, structure + calendar, svm), make("exp12_sem_aberto_por", TEXT, structure[:2], svm),
+    ]
+
+
+def with_calendar_labels(df: DataFrame) -> DataFrame:
+    """Hour, weekday and month as text, for one-hot blocks."""
+    return df.withColumns({
+        "hora_txt": F.hour("aberto").cast("string"), "dia_txt": C.monday_zero("aberto").cast("string"),
+        "mes_txt": F.month("aberto").cast("string")})
+
+
+def months_apart(train_rows: DataFrame, learn: Sequence[str], judge: Sequence[str], row_id: str = "numero") -> tuple[DataFrame, DataFrame]:
+    """Split the training rows once more by month, with the seen flag against the earlier part."""
+    month = C.month_label("aberto")
+    early, late = train_rows.where(month.isin(*learn)), train_rows.where(month.isin(*judge))
+    return early, novelty.with_seen_flag(early, late, TEXT, row_id)
+
+
 def variant_experiments(how: TextModel | None = None) -> list[TextExperiment]:
     """The three text variants under one model, to see what the ids in the text carry."""
     how = how or TextModel("logistic")

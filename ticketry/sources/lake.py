@@ -36,11 +36,19 @@ class Lake:
     def _commits(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.schema(_COMMIT).json(f"{self.path(layer, name)}/commits")
 
+    def _file_system(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
+
     def _there(self, path: str) -> bool:
         """Whether a path exists on whatever file system it names."""
-        jvm, context = self.spark._jvm, self.spark.sparkContext
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(context._jsc.hadoopConfiguration()).exists(where)
+        files, where = self._file_system(path)
+        return files.exists(where)
+
+    def _drop(self, staging: str) -> None:
+        """Remove a staging folder of a finished merge."""
+        files, where = self._file_system(staging)
+        files.delete(where, True)
 
     def _current(self, layer: str, name: str):
         if not self._there(f"{self.path(layer, name)}/commits"):
@@ -133,12 +141,14 @@ class Lake:
         updates.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{stage_in}/updates")
         n = int(seen.get.get("n") or 0)
         if n == 0:
+            self._drop(stage_in)
             return 0
         updates = self.spark.read.schema(updates.schema).parquet(f"{stage_in}/updates")
         if not updates.groupBy(*keys).count().where("count > 1").isEmpty():
             raise ValueError(f"the same key appears twice in one merge into {layer}.{name}")
         if not self.exists(layer, name):
             updates.hint("rebalance", part).write.partitionBy(part).parquet(target)
+            self._drop(stage_in)
             return n
         old = self.spark.read.parquet(target)
         old = old.withColumn(part, F.col(part).cast("string"))
@@ -159,6 +169,7 @@ class Lake:
         for value in gone:
             schema = staged.drop(part).schema
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{target}/{part}={value}")
+        self._drop(stage_in)
         return n
 
     def merged(self, layer: str, name: str) -> DataFrame:
