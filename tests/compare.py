@@ -1,6 +1,8 @@
 """Run registered queries on Spark and their comparison SQL on DuckDB and compare all rows.
 
-    python -m tests.compare <folder> [name part ...]
+    python -m tests.compare [--sql] <folder> [name part ...]
+
+``--sql`` leaves out the queries without comparison SQL.
 """
 
 from __future__ import annotations
@@ -73,7 +75,8 @@ def main() -> None:  # noqa: D103
     import __spark_entry__ as entry
     from ticketry.session import get_spark
 
-    folder, parts = sys.argv[1], sys.argv[2:]
+    args = [a for a in sys.argv[1:] if a != "--sql"]
+    folder, parts = args[0], args[1:]
     spark = get_spark("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
                                                "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
@@ -81,7 +84,7 @@ def main() -> None:  # noqa: D103
     queries, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
     for name, query in queries.items():
-        if parts and not any(p in name for p in parts):
+        if (parts and not any(p in name for p in parts)) or ("--sql" in sys.argv and name not in sqls):
             continue
         start = time.time()
         try:

@@ -24,6 +24,11 @@ SUMMARY = "kpi_resumo"
 SILVER = "incidentes_tratados"
 
 
+def from_lake(lake) -> Read:
+    """Panel tables out of a loaded lake."""
+    return lambda name: lake.table("silver" if name == SILVER else "gold", name)
+
+
 def _in_range(read: Read, table: str, low: str | None, high: str | None) -> DataFrame:
     return read(table).where(C.between_days(DAY, low, high))
 
