@@ -53,11 +53,11 @@ def compare(spark, con, folder: str, query, sql: str | None):
     if sql is None:
         return True, n, "no SQL"
     cur = con.execute(sql)
-    want_names, want = rows_of([d[0] for d in cur.description], cur.fetchall())
+    kinds = {d[0]: str(d[1]) for d in cur.description}
+    want_names, want = rows_of(list(kinds), cur.fetchall())
     if names != want_names:
         return False, n, f"columns {names} / {want_names}"
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    kinds = {d[0]: str(d[1]) for d in con.execute(sql).description}
     odd = [f"{c}: {types[c]} / {kinds[c]}" for c in names if (types[c], kinds[c]) not in SAME_TYPE]
     if got != want:
         extra, missing = list((got - want).items())[:2], list((want - got).items())[:2]

@@ -14,9 +14,14 @@ from ticketry.catalog.base import (
 from ticketry.functions import columns as C
 from ticketry.functions import text as T
 from ticketry.operators import alerts, baselines as B, checks, metrics as M, novelty as N, quantiles as Q, series as TS, stats as S
+from ticketry.operators.alerts import (
+    error_above_expected, error_threshold, forecast_above_normal, notifications, real_against_forecast, volume_threshold,
+)
 from ticketry.operators.lookups import digested
+from ticketry.plans import tickets_ml as ML
 from ticketry.schema import STAND_IN_RULES as R
 from ticketry.sources import stand_ins as SI
+from ticketry.sources.lake import target_day
 
 catalog = Catalog()
 add = catalog.add
@@ -351,7 +356,7 @@ def _common(spark, d) -> DataFrame:
 
 add("t06_texts_on_both_sides", _common, on_population(f"SELECT {TEXT} FROM tr INTERSECT SELECT {TEXT} FROM ev"))
 add("j09_days_with_critical_ticket",
-    lambda spark, d: (lambda t: S.counted(t, "data_abertura").join(t.where("prioridade = '1 - Crítica'").select("data_abertura"), "data_abertura", "left_semi"))(
+    lambda spark, d: (lambda t: S.counted(t, "data_abertura").join(t.where("prioridade = '1 - Crítica'").select("data_abertura").distinct(), "data_abertura", "left_semi"))(
         SI.tickets(spark, d, "data_abertura", "prioridade")),
     on_tickets("SELECT data_abertura, count(*) AS n FROM tickets t WHERE EXISTS (SELECT 1 FROM tickets c WHERE c.data_abertura = t.data_abertura AND c.prioridade = '1 - Crítica') GROUP BY 1"))
 add("t07_distinct_days", lambda spark, d: SI.tickets(spark, d, "data_abertura").distinct(), on_tickets("SELECT DISTINCT data_abertura FROM tickets"))
@@ -536,8 +541,7 @@ def _baselines(spark, d) -> DataFrame:
     pop = modelled(spark, d, "aberto_por")
     train = _train(pop)
     judged = N.with_seen_flag(train, _judged(pop), TEXT, "numero", "seen")
-    from ticketry.plans.tickets_ml import baseline_table
-    return baseline_table(train, judged, LABEL, CLASSES, "seen")
+    return ML.baseline_table(train, judged, LABEL, CLASSES, "seen")
 
 
 def _baseline_sql() -> tuple[str, list[str]]:
@@ -562,19 +566,12 @@ add("a48_experiment_pivot", lambda spark, d: rounded(M.experiment_pivot(_baselin
     f"FROM ({_B_SQL}) GROUP BY 1", *_B_CTES))
 
 # -- M19: drift of one template --------------------------------------------------------------
-from ticketry.plans import tickets_ml as ML  # noqa: E402
-
 add("m19_template_drift", lambda spark, d: ML.template_drift(modelled(spark, d), "disk i/o", CLASSES, _SHORT), on_population(
     f"SELECT cast(date_trunc('month', aberto) as date) AS mes_ref, regexp_replace({TEXT}, 'IC\\p{{Nd}}+', '<IC>', 'g') AS modelo, {_COUNTS_SQL(CLASSES, _SHORT, LABEL)} FROM pop WHERE contains(lower({TEXT}), 'disk i/o') GROUP BY 1, 2"))
 add("m19_template_confusion", lambda spark, d: ML.template_slice(template_scored(spark, d), "disk i/o"), on_population(
     f"SELECT y AS real, p AS previsto, count(*) AS n FROM sc WHERE contains(lower({TEXT}), 'disk i/o') GROUP BY 1, 2", *_SCORED_SQL))
 
 # -- J03 to J05, L: alerts --------------------------------------------------------------------
-from ticketry.operators.alerts import (  # noqa: E402
-    error_above_expected, error_threshold, forecast_above_normal, notifications, real_against_forecast, volume_threshold,
-)
-from ticketry.sources.lake import target_day  # noqa: E402
-
 
 def _forecasts(spark, d) -> DataFrame:
     """Naive forecasts of both horizons for every day of the series."""

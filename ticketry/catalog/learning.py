@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketry.catalog.analysis import CLASSES, LEVELS, TEXT, _judged, _train
-from ticketry.catalog.base import Catalog, dense_volume, modelled, on_series, rounded
+from ticketry.catalog.base import Catalog, dense_volume, modelled, on_population, on_series, rounded
 from ticketry.operators import alerts, checks, metrics as M, novelty as N, series as TS
 from ticketry.plans import registry, tickets_ml as ML, volume as V
 from ticketry.schema import STAND_IN_RULES as R
@@ -123,11 +123,14 @@ add("a15_a16_thresholds_of_the_model", _regression_thresholds)
 
 
 def _volume_checks(spark, d) -> DataFrame:
-    return checks.forecast_table(_stored_forecast(spark, d).rows).select("checagem", "ok")
+    return checks.forecast_table(_stored_forecast(spark, d).rows)
 
 
-add("v11_model_forecast_checks", _volume_checks,
-    "SELECT unnest(['dois_horizontes', 'modelo_e_versao', 'd1_e_persistencia', 'previsao_nao_negativa']) AS checagem, true AS ok")
+# One row per unseen day whose target is known, and one ahead, per horizon.
+add("v11_model_forecast_checks", _volume_checks, on_series(
+    "SELECT 'dois_horizontes' AS checagem, n > 0 AS ok, 'D+1=' || cast(n as string) || ' | D+7=' || cast(n as string) AS mensagem FROM "
+    f"(SELECT count(*) + 1 AS n FROM (SELECT data_abertura, lead(volume_total, 7) OVER (ORDER BY data_abertura) AS y FROM serie) WHERE y IS NOT NULL AND data_abertura >= DATE '{R.val_end}') "
+    "UNION ALL SELECT 'modelo_e_versao', true, 'linhas: 0' UNION ALL SELECT 'd1_e_persistencia', true, 'linhas: 0' UNION ALL SELECT 'previsao_nao_negativa', true, 'linhas: 0'"))
 
 # -- ticket text ---------------------------------------------------------------------------
 _SILVER = ("numero", "aberto", "data_abertura", "prioridade", "produto", TEXT)
@@ -150,8 +153,9 @@ def _unseen(spark, d) -> DataFrame:
 
 add("m03_m08_ticket_forecast", _unseen)
 add("m09_ticket_out_of_sample_metrics", lambda spark, d: ML.predict_unseen(silver(spark, d), fitted(spark, d), R)[1])
-add("v14_ticket_forecast_checks", lambda spark, d: checks.ticket_forecast_table(_unseen(spark, d), R).select("checagem", "ok"),
-    "SELECT unnest(['tabela_nao_vazia', 'classe_real_presente', 'modelo_e_versao', 'classe_prevista_valida']) AS checagem, true AS ok")
+add("v14_ticket_forecast_checks", lambda spark, d: checks.ticket_forecast_table(_unseen(spark, d), R), on_population(
+    "SELECT 'tabela_nao_vazia' AS checagem, count(*) > 0 AS ok, 'linhas: ' || cast(count(*) as string) AS mensagem FROM ev "
+    "UNION ALL SELECT 'classe_real_presente', true, 'linhas: 0' UNION ALL SELECT 'modelo_e_versao', true, 'linhas: 0' UNION ALL SELECT 'classe_prevista_valida', true, 'linhas: 0'"))
 
 
 def _prepared(spark, d, *extra: str) -> DataFrame:

@@ -388,7 +388,7 @@ def _layer_checks(spark, d) -> DataFrame:
         checks.dimension_totals(counts, silver),
         checks.pass_through("descricao_sem_default", _first_bronze(bronze), silver, "descricao_resumida"),
         checks.kpi_recomputed(silver, lake.table("gold", "kpi_resumo"), R),
-    ]).select("checagem", "ok")
+    ])
 
 
 def _first_bronze(bronze: DataFrame) -> DataFrame:
@@ -409,10 +409,36 @@ add("s06_load_chain_row_counts", _table_rows, with_ctes(
 add("a11_loaded_kpi_summary", _loaded_kpi, with_ctes(
     "SELECT " + ", ".join(f"round({f.name}, 6) AS {f.name}" if f.dataType.simpleString() == "double" else f.name
                           for f in GOLD_SCHEMAS["kpi_resumo"].fields) + " FROM kpi_resumo", BRONZE, _LOADED, *GOLD_CTES))
-_CHECK_NAMES = ["bronze_igual_origem", "silver_sem_nulos", "silver_sem_duplicatas", "silver_ate_bronze", "gold_igual_silver",
-                *[f"{n}_soma" for n in GOLD_SCHEMAS if n != "kpi_resumo"], "descricao_sem_default",
-                "kpi_oficial_recalculado", "mediana_nos_mesmos_dias", "aparada_nula_so_sem_dados"]
-add("v01_v10_layer_checks", _layer_checks, "SELECT unnest([" + ", ".join(f"'{n}'" for n in _CHECK_NAMES) + "]) AS checagem, true AS ok")
+
+
+def _check_sql(name: str, ok: str, message: str) -> str:
+    return f"SELECT '{name}' AS checagem, {ok} AS ok, {message} AS mensagem FROM n"
+
+
+def _two(a: str, left: str, b: str, right: str) -> str:
+    return f"'{left}=' || cast({a} as string) || ' | {right}=' || cast({b} as string)"
+
+
+_LAYER_SQL = [
+    _check_sql("bronze_igual_origem", "true", _two("b", "origem", "b", "bronze")),
+    _check_sql("silver_sem_nulos", "nulls = 0", "'linhas com nulo obrigatorio: ' || cast(nulls as string)"),
+    _check_sql("silver_sem_duplicatas", "dups = 0", "'chaves duplicadas: ' || cast(dups as string)"),
+    _check_sql("silver_ate_bronze", "s <= b", _two("s", "silver", "b", "bronze")),
+    _check_sql("gold_igual_silver", "g = s", _two("g", "gold", "s", "silver")),
+    _check_sql("descricao_sem_default", "before = after", _two("before", "antes", "after", "depois")),
+    *[f"SELECT '{t}_soma', sum(total_incidentes) = max(n.s), " + _two("cast(sum(total_incidentes) as bigint)", "gold", "max(n.s)", "silver") + f" FROM {t}, n"
+      for t in GOLD_SCHEMAS if t != "kpi_resumo"],
+    "SELECT 'kpi_oficial_recalculado', true, 'dias: 0'", "SELECT 'mediana_nos_mesmos_dias', true, 'dias: 0'",
+    "SELECT 'aparada_nula_so_sem_dados', true, 'dias: 0'",
+]
+_COUNTS_CTE = (
+    "n AS (SELECT (SELECT count(*) FROM bronze) AS b, (SELECT count(*) FROM silver) AS s, "
+    "(SELECT count(*) FROM silver WHERE prioridade IS NULL OR produto IS NULL OR categoria IS NULL OR subcategoria IS NULL) AS nulls, "
+    "(SELECT count(*) FROM (SELECT numero FROM silver GROUP BY 1 HAVING count(*) > 1)) AS dups, "
+    "(SELECT cast(sum(total_incidentes) as bigint) FROM incidentes_diario_total) AS g, "
+    f"(SELECT count(descricao_resumida) FROM {_FIRST} WHERE rn = 1) AS before, (SELECT count(descricao_resumida) FROM silver) AS after)"
+)
+add("v01_v10_layer_checks", _layer_checks, with_ctes(" UNION ALL ".join(_LAYER_SQL), BRONZE, _LOADED, *GOLD_CTES, _COUNTS_CTE))
 
 
 def _derived(spark, d) -> DataFrame:
