@@ -247,8 +247,10 @@ class TrainedText:
 
 
 def _report(scored: DataFrame, labels: Sequence[str]) -> dict[str, dict]:
-    overall = metrics.classification(scored, LABEL, "previsto", ["split"], labels)
-    recalls = metrics.class_recall(scored, LABEL, "previsto", labels, ["split"])
+    """Figures per split. The model runs once; everything else works on the confusion counts."""
+    counts = keep(scored.groupBy("split", LABEL, "previsto").agg(F.count(F.lit(1)).alias("n")))
+    overall = metrics.classification(counts, LABEL, "previsto", ["split"], labels, "n")
+    recalls = metrics.class_recall(counts, LABEL, "previsto", labels, ["split"], "n")
     out = {}
     for r in overall.join(recalls, "split").collect():
         row = r.asDict()
