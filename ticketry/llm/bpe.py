@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketry.llm.common import small_batches
+
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 BLANKS = b" \t\n\r\x0b\x0c"
 _PRIME, _GOLDEN = 0x9E3779B97F4A7C55, np.uint64(0x9E3779B97F4A7C15)
@@ -176,6 +178,7 @@ def tokenizer_text(path: str | None = None) -> str:
 
 def encode(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = True) -> DataFrame:
     """``docs`` without the text, with n_tokens, ids_sha256 and decoded_sha256, and the ids if asked for."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_text(tokenizer))
     made = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     keep = [c for c in docs.columns if c not in ("text", *made)]

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketry.llm.common import small_batches
+
 SLOTS = 1 << 12
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
@@ -275,6 +277,7 @@ def train(pages: DataFrame, sample_pages: int = 200, **how) -> Field:
 
 def extract(pages: DataFrame, model: Field | None = None) -> DataFrame:
     """page_id, url, text, n_chars per page; a model learned from the pages themselves unless one is given."""
+    small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(train(pages.select("html")) if model is None else model)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

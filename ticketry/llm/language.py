@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketry.llm.common import small_batches
 from ticketry.llm.features import gram_counts
 
 UNKNOWN = "und"
@@ -44,6 +45,7 @@ def held_out(doc_id: Column) -> Column:
 
 def language_counts(rows: DataFrame) -> dict[str, np.ndarray]:
     """n-gram counts by language of rows (text, lang): partial sums a batch, added up by language and slot."""
+    small_batches(rows.sparkSession)
     if rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
 
@@ -122,6 +124,7 @@ def train(rows: DataFrame) -> Classifier:
 
 def identify(docs: DataFrame, classifier: Classifier, ambiguous_margin: float = 1.0) -> DataFrame:
     """doc_id, lang_pred, score, ambiguous from doc_id and text."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

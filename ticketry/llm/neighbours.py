@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketry.llm import codes
-from ticketry.llm.common import written
+from ticketry.llm.common import small_batches, written
 
 RESULT = "query_id long, vec_id long, score double"
 
@@ -90,6 +90,7 @@ class MultiIndex:
 def nearest(table: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", bits: int = 256, width: int = 16,
             z: float = 4.0, sample_rows: int = 4096, shard_rows: int = 16384, block_rows: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest rows by cosine of each row for which ``is_query`` holds."""
+    small_batches(table.sparkSession)
     rows = written(codes.vectors(table.where(F.col(key).isNotNull()), vector, key).withColumn("_query", F.coalesce(is_query, F.lit(False))), "rows")
     n, queries = rows.agg(F.count("*"), F.count(F.when(F.col("_query"), 1))).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-queries // block_rows))

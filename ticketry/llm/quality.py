@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketry.llm.common import small_batches
 from ticketry.llm.features import gram_counts
 
 GRAMS, NAMES = 1024, 64
@@ -130,6 +131,7 @@ def _limit_hash(ids: DataFrame, rows: int) -> int | None:
 
 def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = 3000, pool_rows: int = 3000, **how) -> CoTrained | None:
     """From documents and rows (doc_id, quality 0 or 1); None without labels of both kinds."""
+    small_batches(docs.sparkSession)
     given = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     limit = _limit_hash(given, labelled_rows)
     if limit is None:
@@ -169,6 +171,7 @@ def scored(docs: DataFrame, model: CoTrained | None, threshold: float = 0.4) ->
     if model is None:
         none = F.lit(None).cast("double")
         return docs.withColumns({"_score": none, "_text_score": none, "_page_score": none, "_keep": F.lit(True)})
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("_score double, _text_score double, _page_score double")

@@ -3,9 +3,10 @@
 The global order of shingles is that of their 64-bit hashes. It is cut into fragments, and a document's set into one
 segment per fragment. A pair with Jaccard similarity of ``percent`` / 100 differs in a bounded number of shingles, fewer
 than there are fragments for its size, so at least one segment is the same in both: only documents with an equal segment
-are compared. Fragments per size class (the larger document decides; one near the next class carries that class's
-segments too) exceed the bound by ``SPARE``, so that many empty segments may be left out; a document with more empty
-segments keeps them. No pair above the threshold is missed.
+are compared. There are more fragments per size class than the bound asks for (the larger document decides the class; one
+near the next class carries that class's segments too). By that surplus a document may leave out its thinnest segments,
+those up to some number of shingles, which documents share by chance: of a pair's equal segments, those that either
+leaves out are fewer than all. No pair above the threshold is missed.
 
 Documents with equal sets are one class. Equal segments join classes into candidate groups (a minimum by segment,
 pre-aggregated, then connected components), and the texts of groups of two and more are brought together once. There the
@@ -28,11 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import written
+from ticketry.llm.common import small_batches, written
 from ticketry.llm.components import components
 from ticketry.llm.vector_dedup import roots
 
-SPARE, GROWTH = 2, 1.6
+GROWTH = 1.6
 #: The largest table of chosen rows that is sent to every task instead of shuffling all texts to it.
 BROADCAST_ROWS = 2_000_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -66,9 +67,11 @@ def size_classes(most: int, percent: int) -> list[int]:
     return ends
 
 
-def fragments(low: int, high: int, percent: int) -> int:
-    """Fragments for pairs whose larger set has ``low`` to ``high`` - 1 shingles."""
-    return 2 * (high - 1) * (100 - percent) // (100 + percent) + 1 + SPARE
+def fragments(high: int, percent: int) -> tuple[int, int]:
+    """(fragments, surplus) for pairs whose larger set has less than ``high`` shingles."""
+    needed = 2 * (high - 1) * (100 - percent) // (100 + percent) + 1
+    surplus = 2 + needed // 4
+    return needed + surplus, surplus
 
 
 def segments(sets: np.ndarray, percent: int, ends: list[int]) -> np.ndarray:
@@ -77,13 +80,14 @@ def segments(sets: np.ndarray, percent: int, ends: list[int]) -> np.ndarray:
     own = np.searchsorted(ends, n, "right") - 1
     largest = np.searchsorted(ends, n * 100 // percent, "right") - 1
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[0], np.cumsum(_mixed(sets), dtype=np.uint64)]).astype(np.uint64) if n else None
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(sets), dtype=np.uint64)])
         for c in range(max(0, own), largest + 1) if n else ():
-            count = fragments(ends[c], ends[c + 1], percent)
+            count, surplus = fragments(ends[c + 1], percent)
             at = np.searchsorted((sets >> np.uint64(32)) * np.uint64(count) >> np.uint64(32), np.arange(count + 1, dtype=np.uint64))
             part = _mixed((sums[at[1:]] - sums[at[:-1]]) + _ODD[0] * (np.arange(count, dtype=np.uint64) + np.uint64(c << 32)))
-            empty = at[1:] == at[:-1]
-            made.append(part if empty.sum() > SPARE else part[~empty])
+            held = at[1:] - at[:-1]
+            thin = int(np.searchsorted(np.cumsum(np.bincount(held)), surplus, "right"))  # sizes below leave out no more than the surplus
+            made.append(part[held >= thin])
     return np.concatenate(made) if made else np.zeros(0, np.uint64)
 
 
@@ -122,10 +126,11 @@ def links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tupl
     return np.nonzero(100 * common >= percent * (size - common))
 
 
-def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int = 256, block_shingles: int = 1 << 20, leaders: int = 8) -> DataFrame:
+def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int = 512, block_shingles: int = 1 << 20, leaders: int = 8) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``docs``."""
     if not 50 <= percent < 100:
         raise ValueError("percent must be from 50 to 99")
+    small_batches(docs.sparkSession)
     def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sets = [shingles(t, width) for t in frame["text"]]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketry.llm import codes
-from ticketry.llm.common import written
+from ticketry.llm.common import small_batches, written
 from ticketry.llm.components import components
 
 FOUND = "rep long, n_links long, root long"
@@ -69,6 +69,7 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def near_duplicates(table: DataFrame, threshold: float = 0.93, recall: float = 0.995, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                     sample_rows: int = 4096, block_rows: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept per row."""
+    small_batches(table.sparkSession)
     everything = table.select(F.col(key).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("_v"))
     hashed = lambda df: df.withColumn("h1", F.xxhash64("_v")).withColumn("h2", F.xxhash64(F.lit(1), F.col("_v")))
     rows = hashed(codes.vectors(everything.where("label IS NOT NULL"), "_v", "vec_id", "label"))
