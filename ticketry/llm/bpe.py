@@ -65,9 +65,12 @@ class RollingCuts:
 
 
 class ChunkCoder:
-    """Encodes byte strings to (ids as little-endian uint32, decoded text), both as bytes."""
+    """Encodes texts to ids (little-endian uint32, as bytes) and decodes them.
 
-    def __init__(self, tokenizer_json: str, memo_bytes: int = 48 << 20, memo_words: int = 300_000, cuts: RollingCuts | None = None) -> None:
+    What was met lately is kept, and what was met in the time before; the latter goes when the former is full.
+    """
+
+    def __init__(self, tokenizer_json: str, memo_bytes: int = 12 << 20, memo_words: int = 150_000, cuts: RollingCuts | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -77,8 +80,10 @@ class ChunkCoder:
         self.names = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(n)]
         self.cuts = cuts or RollingCuts()
         self.memo_bytes, self.memo_words = memo_bytes, memo_words
-        self.chunks: dict[bytes, tuple] = {}
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.chunks: dict[bytes, tuple | None] = {}
+        self.old_chunks: dict[bytes, tuple | None] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
         self.held = self.reused = self.encoded = 0
 
     def _learn(self, words: list[bytes]) -> None:
@@ -87,65 +92,63 @@ class ChunkCoder:
         made = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
         starts = np.cumsum([0, *[len(w) + 1 for w in plain]])
         offsets = np.array(made.offsets, np.int64).reshape(-1, 2)[:, 0]
-        ends = np.searchsorted(offsets, starts[1:], "left").tolist()
-        raw, shown, at = np.array(made.ids, "<u4").tobytes(), [self.names[i] for i in made.ids], 0
-        for w, end in zip(words, ends, strict=True):
-            self.words[w] = raw[4 * at:4 * end], b" ".join(shown[at:end])
-            at = end
+        ends = (4 * np.searchsorted(offsets, starts[1:], "left")).tolist()
+        raw = np.array(made.ids, "<u4").tobytes()
+        self.words |= {w: raw[a:b] for w, a, b in zip(words, [0, *ends], ends, strict=False)}
 
-    def _encode(self, data: bytes) -> tuple[bytes, bytes]:
+    def _encode(self, data: bytes) -> bytes:
         """A piece that starts and ends at white space or at the ends of the text."""
         parts = data.split()
-        if not parts:
-            return b"", b""
         known = self.words
-        if new := list({w for w in parts if w not in known}):
-            if len(known) + len(new) > self.memo_words:
-                known.clear()
-                new = list(set(parts))
-            self._learn(new)
-        got = [known[w] for w in parts]
-        return b"".join([x[0] for x in got]), b" ".join([x[1] for x in got if x[1]])
+        if new := {w for w in parts if w not in known}:
+            known |= {w: self.old_words[w] for w in new if w in self.old_words}
+            if new := [w for w in new if w not in known]:
+                self._learn(new)
+        ids = b"".join([known[w] for w in parts])
+        if len(known) > self.memo_words:
+            self.words, self.old_words = {}, known
+        return ids
 
     def _chunk(self, chunk: bytes) -> tuple | None:
-        """(bytes before the first white space, encoding of the middle, bytes after the last); None: no white space."""
-        found = self.chunks.get(chunk, self)
-        if found is not self:
+        """(bytes before the first white space, ids of the middle, bytes after the last); None: no white space."""
+        if chunk in self.chunks:
             self.reused += 1
-            return found
+            return self.chunks[chunk]
+        if chunk in self.old_chunks:
+            self.reused += 1
+            return self._hold(chunk, self.old_chunks[chunk])
         self.encoded += 1
         first = next((i for i, b in enumerate(chunk) if b in BLANKS), -1)
         if first < 0:
-            made = None
-        else:
-            last = max(chunk.rfind(b) for b in BLANKS)
-            made = chunk[:first], *self._encode(chunk[first:last]), chunk[last + 1:]
+            return self._hold(chunk, None)
+        last = max(chunk.rfind(b) for b in BLANKS)
+        return self._hold(chunk, (chunk[:first], self._encode(chunk[first:last]), chunk[last + 1:]))
+
+    def _hold(self, chunk: bytes, made: tuple | None) -> tuple | None:
+        self.chunks[chunk] = made
         self.held += len(chunk) + (sum(map(len, made)) if made else 0) + 400
         if self.held > self.memo_bytes:
-            self.chunks.clear()
-            self.held = 0
-        self.chunks[chunk] = made
+            self.chunks, self.old_chunks, self.held = {}, self.chunks, 0
         return made
 
-    def __call__(self, text: str | None) -> tuple[bytes, bytes]:
+    def encode(self, text: str | None) -> bytes:
         data = (text or "").encode()
-        ids, decoded, join, start = [], [], [], 0
+        ids, join, start = [], [], 0
         for end in [*self.cuts(data), len(data)]:
             chunk, start = data[start:end], end
             if (made := self._chunk(chunk)) is None:
                 join.append(chunk)
                 continue
-            head, middle, shown, tail = made
-            for x, y in (self._encode(b"".join([*join, head])), (middle, shown)):
-                if x:
-                    ids.append(x)
-                    decoded.append(y)
+            head, middle, tail = made
+            ids += self._encode(b"".join([*join, head])), middle
             join = [tail]
-        x, y = self._encode(b"".join(join))
-        if x:
-            ids.append(x)
-            decoded.append(y)
-        return b"".join(ids), b" ".join(decoded)
+        ids.append(self._encode(b"".join(join)))
+        return b"".join(ids)
+
+    def decode(self, ids: bytes) -> bytes:
+        """The tokens with one blank between them."""
+        names = self.names
+        return b" ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 _CODERS: dict[str, ChunkCoder] = {}
@@ -188,12 +191,12 @@ def encode(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = True)
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         work = coder(shared.value)
         for frame in frames:
-            rows = [work(t) for t in frame.pop("text")]
-            frame["n_tokens"] = [len(i) // 4 for i, _ in rows]
-            frame["ids_sha256"] = [hashlib.sha256(i).hexdigest() for i, _ in rows]
-            frame["decoded_sha256"] = [hashlib.sha256(d).hexdigest() for _, d in rows]
+            rows = [work.encode(t) for t in frame.pop("text")]
+            frame["n_tokens"] = [len(i) // 4 for i in rows]
+            frame["ids_sha256"] = [hashlib.sha256(i).hexdigest() for i in rows]
+            frame["decoded_sha256"] = [hashlib.sha256(work.decode(i)).hexdigest() for i in rows]
             if with_ids:
-                frame["ids"] = [np.frombuffer(i, "<i4") for i, _ in rows]
+                frame["ids"] = [np.frombuffer(i, "<i4") for i in rows]
             yield frame
 
     return docs.select(*keep, "text").mapInPandas(run, schema)
@@ -205,8 +208,8 @@ def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     @F.pandas_udf("string")
     def text_of(ids: pd.Series) -> pd.Series:
-        names = coder(shared.value).names
-        return ids.map(lambda x: None if x is None else b" ".join([names[i] for i in x]).decode())
+        work = coder(shared.value)
+        return ids.map(lambda x: None if x is None else work.decode(np.asarray(x, "<u4").tobytes()).decode())
 
     return encoded.withColumn("text", text_of("ids"))
 

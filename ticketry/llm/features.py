@@ -9,7 +9,7 @@ import numpy as np
 from ticketry.llm.common import batches_of
 
 #: Bytes that are counted at once; longer texts are counted in pieces that overlap by an n-gram less one byte.
-PIECE = 1 << 21
+PIECE = 1 << 19
 _ODD = np.uint32(0x9E3779B1)
 
 
