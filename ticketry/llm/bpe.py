@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import small_batches
+from ticketry.llm.common import give_back, small_batches
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -70,7 +70,7 @@ class ChunkCoder:
     What was met lately is kept, and what was met in the time before; the latter goes when the former is full.
     """
 
-    def __init__(self, tokenizer_json: str, memo_bytes: int = 12 << 20, memo_words: int = 150_000, cuts: RollingCuts | None = None) -> None:
+    def __init__(self, tokenizer_json: str, memo_bytes: int = 4 << 20, memo_words: int = 60_000, cuts: RollingCuts | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -198,6 +198,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = True)
             if with_ids:
                 frame["ids"] = [np.frombuffer(i, "<i4") for i in rows]
             yield frame
+        give_back()
 
     return docs.select(*keep, "text").mapInPandas(run, schema)
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import small_batches
+from ticketry.llm.common import give_back, small_batches
 from ticketry.llm.features import gram_counts
 
 UNKNOWN = "und"
@@ -131,6 +131,7 @@ def identify(docs: DataFrame, classifier: Classifier, ambiguous_margin: float =
         for frame in frames:
             names, scores, flags = shared.value.predict(frame.pop("text").tolist(), ambiguous_margin)
             yield frame.assign(lang_pred=names, score=scores, ambiguous=flags)
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, lang_pred string, score double, ambiguous boolean")

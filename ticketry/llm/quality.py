@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import small_batches
+from ticketry.llm.common import give_back, small_batches
 from ticketry.llm.features import gram_counts
 
 GRAMS, NAMES = 1024, 64
@@ -179,6 +179,7 @@ def scored(docs: DataFrame, model: CoTrained | None, threshold: float = 0.4) ->
         frame = pd.DataFrame({"text": text, "source": source, "lang": lang, "n_chars": n_chars})
         made = [np.where((words > 0)[None], np.array(shared.value.scores(t, p)), 0.0) for t, p, words in views(frame)]
         made = np.concatenate(made, axis=1) if made else np.zeros((3, 0))
+        give_back()
         return pd.DataFrame({"_score": made[0], "_text_score": made[1], "_page_score": made[2]})
 
     # the row goes through unchanged beside its scores

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import small_batches, written
+from ticketry.llm.common import give_back, small_batches, written
 from ticketry.llm.components import components
 from ticketry.llm.vector_dedup import roots
 
@@ -96,7 +96,7 @@ def class_of(sets: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sets.tobytes()) - (1 << 63)
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray], cells: int = 1 << 22) -> np.ndarray:
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], cells: int = 1 << 21) -> np.ndarray:
     """[left, right] sizes of intersections: counted in fragments of the shingle order and summed."""
     total = np.zeros((len(left), len(right)), np.float32)
     ids = np.concatenate([*left, *right])
@@ -137,6 +137,7 @@ def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int =
             ends = size_classes(2 * max([len(s) for s in sets], default=0) + 100, percent)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "key": frame["key"], "n": [len(s) for s in sets], "class": [class_of(s) for s in sets],
                                 "segments": [segments(s, percent, ends).view("<i8") for s in sets]})
+        give_back()
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
     made = keyed.mapInPandas(signed, "doc_id long, key long, n long, class long, segments array<long>")
@@ -193,6 +194,7 @@ def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int =
                     yield pd.concat(done, ignore_index=True)
             if rest is not None and len(rest) > 1 and (last := piece(rest)) is not None:
                 yield last
+            give_back()
 
         return placed.mapInPandas(run, "class long, root long")
 
