@@ -31,8 +31,9 @@ LEAST_TOKEN, LEAST_SAMPLE, LEAST_VALUE = 20, 12, 8
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 #: Every character outside the alphabet is one more symbol, number 0.
 SYMBOLS = len(ALPHABET) + 1
-#: Nats a pair that a finding must have at least; what is added to every count of pairs.
-MARGIN, SMOOTHING = 0.5, 0.5
+#: Nats a pair that a finding must have at least. Pairs count beside ``BACKOFF`` pairs dealt by how frequent the second
+#: character is, and each character counts ``SMOOTHING`` times more than it comes.
+MARGIN, BACKOFF, SMOOTHING = 0.5, 5.0, 0.5
 MASK = "[SECRET]"
 _BLOCK = 256
 
@@ -103,8 +104,13 @@ def train(labelled: DataFrame) -> str | None:
                   F.count(F.when(F.col("random"), 1)).alias("r"), F.count(F.when(~F.col("random"), 1)).alias("o")))
     grid = labelled.sparkSession.range(SYMBOLS * SYMBOLS).select(F.col("id").cast("int").alias("pair"))
     full = grid.join(counts, "pair", "left").select("pair", *[F.coalesce(c, F.lit(0)).alias(c) for c in "ro"])
-    row = Window.partitionBy(F.floor(F.col("pair") / SYMBOLS))
-    log = {c: F.log((F.col(c) + SMOOTHING) / (F.sum(c).over(row) + SMOOTHING * SYMBOLS)) for c in "ro"}
+    row, column, all_pairs = (Window.partitionBy(key) for key in (F.floor(F.col("pair") / SYMBOLS), F.col("pair") % SYMBOLS, F.lit(0)))
+
+    def log_share(c: str) -> Column:
+        share = (F.sum(c).over(column) + SMOOTHING) / (F.sum(c).over(all_pairs) + SMOOTHING * SYMBOLS)
+        return F.log((F.col(c) + share * BACKOFF) / (F.sum(c).over(row) + BACKOFF))
+
+    log = {c: log_share(c) for c in "ro"}
     ratios = full.select("pair", "r", "o", F.round((log["r"] - log["o"]) * 1e6).cast("long").alias("ratio"))
     model = ratios.agg(F.sum("r"), F.sum("o"), F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("pair", "ratio"))), lambda x: x["ratio"].cast("string")), ",")).first()
@@ -174,7 +180,9 @@ def _sql_spans(kind: str, pattern: str, value: str) -> str:
 def oracle() -> str:
     """The same findings in SQL, for doc_ids that are unique."""
     assign = ASSIGN.replace("'", "''")
-    ratio = "round((ln((r + {s}) / (sum(r) OVER w + {s} * {n})) - ln((o + {s}) / (sum(o) OVER w + {s} * {n}))) * 1000000)::BIGINT".format(s=SMOOTHING, n=SYMBOLS)
+    share = "((sum({{c}}) OVER (PARTITION BY p % {n}))::DOUBLE + {s}) / ((sum({{c}}) OVER ())::DOUBLE + {s} * {n})".format(s=f"{SMOOTHING}::DOUBLE", n=SYMBOLS)
+    log = f"ln(({{c}}::DOUBLE + {share} * {BACKOFF}::DOUBLE) / ((sum({{c}}) OVER w)::DOUBLE + {BACKOFF}::DOUBLE))"
+    ratio = f"round(({log.format(c='r')} - {log.format(c='o')}) * 1000000)::BIGINT"
     code = f"instr('{ALPHABET}', {{}})"
     pair = f"list_transform(generate_series(1, len(v) - 1), lambda i: {code.format('v[i]')} * {SYMBOLS} + {code.format('v[i + 1]')})"
     token = f"[{TOKEN_CLASS}]+"
