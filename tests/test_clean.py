@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from ticketry.functions import columns as C
 from ticketry.operators.clean import clean, defect_report, dropped_duplicates, first_delivery, require_clean
 from ticketry.operators.checks import schema_differences
 from ticketry.schema import BRONZE_COLUMNS, INGEST_SEQ, SILVER_COLUMNS, SILVER_SCHEMA
@@ -83,6 +84,14 @@ def test_broken_mandatory_values(spark, change, kind):
         require_clean(df)
     with pytest.raises(PySparkException, match=kind):
         clean(df).collect()
+    with pytest.raises(PySparkException, match=kind):  # also for a reader of other columns
+        clean(df).select("numero", "prioridade").collect()
+
+
+def test_yes_and_no_with_any_white_space(spark):
+    rows = [("SIM\t", True), ("\n nao", False), ("\u00a0Sim\r\n", True), ("S IM", None), ("", None), (None, None)]
+    df = spark.createDataFrame(rows, "t string, want boolean")
+    assert df.where(~C.yes_no("t").eqNullSafe(F.col("want"))).isEmpty()
 
 
 def test_broken_duplicate_fails_too(spark):

@@ -12,10 +12,13 @@ from ticketry.sources.lake import Lake, add_columns
 from ticketry.sources.raw import read_source
 
 
-def forecast(spark, value=420.0, version="v1", horizon="D+7", day=dt.date(2025, 6, 10), serie="__teste_upsert__"):
-    return spark.createDataFrame(
-        [(day, serie, horizon, float(value), "teste", version)],
-        "data_referencia date, serie string, horizonte string, valor_previsto double, modelo_utilizado string, versao_modelo string")
+SERIES_COLUMNS = "data_referencia date, serie string, horizonte string, valor_previsto double, modelo_utilizado string, versao_modelo string"
+
+
+def forecasts(spark, *rows):
+    """Rows of (day of March 2031, series, horizon, value, model version)."""
+    return spark.createDataFrame([(dt.date(2031, 3, day), serie, f"D+{days}", float(value), "linha de base", version)
+                                  for day, serie, days, value, version in rows], SERIES_COLUMNS)
 
 
 # -- sources -----------------------------------------------------------------------------
@@ -36,6 +39,14 @@ def test_source_is_all_text_under_canonical_names(spark, base, fmt):
     assert [r["numero"] for r in out.orderBy(INGEST_SEQ).collect()] == [f"Número-{i}" for i in range(5)]
 
 
+@pytest.mark.parametrize("line", ["1,2,3", "1"])
+def test_rows_of_another_length_are_an_error(spark, tmp_path, line):
+    (tmp_path / "rows.csv").write_text(f"a,b\nx,y\n{line}\n")
+    for columns in (["one"], ["one", "two"]):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_source(spark, str(tmp_path / "rows.csv"), columns={"a": "one", "b": "two"}).select(*columns).collect()
+
+
 @pytest.mark.parametrize("change", ["missing", "extra"])
 def test_source_contract(spark, base, change):
     headers = list(SOURCE_COLUMNS)[:-1] if change == "missing" else [*SOURCE_COLUMNS, "Outra"]
@@ -98,29 +109,50 @@ def test_columns_are_only_ever_added(spark, base):
 
 
 # -- merges ------------------------------------------------------------------------------
-def test_upsert_is_idempotent_updates_and_keeps_other_keys(spark, base):
+def test_a_merge_replaces_its_keys_and_no_others(spark, base):
+    lake = Lake(spark, base)
+    first = forecasts(spark, (30, "norte", 1, 12, "a"), (30, "sul", 1, 5, "a"), (30, "norte", 7, 80, "a"), (2, "sul", 7, 0.5, "a"))
+    assert lake.upsert_forecasts(first) == 4
+    # a late day, a value that turns to 0, a new series; the rest stays
+    second = forecasts(spark, (30, "norte", 1, 0, "b"), (1, "norte", 1, 11, "b"), (30, "leste", 7, 3, "b"))
+    for _ in range(2):
+        assert lake.upsert_forecasts(second) == 3
+    rows = lake.merged("gold", "previsoes").collect()
+    assert sorted((r["data_referencia"].day, r["serie"], r["horizonte"], r["valor_previsto"], r["versao_modelo"]) for r in rows) == [
+        (1, "norte", "D+1", 11.0, "b"), (2, "sul", "D+7", 0.5, "a"), (30, "leste", "D+7", 3.0, "b"), (30, "norte", "D+1", 0.0, "b"),
+        (30, "norte", "D+7", 80.0, "a"), (30, "sul", "D+1", 5.0, "a")]
+    # the target day goes over the end of the month
+    assert {(r["data_referencia"].day, r["horizonte"]): r["data_alvo"] for r in rows if r["serie"] == "norte"} == {
+        (1, "D+1"): dt.date(2031, 3, 2), (30, "D+1"): dt.date(2031, 3, 31), (30, "D+7"): dt.date(2031, 4, 6)}
+
+
+def test_an_empty_merge_leaves_no_table(spark, base):
+    lake = Lake(spark, base)
+    assert lake.upsert_forecasts(forecasts(spark).limit(0)) == 0 and not lake.exists("gold", "previsoes")
+
+
+def test_a_lost_first_merge_does_not_block_the_next(spark, base):
     lake = Lake(spark, base)
-    assert lake.upsert_forecasts(forecast(spark).limit(0)) == 0
-    other = forecast(spark, 7, day=dt.date(2024, 1, 1))
-    assert lake.upsert_forecasts(forecast(spark).unionByName(other)) == 2
-    assert lake.upsert_forecasts(forecast(spark)) == 1
-    assert lake.upsert_forecasts(forecast(spark, 395, "v2")) == 1
-    rows = {r["data_referencia"]: r for r in lake.merged("gold", "previsoes").collect()}
-    assert len(rows) == 2 and rows[dt.date(2024, 1, 1)]["valor_previsto"] == 7
-    new = rows[dt.date(2025, 6, 10)]
-    assert (new["valor_previsto"], new["versao_modelo"], new["data_alvo"]) == (395.0, "v2", dt.date(2025, 6, 17))
-
-
-def test_target_day_of_each_horizon(spark, base):
+    spark.range(3).write.parquet(f"{lake.path('gold', 'previsoes')}/data/_temporary/0")
+    rows = forecasts(spark, (9, "norte", 1, 4, "a"))
+    assert lake.upsert_forecasts(rows) == 1 and lake.upsert_forecasts(rows) == 1
+    assert lake.merged("gold", "previsoes").count() == 1
+
+
+def test_a_taken_version_is_refused(spark, base, monkeypatch):
     lake = Lake(spark, base)
-    lake.upsert_forecasts(forecast(spark).unionByName(forecast(spark, horizon="D+1")))
-    got = {r["horizonte"]: r["data_alvo"].day for r in lake.merged("gold", "previsoes").collect()}
-    assert got == {"D+1": 11, "D+7": 17}
+    lake.replace("gold", "t", spark.range(3))
+    current = lake._current("gold", "t")
+    monkeypatch.setattr(lake, "_current", lambda *a: None)
+    spark.createDataFrame([(1, "a-first", 1)], "version long, folder string, n_rows long").write.mode("append").json(f"{lake.path('gold', 't')}/commits")
+    with pytest.raises(RuntimeError, match="another writer"):
+        lake.replace("gold", "t", spark.range(4))
+    assert current["version"] == 1
 
 
 def test_the_same_key_twice_in_one_merge_is_an_error(spark, base):
     with pytest.raises(ValueError):
-        Lake(spark, base).upsert_forecasts(forecast(spark).unionByName(forecast(spark, 1)))
+        Lake(spark, base).upsert_forecasts(forecasts(spark, (9, "norte", 1, 4, "a"), (9, "norte", 1, 5, "a")))
 
 
 def test_a_key_may_move_to_another_partition(spark, base):
@@ -134,17 +166,17 @@ def test_a_key_may_move_to_another_partition(spark, base):
 
 
 def test_bad_forecasts_break_the_constraints(spark):
-    bad = forecast(spark, -5).unionByName(forecast(spark, horizon="D+99"))
+    bad = forecasts(spark, (9, "norte", 1, -5, "a"), (9, "norte", 99, 5, "a"))
     with pytest.raises(ValueError) as err:
         checks.require(bad, checks.forecast_rules())
     assert "domain_horizonte" in str(err.value) and "not_negative_valor_previsto" in str(err.value)
-    checks.require(forecast(spark), checks.forecast_rules(), ["data_referencia", "serie", "horizonte"])
+    checks.require(forecasts(spark, (9, "norte", 1, 4, "a")), checks.forecast_rules(), ["data_referencia", "serie", "horizonte"])
 
 
 # -- the whole chain ---------------------------------------------------------------------
 def test_load_chain_twice_leaves_forecasts_alone(spark, base, folder):
     lake = Lake(spark, base)
-    lake.upsert_forecasts(forecast(spark))
+    lake.upsert_forecasts(forecasts(spark, (9, "norte", 1, 4, "a")))
     source = SI.bronze(spark, folder)
     first = etl.run(spark, base, source, STAND_IN_RULES)
     second = etl.run(spark, base, source, STAND_IN_RULES)

@@ -30,9 +30,14 @@ def lenient_number(c: str | Column) -> Column:
     return _col(c).try_cast("double")
 
 
+def stripped(c: str | Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+
+
 def yes_no(c: str | Column) -> Column:
-    """'SIM' / 'NAO' in any case and padding to boolean; anything else is NULL."""
-    word = F.upper(F.trim(_col(c)))
+    """'SIM' / 'NAO' in any case, with any white space around, to boolean; anything else is NULL."""
+    word = F.upper(stripped(c))
     return F.when(word == "SIM", F.lit(True)).when(word == "NAO", F.lit(False))
 
 

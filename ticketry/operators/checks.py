@@ -40,13 +40,6 @@ def forecast_rules() -> dict[str, Column]:
     }
 
 
-def ticket_forecast_rules(rules: Rules = Rules()) -> dict[str, Column]:
-    return {
-        **not_null("numero", "data_abertura", "prioridade_prevista", "modelo_utilizado", "versao_modelo"),
-        **in_domain("prioridade_prevista", rules.priority_classes),
-    }
-
-
 def violations(df: DataFrame, constraints: dict[str, Column]) -> DataFrame:
     """(restricao, violacoes): rows that break each constraint, from one scan."""
     row = df.agg(*[F.count_if(F.coalesce(test, F.lit(False))).alias(name) for name, test in constraints.items()])

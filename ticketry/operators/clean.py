@@ -74,12 +74,9 @@ def clean(raw: DataFrame, rules: Rules = Rules(), strict: bool = True, date_form
         tests = _defect_tests()
         broken = F.concat_ws(", ", *[F.when(t > 0, F.lit(name)) for name, t in tests.items()])
         stop = F.raise_error(F.concat(F.lit("broken ticket "), F.coalesce("numero", F.lit("NULL")), F.lit(": "), broken))
-        df = df.withColumn(
-            "duracao_segundos",
-            F.when(sum(tests.values(), F.lit(0)) == 0, F.col("_seconds").cast("long")).otherwise(stop.cast("long")),
-        )
-    else:
-        df = df.withColumn("duracao_segundos", F.col("_seconds").cast("long"))
+        # a filter, not a column: a reader that selects other columns cannot prune it
+        df = df.where(F.when(sum(tests.values(), F.lit(0)) == 0, F.lit(True)).otherwise(stop.cast("boolean")))
+    df = df.withColumn("duracao_segundos", F.col("_seconds").cast("long"))
     span = C.seconds_between("aberto", "encerrado") * F.lit(rules.duration_tolerance)
     df = df.crossJoin(F.broadcast(outlier_limit(raw, rules)))
     df = df.withColumns({

@@ -133,13 +133,3 @@ def split_counts(long: DataFrame) -> dict[str, DataFrame]:
     tables["incidentes_horario"] = (
         long.where(F.col("_set") == _set_id([*_HOUR_SET])).select(*_HOUR_SET, TOTAL).dropna())
     return tables
-
-
-def gold_tables(silver: DataFrame, rules: Rules = Rules()) -> dict[str, DataFrame]:
-    """The 11 gold tables as separate lazy frames; each reads only its own columns."""
-    bucketed = with_group_bucket(silver, rules)
-    tables = {name: daily_count(bucketed, dim) for name, dim in DAILY_TABLES.items()}
-    tables["incidentes_diario_kpi"] = daily_kpi(silver)
-    tables["incidentes_horario"] = hourly(silver)
-    tables["kpi_resumo"] = kpi_summary(silver, rules)
-    return tables

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketry.session import keep
-
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
@@ -40,21 +40,27 @@ def lookup_join(
     A table proven small is broadcast. Otherwise both sides shuffle, and a key with at least
     ``hot_rows`` rows is spread over ``salts`` partitions: its table row is repeated once per
     salt and its rows are dealt out by a hash of ``spread_by`` (a row id). There are at most
-    rows / hot_rows hot keys, so the list of them is small; it is checked like any other table.
+    rows / hot_rows hot keys, so the list of them is small. Rows with a NULL in their key match
+    nothing and are dealt out in the same way. Nothing is cached; the one job at build time is the
+    check of the table's size.
     """
     keys = list(keys)
-    table = keep(table)
     if proven_small(table, max_rows, max_bytes):
         return rows.join(F.broadcast(table), keys, "left")
-    hot = keep(rows.groupBy(*keys).count().where(F.col("count") >= hot_rows).select(*keys, F.lit(True).alias("_hot")))
-    if hot.isEmpty():
-        return rows.join(table, keys, "left")
-    few = F.broadcast(hot) if proven_small(hot, max_rows, max_bytes) else hot
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     deal = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted_rows = rows.join(few, keys, "left").withColumn("_salt", F.when(F.col("_hot"), deal).otherwise(F.lit(0)))
+    hot = rows.where(~no_key).groupBy(*keys).count().where(F.col("count") >= hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    # rows without a key meet the list of hot keys under salted names too
+    names = [f"_key_{i}" for i in range(len(keys))]
+    spread = {n: F.when(no_key, F.concat(F.lit("null"), deal.cast("string"))).otherwise(F.concat(F.lit("="), F.col(k).cast("string")))
+              for n, k in zip(names, keys)}
+    named_hot = hot.select(*[F.concat(F.lit("="), F.col(k).cast("string")).alias(n) for n, k in zip(names, keys)], "_hot")
+    salted_rows = rows.withColumns(spread).join(named_hot, names, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), deal).otherwise(F.lit(0)))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_table = table.join(few, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_rows.join(salted_table, [*keys, "_salt"], "left").drop("_salt", "_hot")
+    named_table = table.where(~no_key).withColumns({n: F.concat(F.lit("="), F.col(k).cast("string")) for n, k in zip(names, keys)})
+    salted_table = named_table.join(named_hot, names, "left").withColumn("_salt", F.explode(copies)).drop("_hot", *keys)
+    return salted_rows.join(salted_table, [*names, "_salt"], "left").drop("_salt", "_hot", *names)
 
 
 def digested(df: DataFrame, *columns: str) -> DataFrame:

@@ -79,8 +79,3 @@ def approx_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Seq
     return df.groupBy(*by).agg(*[
         F.percentile_approx(value, F.lit(p), F.lit(accuracy)).cast("double").alias(name) for name, p in probs.items()
     ])
-
-
-def small_quantile(value: str | Column, p: float) -> Column:
-    """The built-in exact percentile, for columns already reduced to days or classes."""
-    return F.percentile(value, F.lit(p))

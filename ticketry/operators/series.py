@@ -46,8 +46,7 @@ def dense(series: DataFrame, fill: float | int | None = None) -> DataFrame:
     out = spine(series).join(series, [KEY, DAY], "left")
     if fill is None:
         text = F.concat(F.lit("no ticket on "), F.col(DAY).cast("string"), F.lit(" in series "), F.col(KEY))
-        kind = series.schema[VALUE].dataType
-        return out.withColumn(VALUE, F.when(F.col(VALUE).isNotNull(), F.col(VALUE)).otherwise(F.raise_error(text).cast(kind)))
+        return out.where(F.when(F.col(VALUE).isNotNull(), F.lit(True)).otherwise(F.raise_error(text).cast("boolean")))
     return out.fillna({VALUE: fill})
 
 

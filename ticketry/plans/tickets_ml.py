@@ -28,7 +28,8 @@ from ticketry.session import keep
 FAMILY, MODEL_NAME = "prioridade", "linearsvc_prioridade"
 LABEL, TEXT, PRODUCT = "prioridade", "descricao_resumida", "produto_prep"
 FEATURES = [TEXT, PRODUCT]
-VOCABULARY_LIMIT = 1 << 18
+#: What the vocabulary's size parameter holds at most; stands for "all terms".
+ALL_TERMS = 2**31 - 1
 
 
 # -- population and features -------------------------------------------------------------
@@ -114,7 +115,7 @@ def fit_features(train: DataFrame, what: TextFeatures) -> PipelineModel:
         grams = ", ".join(f"_w{n}" for n in range(1, what.max_ngram + 1))
         words.append(SQLTransformer(statement=f"SELECT *, concat({grams}) AS _terms FROM __THIS__"))
         words.append(CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=what.min_df,
-                                     vocabSize=min(what.max_features, VOCABULARY_LIMIT)))
+                                     vocabSize=ALL_TERMS if what.max_features is None else what.max_features))
         counted = Pipeline(stages=words).fit(train)
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(train)).idf
         stages += counted.stages

@@ -252,9 +252,3 @@ def coefficients(model: PipelineModel, features: Sequence[str], spark) -> DataFr
     values = model.stages[-1].coefficients.toArray()
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, values)], "feature string, coef double").orderBy(
         F.desc(F.abs("coef")), "feature")
-
-
-def weekly_error(scored: DataFrame, target: str, predicted: str = "valor_previsto") -> DataFrame:
-    """MAE per ISO week."""
-    err = F.abs(F.col(target).cast("double") - F.col(predicted))
-    return scored.groupBy(F.weekofyear(DAY).alias("semana")).agg(F.avg(err).alias("mae"), F.count(F.lit(1)).alias("n"))

@@ -153,8 +153,11 @@ STAND_IN_RULES = Rules(
 )
 
 # Columns that only exist after a ticket has been handled: never a model input.
-LEAKAGE_COLUMNS = (
-    "resolvido", "encerrado", "duracao_segundos", "duracao_valida", "duracao_dias",
-    "duracao_outlier_flag", "codigo_fechamento", "solucao", "incidente_pai", "status",
-    "entrou_kpi", "kpi_violado", "categoria", "subcategoria", "foi_resolvido",
+# Fixed values, in the order of the source's own list.
+LEAKAGE_SOURCE_COLUMNS = (
+    "categoria", "subcategoria", "status", "kpi_violado", "entrou_kpi", "duracao_segundos",
+    "resolvido", "encerrado", "codigo_fechamento", "solucao", "incidente_pai",
 )
+# What cleaning derives from them.
+LEAKAGE_DERIVED_COLUMNS = ("duracao_valida", "duracao_dias", "duracao_outlier_flag", "foi_resolvido")
+LEAKAGE_COLUMNS = (*LEAKAGE_SOURCE_COLUMNS, *LEAKAGE_DERIVED_COLUMNS)

@@ -49,12 +49,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written copy."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def keep(df: DataFrame) -> DataFrame:
     """Cache a frame that several later steps read; lost blocks are recomputed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -53,13 +53,15 @@ class Lake:
     def _current(self, layer: str, name: str):
         if not self._there(f"{self.path(layer, name)}/commits"):
             return None
-        return self._commits(layer, name).orderBy(F.desc("version")).first()
+        return self._commits(layer, name).orderBy(F.desc("version"), "folder").first()
 
     def replace(self, layer: str, name: str, df: DataFrame, columns: list[str] | None = None,
                 partition_by: list[str] | None = None) -> int:
         """Full load. Running it again gives the same content. Returns the rows written.
 
-        The count is observed on the write itself. An empty frame leaves an empty table.
+        The count is observed on the write itself. An empty frame leaves an empty table. There is
+        one writer at a time; if two commit the same version, the one with the smaller folder name
+        stands and the other raises.
         """
         if columns:
             require_columns(df, columns)
@@ -76,6 +78,9 @@ class Lake:
         commit = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"), F.lit(n).cast("long").alias("n_rows"))
         commit.write.mode("append").json(f"{self.path(layer, name)}/commits")
+        held = self._commits(layer, name).where(F.col("version") == version).agg(F.min("folder")).first()[0]
+        if held != folder:
+            raise RuntimeError(f"another writer has committed version {version} of {layer}.{name}")
         return n
 
     def table(self, layer: str, name: str) -> DataFrame:
@@ -121,7 +126,8 @@ class Lake:
         return reader.parquet(f"{self.path(layer, name)}/data")
 
     def exists(self, layer: str, name: str) -> bool:
-        return self._there(f"{self.path(layer, name)}/data")
+        """Whether a write into the table has been committed; a folder that a lost write left does not count."""
+        return self._there(f"{self.path(layer, name)}/data/_SUCCESS")
 
     # -- keyed merge -------------------------------------------------------------------
     def merge(self, layer: str, name: str, updates: DataFrame, keys: list[str], partition: Column) -> int:
@@ -147,7 +153,7 @@ class Lake:
         if not updates.groupBy(*keys).count().where("count > 1").isEmpty():
             raise ValueError(f"the same key appears twice in one merge into {layer}.{name}")
         if not self.exists(layer, name):
-            updates.hint("rebalance", part).write.partitionBy(part).parquet(target)
+            updates.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(target)
             self._drop(stage_in)
             return n
         old = self.spark.read.parquet(target)

@@ -23,10 +23,6 @@ def require_columns(df: DataFrame, needed: list[str]) -> None:
         raise ValueError(f"columns missing: {missing}")
 
 
-def trim_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.strip() for c in df.columns])
-
-
 def with_ingest_order(df: DataFrame, exact_rows: bool) -> DataFrame:
     """Stamp the source order that later decides which duplicate came first.
 
@@ -63,7 +59,9 @@ def read_source(
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         raw = (
             spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-            .option("escape", '"').option("enforceSchema", False).csv(path)
+            .option("escape", '"').option("enforceSchema", False)
+            # a row that is too short or too long fails the job, whatever columns its reader selects
+            .option("mode", "FAILFAST").option("columnPruning", False).csv(path)
         )
     elif fmt == "json":
         # With an explicit schema an unexpected field would be dropped unseen, so the names

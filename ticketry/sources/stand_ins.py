@@ -160,11 +160,9 @@ def signals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with their quality label (NULL where none) and a split by id."""
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
-    return docs.join(labels, "doc_id", "left").select(
-        "doc_id", "text", "lang", "source", "n_chars", "quality",
+    """Documents with a split by id."""
+    return spark.read.parquet(f"{folder}/documents.parquet").select(
+        "doc_id", "text", "lang", "source", "n_chars",
         F.expr("CASE WHEN doc_id % 10 < 6 THEN 'TRAIN' WHEN doc_id % 10 < 8 THEN 'VAL' ELSE 'TEST' END").alias("split"),
     )
 
