@@ -1,13 +1,14 @@
 """Near duplicates among vectors of a label: learned binary codes, multi-index Hamming tables, exact comparison.
 
-Rotations are learned by iterative quantisation. Every code is cut into substrings; vectors that agree in one meet in a
-bucket of that table, where their original vectors are compared. Codes that differ in fewer bits than there are tables
-always meet, and the number of tables is such that a pair at the threshold meets with probability ``recall``. A pair that
-meets in several tables counts in the first one, so counts need no list of pairs.
+Rotations are learned by iterative quantisation. Every code is cut into substrings; codes that agree in one meet in a
+bucket of that table, and those within the Hamming radius of the threshold (``z`` standard deviations included) become
+candidates. Codes that differ in fewer bits than there are tables always meet, and the number of tables is such that a
+pair at the threshold meets with probability ``recall``. Only codes go to the buckets. The original vectors of each group
+of candidates are then brought together once and compared exactly, all pairs of the group.
 
-Equal vectors of a label are one node with a number of copies. A bucket above ``block_rows`` is dealt into blocks, and
-each pair of blocks is one piece of work; pieces give out sums and one root a row, never pairs. So a group that holds a
-third of all rows costs work, not memory or rows.
+Equal vectors of a label are one node with a number of copies. A bucket or group above ``block_rows`` is dealt into
+blocks, and each pair of blocks is one piece of work; pieces give out sums and one root a row, never pairs. So a group
+that holds a third of all rows costs work, not memory or rows.
 
 Defined cases: null labels and vectors that are null, zero, with null or non-finite components, or of another length than
 most link with nothing (n_links 0, own component); a null id gets n_links and the component of its group, kept false;
@@ -16,7 +17,7 @@ repeated ids are rows of their own; an empty table gives no rows; extra columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketry.llm import codes
-from ticketry.llm.common import small_batches, written
+from ticketry.llm.common import give_back, small_batches, written
 from ticketry.llm.components import components
 
-FOUND = "rep long, n_links long, root long"
+PIECE = ["bucket", "low", "high"]
 
 
 def table_shape(rows: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -37,21 +38,6 @@ def table_shape(rows: int, threshold: float, recall: float) -> tuple[int, int]:
     return width, max(2, int(np.ceil(np.log(1 - recall) / np.log(1 - meet))))
 
 
-class Bucket:
-    """Links inside one bucket, or between two blocks of one: adds to the sums and roots of a batch."""
-
-    def __init__(self, threshold: float) -> None:
-        self.threshold = threshold
-
-    def links(self, unit: np.ndarray, parts: np.ndarray, table: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions (i, j) of linked pairs, i from ``left`` and j from ``right``, that meet first in ``table``."""
-        i, j = np.nonzero(unit[left] @ unit[right].T >= self.threshold)
-        i, j = left[i], right[j]
-        i, j = i[i < j], j[i < j]
-        new = ~(parts[i, :table] == parts[j, :table]).any(axis=1)
-        return i[new], j[new]
-
-
 def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest position reachable from each of ``n`` positions by the links (i, j)."""
     root = np.arange(n)
@@ -66,8 +52,88 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
+def in_pieces(rows: DataFrame, bucket: str, size: str, block_rows: int, *columns: str) -> DataFrame:
+    """``columns`` of ``rows`` dealt to the pieces of their buckets, sorted by piece: each block, and each pair of blocks."""
+    blocks = F.ceil(F.col(size) / block_rows).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select(F.col(bucket).alias("bucket"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", *columns)
+    return rows.repartition(*PIECE).sortWithinPartitions(*PIECE, "rep")
+
+
+def by_piece(compare: Callable[[pd.DataFrame], np.ndarray], finish: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame]):
+    """A function for mapInPandas: the links of each piece as a symmetric matrix, without those that its blocks' own pieces find; then ``finish``."""
+
+    def one(group: pd.DataFrame) -> pd.DataFrame | None:
+        linked = compare(group)
+        if group["low"].iat[0] != group["high"].iat[0]:
+            block = group["block"].to_numpy()
+            linked &= block[:, None] != block[None, :]
+        np.fill_diagonal(linked, False)
+        return finish(group, linked) if linked.any() else None
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by piece; a piece may go over several batches."""
+        rest = None
+        for frame in frames:
+            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            change = np.nonzero((rest[PIECE].to_numpy()[1:] != rest[PIECE].to_numpy()[:-1]).any(axis=1))[0] + 1
+            starts = [0, *change.tolist()]
+            made = [one(rest.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
+            rest = rest.iloc[starts[-1]:]
+            if made := [m for m in made if m is not None]:
+                yield pd.concat(made, ignore_index=True)
+        if rest is not None and len(rest) > 1 and (last := one(rest)) is not None:
+            yield last
+        give_back()
+
+    return run
+
+
+def near_codes(radius: int):
+    def compare(group: pd.DataFrame) -> np.ndarray:
+        code = np.frombuffer(b"".join(group["code"]), np.uint64).reshape(len(group), -1)
+        apart = np.zeros((len(code), len(code)), np.uint16)
+        for word in code.T:
+            apart += np.bitwise_count(word[:, None] ^ word[None, :])
+        return apart <= radius
+
+    return compare
+
+
+def near_vectors(threshold: float):
+    def compare(group: pd.DataFrame) -> np.ndarray:
+        unit = np.frombuffer(b"".join(group["unit"]), "<f8").reshape(len(group), -1)
+        return unit @ unit.T >= threshold
+
+    return compare
+
+
+def matrix_roots(linked: np.ndarray) -> np.ndarray:
+    """The smallest position reachable from each position of a symmetric matrix of links."""
+    n = len(linked)
+    root = np.arange(n, dtype=np.int32)
+    while True:
+        low = np.minimum(root, np.where(linked, root[None, :], np.int32(n)).min(axis=1))
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def rooted(group: pd.DataFrame, linked: np.ndarray) -> pd.DataFrame:
+    rep, root = group["rep"].to_numpy(), matrix_roots(linked)
+    some = root != np.arange(len(rep))
+    return pd.DataFrame({"rep": rep[some], "root": rep[root[some]]})
+
+
+def counted(group: pd.DataFrame, linked: np.ndarray) -> pd.DataFrame:
+    rep, root = group["rep"].to_numpy(), matrix_roots(linked)
+    n = np.where(linked, group["copies"].to_numpy(np.int64)[None, :], 0).sum(axis=1)
+    return pd.DataFrame({"rep": rep[n > 0], "n_links": n[n > 0], "root": rep[root[n > 0]]})
+
+
 def near_duplicates(table: DataFrame, threshold: float = 0.93, recall: float = 0.995, key: str = "vec_id", vector: str = "embedding", label: str = "label",
-                    sample_rows: int = 4096, block_rows: int = 1024) -> DataFrame:
+                    z: float = 4.0, sample_rows: int = 4096, block_rows: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept per row."""
     small_batches(table.sparkSession)
     everything = table.select(F.col(key).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("_v"))
@@ -79,61 +145,33 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, recall: float = 0
     nodes = written(same.select(F.coalesce("vec_id", "h1").alias("rep"), "label", "h1", "h2", "copies", "_v"), "nodes")
     width, tables = table_shape(nodes.count(), threshold, recall)
     rotations = codes.learn_rotations(codes.sample_matrix(nodes, "rep", sample_rows), width * tables)
+    share = codes.bits_apart(threshold)
+    radius = int(np.ceil(width * tables * share + z * np.sqrt(width * tables * share * (1 - share))))
 
     def coded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x = np.stack(frame["_v"].tolist()) if len(frame) else np.zeros((0, len(rotations)))
-            parts = codes.substrings(codes.sign_bits(x, rotations), width).astype("<i4")
+            bits = codes.sign_bits(x, rotations)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-            yield pd.DataFrame({"rep": frame["rep"], "label": frame["label"], "copies": frame["copies"], "parts": [p for p in parts],
-                                "unit": [u.astype("<f8").tobytes() for u in unit]})
+            yield pd.DataFrame({"rep": frame["rep"], "label": frame["label"], "copies": frame["copies"], "code": [c.tobytes() for c in codes.pack(bits)],
+                                "parts": [p for p in codes.substrings(bits, width).astype("<i4")], "unit": [u.astype("<f8").tobytes() for u in unit]})
 
     kind = nodes.schema["label"].dataType.simpleString()
-    code = nodes.select("rep", "label", "copies", "_v").mapInPandas(coded, f"rep long, label {kind}, copies long, parts array<int>, unit binary")
-    code = written(code, "codes")
-    slots = code.select("rep", "label", F.posexplode("parts").alias("tab", "value"))
-    sizes = slots.groupBy("label", "tab", "value").agg(F.count("*").alias("n")).where("n > 1")
-    met = code.select("rep", "label", "copies", "parts", "unit", F.posexplode("parts").alias("tab", "value")).join(sizes, ["label", "tab", "value"])
-    blocks = F.ceil(F.col("n") / block_rows).cast("int")
-    met = met.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        F.xxhash64("label", "tab", "value").alias("bucket"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "tab", "block", "rep", "copies", "parts", "unit")
-    piece = ["bucket", "low", "high"]
-    met = met.repartition(*piece).sortWithinPartitions(*piece, "rep")
-    bucket = Bucket(threshold)
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame | None:
-        unit = np.frombuffer(b"".join(group["unit"]), "<f8").reshape(len(group), -1)
-        parts = np.stack(group["parts"].tolist())
-        low, high = int(group["low"].iat[0]), int(group["high"].iat[0])
-        at, block = np.arange(len(group)), group["block"].to_numpy()
-        i, j = bucket.links(unit, parts, int(group["tab"].iat[0]), at, at)
-        if low != high:  # pairs inside a block are found in that block's own piece
-            i, j = i[block[i] != block[j]], j[block[i] != block[j]]
-        if not len(i):
-            return None
-        copies, rep = group["copies"].to_numpy(), group["rep"].to_numpy()
-        n = np.bincount(i, copies[j], len(group)) + np.bincount(j, copies[i], len(group))
-        root = roots(len(group), i, j)
-        some = n > 0
-        return pd.DataFrame({"rep": rep[some], "n_links": n[some].astype(np.int64), "root": rep[root[some]]})
-
-    def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by piece; a piece may go over several batches."""
-        rest = None
-        for frame in frames:
-            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            change = np.nonzero((rest[piece].to_numpy()[1:] != rest[piece].to_numpy()[:-1]).any(axis=1))[0] + 1
-            starts = [0, *change.tolist()]
-            made = [compare(rest.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
-            rest = rest.iloc[starts[-1]:]
-            if made := [m for m in made if m is not None]:
-                yield pd.concat(made, ignore_index=True)
-        if rest is not None and len(rest) > 1 and (last := compare(rest)) is not None:
-            yield last
-
-    found = written(met.mapInPandas(pieces, FOUND), "found")
+    code = written(nodes.select("rep", "label", "copies", "_v").mapInPandas(
+        coded, f"rep long, label {kind}, copies long, code binary, parts array<int>, unit binary"), "codes")
+
+    # candidates: codes that meet in a bucket and are near
+    slots = code.select("rep", "code", "label", F.posexplode("parts").alias("tab", "value")).select("rep", "code", F.xxhash64("label", "tab", "value").alias("slot"))
+    sizes = slots.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1")
+    met = in_pieces(slots.join(sizes, "slot"), "slot", "n", block_rows, "code")
+    near = written(met.mapInPandas(by_piece(near_codes(radius), rooted), "rep long, root long").distinct(), "near")
+    group = written(components(near, "rep", "root").select(F.col("node").alias("rep"), F.col("root").alias("cand")), "groups")
+
+    # links: all pairs of a group, by their vectors
+    members = code.select("rep", "copies", "unit").join(group, "rep")
+    sizes = group.groupBy("cand").agg(F.count("*").alias("n"))
+    pieces = in_pieces(members.join(sizes, "cand"), "cand", "n", block_rows, "copies", "unit")
+    found = written(pieces.mapInPandas(by_piece(near_vectors(threshold), counted), "rep long, n_links long, root long"), "found")
     linked = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
     group = components(found, "rep", "root")
     known = (nodes.select("rep", "label", "h1", "h2", "copies").join(linked, "rep", "left").join(group, F.col("rep") == F.col("node"), "left")
