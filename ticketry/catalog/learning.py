@@ -91,11 +91,18 @@ add("m02_m12_single_lag_experiments", _small_experiments, on_series(
     f"SELECT 'E01', split, {_EXP_SQL} FROM (SELECT e.split, y, greatest(b0 + b1 * x, 0) AS p FROM e, (SELECT regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0 FROM e WHERE split = 'TRAIN')) GROUP BY 2",
     _E00, f"e AS (SELECT y, x, {_cut('I')} AS split FROM d WHERE warm IS NOT NULL AND y IS NOT NULL)"))
 
-add("m02_m12_volume_experiments", lambda spark, d: V.experiment_table(daily_dataset(spark, d), V.standard_experiments(R, ("D+7",)), R))
+add("m02_m12_volume_experiments", lambda spark, d: V.experiment_table(daily_dataset(spark, d), V.standard_experiments(R), R))
+
+
+# Fixed values of the fine grids.
+GRID_ALPHAS = (0.001, 0.01, 0.1, 0.5, 1, 2, 5, 10, 20, 50, 100)
+GRID_DEPTHS, GRID_TREES = (2, 3, 4, 5, 6), (100, 200, 300)
 
 
 def _grid(spark, d) -> DataFrame:
-    return V.experiment_table(daily_dataset(spark, d), V.alpha_grid(R.d7_features, (0.001, 0.1, 1, 10, 100)) + V.tree_grid(R.lag_columns, (2, 4), (50,)), R)
+    return V.experiment_table(daily_dataset(spark, d), [
+        e for h, columns in (("D+1", R.lag_columns), ("D+7", R.d7_features))
+        for e in V.alpha_grid(columns, GRID_ALPHAS, h) + V.tree_grid(columns, GRID_DEPTHS, GRID_TREES, h)], R)
 
 
 add("m13_best_alpha_and_tree", lambda spark, d: V.best_on_val(_grid(spark, d)))
@@ -246,11 +253,11 @@ def _text_experiments(spark, d) -> DataFrame:
 
 
 add("m12_text_experiments", _text_experiments)
-add("a48_text_experiment_pivot", lambda spark, d: M.experiment_pivot(ML.experiment_table(*_experiment_rows(spark, d), ML.standard_experiments()[1:3], CLASSES)))
+add("a48_text_experiment_pivot", lambda spark, d: M.experiment_pivot(ML.experiment_table(*_experiment_rows(spark, d), ML.standard_experiments(), CLASSES)))
 add("m18_text_variants", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), ML.variant_experiments(), CLASSES))
-add("m13_svc_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experiment_rows(spark, d), ML.svc_grid((0.5, 2.0), (1, 2), (1,)), CLASSES)))
-add("m13_class_weight_grid", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), ML.weight_grid((0.3, 3.0)), CLASSES))
-add("m13_tfidf_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experiment_rows(spark, d), ML.tfidf_grid((1, 2), (1, 5), (5000,)), CLASSES)))
+add("m13_svc_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experiment_rows(spark, d), ML.svc_grid(), CLASSES)))
+add("m13_class_weight_grid", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), ML.weight_grid(), CLASSES))
+add("m13_tfidf_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experiment_rows(spark, d), ML.tfidf_grid(), CLASSES)))
 add("m07_forest_on_structure", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), [
     ML.TextExperiment("B2_estrut_RF", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por", "item_config_prep")), ML.TextModel("forest", trees=50, depth=6, balanced=True)),
     ML.TextExperiment("B1_estrut_LR", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por")), ML.TextModel("logistic", balanced=True)),
@@ -260,7 +267,7 @@ add("m07_forest_on_structure", lambda spark, d: ML.experiment_table(*_experiment
 def _rare_cuts(spark, d) -> DataFrame:
     rows = _category_rows(spark, d).where("rotulado")
     what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), (), 1, 2, 5000)
-    return ML.rare_label_experiments(rows.where("split = 'TRAIN'"), rows.where("split = 'VAL'"), "categoria", "numero", what, ML.TextModel("logistic", max_iter=15), (10, 30))
+    return ML.rare_label_experiments(rows.where("split = 'TRAIN'"), rows.where("split = 'VAL'"), "categoria", "numero", what, ML.TextModel("logistic", max_iter=15), (10, 20, 30, 50))
 
 
 add("p30_rare_cut_experiment", _rare_cuts)
