@@ -2,6 +2,6 @@
 
 
 def all_catalogs():
-    from ticketry.catalog import analysis, learning, tables
+    from ticketry.catalog import analysis, jobs, learning, tables
 
-    return [tables.catalog, analysis.catalog, learning.catalog]
+    return [tables.catalog, analysis.catalog, learning.catalog, jobs.catalog]

@@ -210,11 +210,25 @@ def _describe_sql(column: str, source: str) -> str:
           f"skewness(v) AS sk, kurtosis(v) AS ku FROM (SELECT cast({column} as double) AS v FROM {source}))")
 
 
-add("a26_describe_duration", lambda spark, d: rounded(S.describe_numeric(SI.tickets(spark, d, "duracao_segundos"), "duracao_segundos", 4096.0), 4), on_tickets(_describe_sql("duracao_segundos", "tickets")))
-add("a26_describe_daily_volume", lambda spark, d: rounded(S.describe_numeric(dense_volume(spark, d), "volume_total", 64.0), 4), on_series(_describe_sql("volume_total", "serie")))
+add("a26_describe_duration", lambda spark, d: rounded(S.describe_numeric(SI.tickets(spark, d, "duracao_segundos"), "duracao_segundos"), 4), on_tickets(_describe_sql("duracao_segundos", "tickets")))
+add("a26_describe_daily_volume", lambda spark, d: rounded(S.describe_numeric(dense_volume(spark, d), "volume_total"), 4), on_series(_describe_sql("volume_total", "serie")))
 add("a05_duration_quantiles",
     lambda spark, d: rounded(Q.exact_quantiles(SI.tickets(spark, d, "prioridade", "duracao_segundos"), "duracao_segundos", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, ["prioridade"])),
     on_tickets("SELECT prioridade, round(quantile_cont(duracao_segundos, 0.5), 6) AS p50, round(quantile_cont(duracao_segundos, 0.9), 6) AS p90, round(quantile_cont(duracao_segundos, 0.99), 6) AS p99 FROM tickets GROUP BY 1"))
+_MONEY = {"desconto": "cast(l_discount as double)", "preco": "cast(l_extendedprice as double)", "amplo": "cast(l_extendedprice as double) * cast(l_extendedprice as double) * 100"}
+
+
+def _money_quantiles(spark, d) -> DataFrame:
+    """Columns of a small, a middle and a very wide range, per return flag."""
+    rows = spark.read.parquet(f"{d}/lineitem.parquet")
+    parts = [rounded(Q.exact_quantiles(rows.select("l_returnflag", F.expr(e).alias("v")), "v", {"p25": 0.25, "p50": 0.5, "p99": 0.99}, ["l_returnflag"]), 2).select(
+        F.lit(name).alias("coluna"), "l_returnflag", "p25", "p50", "p99") for name, e in _MONEY.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+add("a05_money_quantiles", _money_quantiles, " UNION ALL ".join(
+    f"SELECT '{name}' AS coluna, l_returnflag, round(quantile_cont({e}, 0.25), 2) AS p25, round(quantile_cont({e}, 0.5), 2) AS p50, round(quantile_cont({e}, 0.99), 2) AS p99 FROM lineitem GROUP BY 2"
+    for name, e in _MONEY.items()))
 add("a05_duration_quantile_sketch", lambda spark, d: Q.approx_quantiles(SI.tickets(spark, d, "duracao_segundos"), "duracao_segundos", {"p99": 0.99}))
 
 

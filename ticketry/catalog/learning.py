@@ -205,26 +205,35 @@ def _category_rows(spark, d) -> DataFrame:
 
 
 def _suggestions(spark, d) -> DataFrame:
-    """Categories suggested for the tickets of the current regime that have none."""
+    """Categories suggested for the tickets of the current regime that have none.
+
+    A margin classifier over text, structure and frequency of the item, learned from TRAIN and VAL.
+    """
     rows = _category_rows(spark, d)
-    known = rows.where("rotulado")
-    learn = N.bucket_rare_labels(known, known, "categoria", "numero", 50)
-    what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), (), 1, 2, 5000)
-    model = ML.fit(learn, "categoria", what, ML.TextModel("logistic", max_iter=15))
-    open_ones = rows.where(~F.col("rotulado") & (F.col("data_abertura") >= F.lit(R.regime_cut).cast("date")))
+    known = rows.where("rotulado AND split IN ('TRAIN', 'VAL')")
+    items = lambda df: N.bucket_rare(known, df, "item_configuracao", "numero", 5, "RARO", None, "_ic_bucket")
+    learned = items(known)
+    learn = N.bucket_rare_labels(known, N.with_frequency(learned, learned, "_ic_bucket", "numero"), "categoria", "numero", 50)
+    what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), ("freq_log",), 1, 2, 5000)
+    model = ML.fit(learn, "categoria", what, ML.TextModel("svc", balanced=True))
+    open_ones = items(rows.where(~F.col("rotulado") & (F.col("data_abertura") >= F.lit(R.regime_cut).cast("date"))))
+    open_ones = N.with_frequency(learned, open_ones, "_ic_bucket", "numero")
     return ML.suggest(model, open_ones).select("numero", F.to_json("sugestoes").alias("sugestoes"))
 
 
-def _category_experiments(spark, d) -> DataFrame:
-    """Category families on the labelled tickets, rare labels grouped by the TRAIN counts."""
+def category_frames(spark, d) -> tuple[DataFrame, DataFrame]:
+    """TRAIN and VAL of the labelled tickets, rare labels grouped by the TRAIN counts."""
     known = _category_rows(spark, d).where("rotulado")
     train = known.where("split = 'TRAIN'")
     rows = N.bucket_rare(train, known, "item_configuracao", "numero", 5, "RARO", None, "_ic_bucket")
     rows = N.with_frequency(rows.where("split = 'TRAIN'"), rows, "_ic_bucket", "numero")
     rows = ML.with_calendar_labels(N.bucket_rare_labels(train, rows, "categoria", "numero", 30))
     judged = N.with_seen_flag(train, rows.where("split = 'VAL'"), TEXT, "numero")
-    picked = [e for e in ML.category_experiments(max_iter=15, forest_trees=30) if e.how.kind != "svc"]
-    return ML.experiment_table(rows.where("split = 'TRAIN'"), judged, picked)
+    return rows.where("split = 'TRAIN'"), judged
+
+
+def _category_experiments(spark, d) -> DataFrame:
+    return ML.experiment_table(*category_frames(spark, d), ML.category_experiments(max_iter=15, forest_trees=30))
 
 
 def _internal_novelty(spark, d) -> DataFrame:
@@ -262,6 +271,8 @@ add("m07_forest_on_structure", lambda spark, d: ML.experiment_table(*_experiment
     ML.TextExperiment("B2_estrut_RF", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por", "item_config_prep")), ML.TextModel("forest", trees=50, depth=6, balanced=True)),
     ML.TextExperiment("B1_estrut_LR", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por")), ML.TextModel("logistic", balanced=True)),
 ], CLASSES))
+add("m07_boosted_on_structure", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), [
+    ML.TextExperiment("B3_estrut_boosted", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por")), ML.TextModel("boosted", trees=20, depth=3, balanced=True))], CLASSES))
 
 
 def _rare_cuts(spark, d) -> DataFrame:

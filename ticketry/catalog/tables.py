@@ -259,13 +259,7 @@ def _one_scan_counts(spark, d) -> DataFrame:
     """All count tables out of one grouping-set scan, stacked as (tabela, chave, total)."""
     silver = SI.tickets(spark, d, "data_abertura", "prioridade", "grupo_designado", "aberto_por", "status", "categoria",
                         "codigo_fechamento", "entrou_kpi", "kpi_violado", "aberto", "dia_semana")
-    tables = gold.split_counts(gold.all_counts(silver, R))
-    parts = [
-        df.select(F.lit(n).alias("tabela"),
-                  F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns if c != "total_incidentes"]).alias("chave"),
-                  "total_incidentes")
-        for n, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return gold.stacked_counts(gold.all_counts(silver, R))
 
 
 def _stacked(name: str) -> str:

@@ -13,6 +13,8 @@ TEMPLATE_RULES = (
     (r"(?U)\b(?:[a-zA-Z0-9-]+\.)+[a-zA-Z]{2,}\b", "<DOMINIO>"),
     (r"\p{Nd}+", "<NUM>"),
 )
+# The address rule as it runs: the same matches, but a run of letters without '@' is read once.
+ADDRESS = r"(?<![\p{L}\p{N}_.-])[\p{L}\p{N}_.-]++@[\p{L}\p{N}_.-]++"
 ITEM_ID = r"IC\p{Nd}+"
 WORD = r"(?U)\b\w\w+\b"
 
@@ -25,7 +27,7 @@ def as_template(c: str | Column) -> Column:
     """Text with ids, addresses, domains and numbers replaced by placeholders; NULL stays."""
     out = _col(c)
     for pattern, label in TEMPLATE_RULES:
-        out = F.regexp_replace(out, pattern, label)
+        out = F.regexp_replace(out, ADDRESS if label == "<EMAIL>" else pattern, label)
     return out
 
 

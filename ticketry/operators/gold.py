@@ -122,14 +122,26 @@ def _set_id(present: list[str]) -> int:
     return bits
 
 
+def count_sets() -> dict[str, list[str]]:
+    """Count table -> its keys."""
+    daily = {name: [DAY] + ([dimension] if dimension else []) for name, dimension in DAILY_TABLES.items()}
+    return {**daily, "incidentes_diario_kpi": [DAY, *_KPI_SET], "incidentes_horario": [*_HOUR_SET]}
+
+
+def stacked_counts(long: DataFrame) -> DataFrame:
+    """(tabela, chave, total_incidentes) of all count tables in one pass over ``all_counts``."""
+    table = key = None
+    for name, keys in count_sets().items():
+        mine = F.col("_set") == _set_id(keys)
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in keys])
+        table = F.when(mine, F.lit(name)) if table is None else table.when(mine, F.lit(name))
+        key = F.when(mine, text) if key is None else key.when(mine, text)
+    whole = (F.col("_set") != _set_id([*_HOUR_SET])) | (F.col("hora").isNotNull() & F.col("dia_semana").isNotNull())
+    return long.where(whole).select(table.alias("tabela"), key.alias("chave"), TOTAL)
+
+
 def split_counts(long: DataFrame) -> dict[str, DataFrame]:
     """The count tables back out of ``all_counts``. Write or cache ``long`` first."""
-    tables = {}
-    for name, dimension in DAILY_TABLES.items():
-        keys = [DAY] + ([dimension] if dimension else [])
-        tables[name] = long.where(F.col("_set") == _set_id(keys)).select(*keys, TOTAL)
-    tables["incidentes_diario_kpi"] = (
-        long.where(F.col("_set") == _set_id([DAY, *_KPI_SET])).select(DAY, *_KPI_SET, TOTAL))
-    tables["incidentes_horario"] = (
-        long.where(F.col("_set") == _set_id([*_HOUR_SET])).select(*_HOUR_SET, TOTAL).dropna())
+    tables = {name: long.where(F.col("_set") == _set_id(keys)).select(*keys, TOTAL) for name, keys in count_sets().items()}
+    tables["incidentes_horario"] = tables["incidentes_horario"].dropna()
     return tables

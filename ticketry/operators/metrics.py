@@ -133,11 +133,11 @@ def transitions(df: DataFrame, real: str, predicted: str, top: int | None = None
 def class_mix(df: DataFrame, real: str, predicted: str) -> DataFrame:
     """Share in percent of every class among the real and among the predicted labels."""
     classes = per_class(confusion(df, real, predicted))
-    whole = Window.partitionBy()
+    whole = classes.agg(F.sum("suporte").alias("_real"), F.sum("previstos").alias("_previsto"))
     pct = F.lit(100.0)
-    return classes.select(
-        "classe", (pct * C.ratio(F.col("suporte"), F.sum("suporte").over(whole))).alias("pct_real"),
-        (pct * C.ratio(F.col("previstos"), F.sum("previstos").over(whole))).alias("pct_previsto"))
+    return classes.crossJoin(F.broadcast(whole)).select(
+        "classe", (pct * C.ratio(F.col("suporte"), F.col("_real"))).alias("pct_real"),
+        (pct * C.ratio(F.col("previstos"), F.col("_previsto"))).alias("pct_previsto"))
 
 
 def error_rate_by(df: DataFrame, group: str, real: str, predicted: str, min_rows: int = 30, top: int | None = 10) -> DataFrame:
@@ -155,11 +155,11 @@ def error_share_by(df: DataFrame, group: str, real: str, predicted: str) -> Data
     """Each group's share of the errors next to its share of all rows, in percent."""
     wrong = F.col(real) != F.col(predicted)
     counts = df.groupBy(group).agg(F.count_if(wrong).alias("erros"), F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy()
+    whole = counts.agg(F.sum("erros").alias("_erros"), F.sum("n").alias("_n"))
     pct = F.lit(100.0)
-    return counts.select(group, "erros", "n",
-                         (pct * C.ratio(F.col("erros"), F.sum("erros").over(whole))).alias("pct_erros"),
-                         (pct * C.ratio(F.col("n"), F.sum("n").over(whole))).alias("pct_base"))
+    return counts.crossJoin(F.broadcast(whole)).select(
+        group, "erros", "n", (pct * C.ratio(F.col("erros"), F.col("_erros"))).alias("pct_erros"),
+        (pct * C.ratio(F.col("n"), F.col("_n"))).alias("pct_base"))
 
 
 def peak_and_valley(df: DataFrame, real: str, predicted: str) -> DataFrame:

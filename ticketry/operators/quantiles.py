@@ -1,8 +1,9 @@
 """Exact linear-interpolated quantiles that never gather a group's values in one task.
 
 The built-in exact ``percentile`` keeps a value -> count map per group in one buffer. Here the
-values are counted first (hash-partitioned by group and value), then a histogram of fixed-width
-bins finds the bin that holds each wanted rank, and only that bin's distinct values are ordered.
+values are counted first (hash-partitioned by group and value), then a histogram finds the bin that
+holds each wanted rank, and only that bin's distinct values are ordered. The bins' edges come from
+the data: each bin holds about the same number of counted values, whatever the range or the shape.
 """
 
 from __future__ import annotations
@@ -14,23 +15,26 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), width: float = 4096.0,
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), bins: int = 64,
     weight: str | None = None,
 ) -> DataFrame:
     """One row per group with one column per entry of ``probs``.
 
-    ``width`` is the bin width. A task orders at most ``range / width`` bins of one group, and
-    then the distinct values inside one bin: choose it so that both stay small for the column
-    (the default suits whole seconds).
+    A task orders at most ``bins`` bins of one group, and then the distinct values inside one bin:
+    about one in ``bins`` of all. The edges are a sketch's quantiles of the distinct values, one
+    row that is broadcast; they only say how work is dealt, the result is exact.
     """
     by = list(by)
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_v")).agg(n.cast("long").alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / F.lit(float(width))).cast("long"))
-        .where(F.col("_bin").isNotNull())  # stated here so that both readers share one exchange
+        .where("_n > 0")  # reads both columns, so that all readers share one exchange
     )
+    inner = [F.lit(i / bins) for i in range(1, bins)]
+    edges = counts.agg(F.percentile_approx(F.col("_v").cast("double"), F.array(*inner), F.lit(16 * bins)).alias("_edges"))
+    below = F.filter("_edges", lambda edge: edge <= F.col("_v").cast("double"))
+    counts = counts.crossJoin(F.broadcast(edges)).withColumn("_bin", F.size(below)).drop("_edges")
     group = Window.partitionBy(*by)
     running = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bins = (

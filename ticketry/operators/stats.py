@@ -87,14 +87,14 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         "linhas", "duplicadas", F.round(F.lit(100.0) * C.ratio(F.col("duplicadas"), F.col("linhas")), 2).alias("pct"))
 
 
-def describe_numeric(df: DataFrame, column: str, width: float) -> DataFrame:
+def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std, min, quartiles, max, median, bias-corrected skew and kurtosis, CV."""
     v = F.col(column).cast("double")
     n = F.col("n").cast("double")
     moments = df.agg(
         F.count(v).alias("n"), F.avg(v).alias("media"), F.stddev_samp(v).alias("desvio"), F.min(v).alias("minimo"),
         F.max(v).alias("maximo"), F.skewness(v).alias("_g1"), F.kurtosis(v).alias("_g2"))
-    quartiles = exact_quantiles(df, column, {"p25": 0.25, "mediana": 0.5, "p75": 0.75}, width=width)
+    quartiles = exact_quantiles(df, column, {"p25": 0.25, "mediana": 0.5, "p75": 0.75})
     g1, g2 = F.col("_g1"), F.col("_g2")
     skew = F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
@@ -229,13 +229,14 @@ def slice_excess(df: DataFrame, inside: Column, after: Column) -> DataFrame:
 def pareto(totals: DataFrame, label: str, total: str, top: int | None = None) -> DataFrame:
     """Share and running share by falling total. Equal totals share one running value.
 
-    ``totals`` has one row per class; the running sum orders classes, not tickets.
+    ``totals`` has one row per class. Only the distinct totals are ordered in one task; classes
+    whose totals differ are few, since n such classes hold at least n * n / 2 tickets.
     """
-    everything = Window.partitionBy()
-    falling = Window.orderBy(F.desc(total))
-    out = totals.select(
-        label, total, F.sum(total).over(falling).alias("_run"), F.sum(total).over(everything).alias("_all"))
-    out = out.select(
+    levels = totals.groupBy(F.col(total).alias("_level")).agg(F.sum(total).alias("_sum"))
+    running = Window.orderBy(F.desc_nulls_last("_level")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = levels.select("_level", F.sum("_sum").over(running).alias("_run"))
+    whole = totals.agg(F.sum(total).alias("_all"))
+    out = totals.join(levels, F.col(total).eqNullSafe(F.col("_level"))).crossJoin(F.broadcast(whole)).select(
         label, total,
         F.round(F.lit(100.0) * F.col(total) / F.col("_all"), 1).alias("pct_do_total"),
         F.round(F.lit(100.0) * F.col("_run") / F.col("_all"), 1).alias("pct_acumulado"))
@@ -245,8 +246,9 @@ def pareto(totals: DataFrame, label: str, total: str, top: int | None = None) ->
 
 
 def share_of_total(totals: DataFrame, label: str, total: str) -> DataFrame:
-    whole = F.sum(total).over(Window.partitionBy())
-    return totals.select(label, total, F.round(F.lit(100.0) * F.col(total) / whole, 1).alias("pct_do_total"))
+    whole = totals.agg(F.sum(total).alias("_all"))
+    return totals.crossJoin(F.broadcast(whole)).select(
+        label, total, F.round(F.lit(100.0) * F.col(total) / F.col("_all"), 1).alias("pct_do_total"))
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

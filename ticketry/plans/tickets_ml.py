@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    LinearSVC, LinearSVCModel, LogisticRegression, OneVsRest, RandomForestClassifier,
+    GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.feature import (
     IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer,
@@ -30,6 +30,8 @@ LABEL, TEXT, PRODUCT = "prioridade", "descricao_resumida", "produto_prep"
 FEATURES = [TEXT, PRODUCT]
 #: What the vocabulary's size parameter holds at most; stands for "all terms".
 ALL_TERMS = 2**31 - 1
+#: Labels and category values become columns and are held on the driver; more of them are an error.
+MOST_VALUES = 100_000
 
 
 # -- population and features -------------------------------------------------------------
@@ -149,7 +151,7 @@ def feature_names(model: PipelineModel, what: TextFeatures) -> list[str]:
 
 @dataclass(frozen=True)
 class TextModel:
-    """svc, logistic or forest, with its settings."""
+    """svc, logistic, forest or boosted, with its settings."""
 
     kind: str = "svc"
     c: float = 1.0
@@ -169,6 +171,9 @@ class TextModel:
         if self.kind == "forest":
             return RandomForestClassifier(labelCol="_y", featuresCol="features", numTrees=self.trees, maxDepth=self.depth,
                                           seed=42, **weight)
+        if self.kind == "boosted":
+            one = GBTClassifier(maxIter=self.trees, maxDepth=self.depth, stepSize=0.1, seed=42)
+            return OneVsRest(classifier=one, labelCol="_y", featuresCol="features", **weight)
         raise ValueError(f"unknown model family: {self.kind}")
 
 
@@ -181,17 +186,35 @@ class FittedText:
     what: TextFeatures = field(default_factory=TextFeatures)
 
 
-def fit(train: DataFrame, label: str, what: TextFeatures, how: TextModel) -> FittedText:
-    """Fit matrix and classifier on ``train``. The matrix is cached while the classes are fitted."""
+def require_few_values(df: DataFrame, columns: Sequence[str], most: int = MOST_VALUES) -> None:
+    """Raise if a column has more than about ``most`` values: bucket its rare ones first."""
+    if columns:
+        row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+        if bad := {c: row[c] for c in columns if row[c] > most}:
+            raise ValueError(f"too many values for one column each: {bad}")
+
+
+def fit_all(train: DataFrame, label: str, what: TextFeatures, hows: Sequence[TextModel]) -> list[FittedText]:
+    """Fit the matrix once and every classifier on it. The matrix is cached meanwhile."""
     train = train.where(F.col(label).isNotNull())
-    if how.balanced:
+    require_few_values(train, [label, *what.categories])
+    weights = [c for c in ("peso",) if any(how.balanced for how in hows)]
+    if weights:
         train = train.join(F.broadcast(baselines.class_weights(train, label)), label)
     index = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc", handleInvalid="error").fit(train)
     matrix = fit_features(train, what)
-    ready = keep(matrix.transform(index.transform(train)).select("features", "_y", *(["peso"] if how.balanced else [])))
-    fitted = how.estimator(ready.count()).fit(ready)
-    ready.unpersist()
-    return FittedText(PipelineModel([*matrix.stages, *_scoring_stages(fitted)]), list(index.labels), what)
+    ready = keep(matrix.transform(index.transform(train)).select("features", "_y", *weights))
+    try:
+        n = ready.count()
+        return [FittedText(PipelineModel([*matrix.stages, *_scoring_stages(how.estimator(n).fit(ready))]), list(index.labels), what)
+                for how in hows]
+    finally:
+        ready.unpersist()
+
+
+def fit(train: DataFrame, label: str, what: TextFeatures, how: TextModel) -> FittedText:
+    """Fit matrix and classifier on ``train``."""
+    return fit_all(train, label, what, [how])[0]
 
 
 def _scoring_stages(fitted) -> list:
@@ -204,13 +227,14 @@ def _scoring_stages(fitted) -> list:
         return [fitted]
     out = []
     for i, one in enumerate(fitted.models):
-        out.append(one.copy().setFeaturesCol("features").setRawPredictionCol(f"_raw_{i}").setPredictionCol(f"_pred_{i}"))
+        one = one.copy().setFeaturesCol("features").setRawPredictionCol(f"_raw_{i}").setPredictionCol(f"_pred_{i}")
+        out.append(one.setProbabilityCol(f"_prob_{i}") if hasattr(one, "setProbabilityCol") else one)
     return out
 
 
 def _margins(stages: list):
     """Score of every class, in the order of the labels."""
-    binary = [m for m in stages if isinstance(m, LinearSVCModel)]
+    binary = [m for m in stages if hasattr(m, "getRawPredictionCol") and m.getRawPredictionCol().startswith("_raw_")]
     if not binary:
         return vector_to_array(F.col("rawPrediction"))
     return F.array(*[vector_to_array(F.col(m.getRawPredictionCol()))[1] for m in binary])
@@ -335,7 +359,11 @@ def run_experiment(train_rows: DataFrame, judged: DataFrame, exp: TextExperiment
                    seen: str = "seen_in_train") -> DataFrame:
     """Metrics on COMPLETE, SEEN and NEW of one experiment."""
     novelty.require_no_leakage(exp.what.columns)
-    fitted = fit(train_rows, exp.label, exp.what, exp.how)
+    return judged_by(fit(train_rows, exp.label, exp.what, exp.how), judged, exp, labels, seen)
+
+
+def judged_by(fitted: FittedText, judged: DataFrame, exp: TextExperiment, labels: Sequence[str] | None = None,
+              seen: str = "seen_in_train") -> DataFrame:
     scored = score(fitted, judged)
     return metrics.sliced_classification(scored, exp.label, "previsto", seen, (), labels).withColumn(
         "experimento", F.lit(exp.name))
@@ -343,14 +371,30 @@ def run_experiment(train_rows: DataFrame, judged: DataFrame, exp: TextExperiment
 
 def experiment_table(train_rows: DataFrame, judged: DataFrame, experiments: Sequence[TextExperiment],
                      labels: Sequence[str] | None = None, seen: str = "seen_in_train") -> DataFrame:
+    """One result table; experiments on the same matrix share it."""
     train_rows, judged = keep(train_rows), keep(judged)
-    out = None
+    alike: dict[tuple[str, TextFeatures], list[TextExperiment]] = {}
     for exp in experiments:
-        rows = run_experiment(train_rows, judged, exp, labels, seen)
-        out = rows if out is None else out.unionByName(rows)
+        alike.setdefault((exp.label, exp.what), []).append(exp)
+    out = None
+    for (label, what), group in alike.items():
+        novelty.require_no_leakage(what.columns)
+        for exp, fitted in zip(group, fit_all(train_rows, label, what, [e.how for e in group])):
+            rows = judged_by(fitted, judged, exp, labels, seen)
+            out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def top_k_table(train_rows: DataFrame, judged: DataFrame, exp: TextExperiment, k: int = 3, seen: str = "seen_in_train") -> DataFrame:
+    """Share of rows whose class is among the ``k`` best, on COMPLETE, SEEN and NEW."""
+    novelty.require_no_leakage(exp.what.columns)
+    hit = metrics.top_k_hit(top_labels(k=k), F.col(exp.label), k)
+    counts = score(fit(train_rows, exp.label, exp.what, exp.how), judged).groupBy(seen).agg(
+        F.count_if(hit).alias("acertos"), F.count(F.lit(1)).alias("n"))
+    return metrics.with_slices(counts, seen).groupBy(metrics.SLICE).agg(
+        C.ratio(F.sum("acertos"), F.sum("n")).alias(f"top{k}"), F.sum("n").alias("n")).withColumn("experimento", F.lit(exp.name))
+
+
 def baseline_table(train_rows: DataFrame, judged: DataFrame, label: str = LABEL, labels: Sequence[str] | None = None,
                    seen: str = "seen_in_train", product: str = "produto", channel: str = "aberto_por", text: str = TEXT) -> DataFrame:
     """B1 majority, B2 mode by product, B3 mode by channel, B4 dictionary of exact texts."""

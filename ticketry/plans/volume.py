@@ -130,8 +130,11 @@ def persistence_rows(series: DataFrame, dates: DataFrame) -> DataFrame:
 
 @dataclass
 class Forecast:
+    """Rows for the forecast table, figures on the unseen days, and the cached frame behind both."""
+
     rows: DataFrame
     metrics: DataFrame
+    scored: DataFrame
 
 
 def forecast(series: DataFrame, model: PipelineModel, rules: Rules = Rules(), name: str = MODEL_NAME,
@@ -145,7 +148,7 @@ def forecast(series: DataFrame, model: PipelineModel, rules: Rules = Rules(), na
     days = scored.select(KEY, DAY).unionByName(ahead.select(KEY, DAY))
     d7 = scored.select(KEY, DAY, "valor_previsto").unionByName(ahead.select(KEY, DAY, "valor_previsto"))
     rows = persistence_rows(series, days).unionByName(_rows(d7, "valor_previsto", "D+7", name, version))
-    return Forecast(rows, metrics.regression(scored, target, "valor_previsto"))
+    return Forecast(rows, metrics.regression(scored, target, "valor_previsto"), scored)
 
 
 # -- experiments -------------------------------------------------------------------------

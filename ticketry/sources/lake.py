@@ -46,7 +46,7 @@ class Lake:
         return files.exists(where)
 
     def _drop(self, staging: str) -> None:
-        """Remove a staging folder of a finished merge."""
+        """Remove a staging folder of a finished merge, or the folder of an emptied partition."""
         files, where = self._file_system(staging)
         files.delete(where, True)
 
@@ -173,13 +173,12 @@ class Lake:
             .option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(target)
         )
         for value in gone:
-            schema = staged.drop(part).schema
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{target}/{part}={value}")
+            self._drop(f"{target}/{part}={value}")
         self._drop(stage_in)
         return n
 
-    def merged(self, layer: str, name: str) -> DataFrame:
-        return self.log(layer, name).drop("_part")
+    def merged(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+        return self.log(layer, name, schema).drop("_part")
 
     def upsert_forecasts(self, forecasts: DataFrame, name: str = "previsoes") -> int:
         """One row per (data_referencia, serie, horizonte); the target day is derived here."""
