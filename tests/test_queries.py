@@ -7,8 +7,8 @@ from tests.compare import compare, connect
 from tests.conftest import FOLDER
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-# These train models or write the whole lake; they have tests of their own.
-SLOW = {"v14_ticket_forecast_checks", "v11_model_forecast_checks", "s06_load_chain_row_counts", "a11_loaded_kpi_summary"}
+# These train many models or write the whole lake; ``python -m tests.compare`` runs them.
+SLOW = {"m12_text_experiment_rows", "m17_suggestion_shape", "v14_ticket_forecast_checks", "v11_model_forecast_checks", "s06_load_chain_row_counts", "a11_loaded_kpi_summary"}
 
 
 @pytest.fixture(scope="module")

@@ -170,9 +170,8 @@ add("j12_dictionary_part", _dictionary_part, on_population(
 _SLICES = ("SELECT experimento, recorte, n FROM (SELECT 'COMPLETE' AS recorte, count(*) AS n FROM vs UNION ALL SELECT CASE WHEN visto THEN 'SEEN' ELSE 'NEW' END, count(*) FROM vs GROUP BY 1), "
            "(SELECT unnest([{0}]) AS experimento) e")
 _TEXT_VAL = f"vs AS (SELECT {TEXT} IN (SELECT {TEXT} FROM tr WHERE {TEXT} IS NOT NULL) AS visto FROM pop WHERE split = 'VAL')"
-for _name, _grid in (("m12_text_experiment_rows", ML.standard_experiments), ("m13_class_weight_grid_rows", ML.weight_grid)):
-    add(_name, lambda spark, d, g=_grid: ML.experiment_table(*_experiment_rows(spark, d), g(), CLASSES).select("experimento", M.SLICE, "n"),
-        on_population(_SLICES.format(", ".join(f"'{e.name}'" for e in _grid())), _TEXT_VAL))
+add("m12_text_experiment_rows", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), ML.standard_experiments(), CLASSES).select("experimento", M.SLICE, "n"),
+    on_population(_SLICES.format(", ".join(f"'{e.name}'" for e in ML.standard_experiments())), _TEXT_VAL))
 
 add("a41_category_top3",
     lambda spark, d: (lambda out: out.select("experimento", M.SLICE, "n", F.col("top3").between(0, 1).alias("valido")))(
