@@ -273,6 +273,24 @@ def test_shingle_join_of_odd_documents(odd, none):
     assert kept.columns == odd.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 6, 7, 8]
 
 
+def test_pipeline_stage_takes_five_words_and_80_percent(spark):
+    words = [f"w{n}" for n in range(300)]
+    texts = [words, [f"v{n}" if n % 50 == 25 else w for n, w in enumerate(words)], words + [f"x{n}" for n in range(45)], [f"u{n}" if n % 30 == 15 else w for n, w in enumerate(words)]]
+    fives = [{tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in texts]
+    assert [100 * len(fives[0] & f) >= 80 * len(fives[0] | f) for f in fives] == [True, True, True, False]
+    assert all(100 * len(fives[3] & f) < 80 * len(fives[3] | f) for f in fives[:3])
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    assert shingle_join.representatives(docs).count() == 4
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, FOLDER).collect()) == [0, 3]
+    rows = table(spark, FOLDER, "documents").orderBy("doc_id").collect()
+    words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")) for r in rows]
+    fives = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if fives[i] and 100 * len(fives[i] & fives[j]) >= 80 * len(fives[i] | fives[j])]
+    root = vector_dedup.roots(len(rows), *(np.array(p, int) for p in zip(*pairs, strict=True)))
+    kept = corpus_pipeline.keep_one_of_each(spark, table(spark, FOLDER, "documents"), FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == [r.doc_id for n, r in enumerate(rows) if root[n] == n]
+
+
 def test_mix_meets_targets(spark, odd, none):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = mixing.mix(docs).toPandas()
