@@ -273,6 +273,20 @@ def test_shingle_join_of_odd_documents(odd, none):
     assert kept.columns == odd.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 6, 7, 8]
 
 
+@pytest.mark.parametrize("blocks", [{}, {"block_docs": 4, "leaders": 1}])
+def test_shingle_join_where_an_id_stands_on_many_texts(spark, blocks):
+    texts = [" ".join(f"w{n}x{i}" for i in range(60)) for n in range(20)]
+    rows = [(7, t) for t in texts] + [(100 + n, t + " more") for n, t in enumerate(texts)] + [(None, texts[0]), (None, texts[0])] + [(7, "alone one two three")] * 2
+    rows += [(None, f"new {'text ' * 9}") for _ in range(3)] + [(None, " "), (None, " "), (9, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, r.component_id) for r in shingle_join.groups(docs, **blocks).collect()]
+    assert len(got) == len(rows) and all(c == 7 for i, c in got if i is not None and i != 9)
+    kept = [(r.doc_id, r.text) for r in shingle_join.representatives(docs, **blocks).collect()]
+    assert sorted(t for i, t in kept if i == 7) == sorted([*texts, "alone one two three"])
+    assert sorted(t for i, t in kept if i is None) == [" ", " ", f"new {'text ' * 9}", texts[0]]
+    assert len(kept) == 26 and sum(i == 9 for i, _ in kept) == 1
+
+
 def test_pipeline_stage_takes_five_words_and_80_percent(spark):
     words = [f"w{n}" for n in range(300)]
     texts = [words, [f"v{n}" if n % 50 == 25 else w for n, w in enumerate(words)], words + [f"x{n}" for n in range(45)], [f"u{n}" if n % 30 == 15 else w for n, w in enumerate(words)]]

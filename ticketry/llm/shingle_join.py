@@ -15,7 +15,8 @@ is compared inside and with a few leaders of its group; what is not yet connecte
 then compared with all blocks. Nothing lists the pairs of a group.
 
 Defined cases: null text is an empty one; texts without words have no set, n_shingles 0 and their own component; with
-fewer words than a shingle the whole sequence is the one shingle; repeated rows and ids come out as often; a null doc_id
+fewer words than a shingle the whole sequence is the one shingle; repeated rows and ids come out as often, an id on several
+texts with the group of each; a null doc_id
 gets the component of its group, or null; an empty table gives no rows; extra columns are not read.
 """
 
@@ -25,8 +26,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketry.llm.common import give_back, small_batches, written
@@ -126,8 +128,24 @@ def links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tupl
     return np.nonzero(100 * common >= percent * (size - common))
 
 
-def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int = 512, block_shingles: int = 1 << 20, leaders: int = 8) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of ``docs``."""
+def row_key() -> Column:
+    """The name of a row: of its doc_id and text, for an id may stand on rows of several texts."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
+def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (class, side, tag, ...) without those whose three came before in the same task."""
+    seen = set()
+    for batch in batches:
+        new = []
+        for row in zip(*(batch.column(c).to_pylist() for c in ("class", "side", "tag")), strict=True):
+            new.append(row not in seen)
+            seen.add(row)
+        yield batch.filter(pa.array(new, pa.bool_()))
+
+
+def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int = 512, block_shingles: int = 1 << 20, leaders: int = 8) -> DataFrame:
+    """doc_id, key, n_shingles, root, component_id per row of ``docs``; root names the group, null without words."""
     if not 50 <= percent < 100:
         raise ValueError("percent must be from 50 to 99")
     small_batches(docs.sparkSession)
@@ -139,7 +157,7 @@ def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int =
                                 "segments": [segments(s, percent, ends).view("<i8") for s in sets]})
         give_back()
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", row_key())
     made = keyed.mapInPandas(signed, "doc_id long, key long, n long, class long, segments array<long>")
     made = written(made, "sets")
     rows = made.select("doc_id", "key", "n", "class")
@@ -162,14 +180,19 @@ def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int =
         placed = written(placed, "placed")
         few = placed.count() <= BROADCAST_ROWS
         placed = keyed.select("key", "text").join(F.broadcast(placed) if few else placed, "key").select(
-            "cand", F.explode("pieces").alias("piece"), "class", "side", "text").repartition("cand", "piece").sortWithinPartitions("cand", "piece", "class")
+            "cand", "pieces", "class", "side", F.hash("text").alias("tag"), "text")
+        # a row that comes many times is sent once by each task
+        placed = placed.mapInArrow(first_of_each, placed.schema)
+        placed = placed.select("cand", F.explode("pieces").alias("piece"), "class", "side", "text").repartition(
+            "cand", "piece").sortWithinPartitions("cand", "piece", "class")
 
         def piece(group: pd.DataFrame) -> pd.DataFrame | None:
-            group = group[~group[["class", "side"]].duplicated()]
+            group = group[~group[["class", "side", "text"]].duplicated()]
             sets = [shingles(t, width) for t in group["text"]]
             name, side = group["class"].to_numpy(), group["side"].to_numpy()
-            # a key may belong to rows of several classes
+            # a key is a hash, so texts of two classes may share it: first those of another class go, then repetitions
             right = np.array([class_of(s) == c for s, c in zip(sets, name, strict=True)])
+            right[right] = ~group.loc[right, ["class", "side"]].duplicated().to_numpy()
             a, b = np.nonzero(right & (side == 0))[0], np.nonzero(right & (side == 1))[0]
             if len(b) == 0:
                 b = a
@@ -223,27 +246,41 @@ def groups(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int =
 
     named = classes.join(final, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = named.join(least, "root").select(F.col("class").alias("_class"), F.col("n").alias("_n"), "component_id")
+    known = named.join(least, "root").select(F.col("class").alias("_class"), F.col("n").alias("_n"), "root", "component_id")
     out = rows.join(known, (F.col("class") == F.col("_class")) & (F.col("n") == F.col("_n")), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).alias("root"), component.alias("component_id"))
+
+
+def groups(docs: DataFrame, **how) -> DataFrame:
+    """doc_id, n_shingles, component_id per row of ``docs``; settings as of ``grouped``."""
+    return grouped(docs, **how).select("doc_id", "n_shingles", "component_id")
 
 
 def representatives(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their group, once for each id; rows without an id stay."""
-    found = written(groups(docs, **how), "groups").where("doc_id IS NOT NULL")
-    ids = written(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")), "ids")
+    """One row of each group of ``docs``, with its smallest doc_id; one more if the group also has rows without an id.
+
+    Rows are told apart by doc_id and text: an id on texts of several groups stays in each of them. Of rows without words
+    one stays for each id, and all without an id.
+    """
+    found = written(grouped(docs, **how), "groups").where("n_shingles > 0 OR doc_id IS NOT NULL")
+    # an id may be the smallest of several groups, so they go by root
+    best = found.where("doc_id IS NULL OR doc_id = component_id").groupBy(
+        F.col("root").isNull().alias("blank"), F.coalesce("root", "doc_id").alias("group"), F.col("doc_id").isNull().alias("unnamed")).agg(F.min("key").alias("key"))
+    keys = found.groupBy("key").agg(F.count("*").alias("rows")).join(best.select("key", F.lit(True).alias("stays")).distinct(), "key", "left")
+    keys = written(keys, "keys")
 
     def chosen(of: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-        """Beyond ``BROADCAST_ROWS`` ids both sides are shuffled."""
-        right = rows.select(F.col("doc_id").alias("_id"))
+        """Beyond ``BROADCAST_ROWS`` keys both sides are shuffled."""
+        right = rows.select(F.col("key").alias("_key"))
         right = F.broadcast(right) if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else right
-        return of.join(right, of["doc_id"] == right["_id"], how)
+        return of.join(right, row_key() == right["_key"], how)
 
-    left = chosen(docs, ids.where("NOT stays"), "left_anti")
-    several = ids.where("stays AND rows > 1")
+    left = chosen(docs, keys.where("stays IS NULL"), "left_anti")
+    several = keys.where("stays AND rows > 1")
     if several.isEmpty():
         return left
-    return chosen(left, several, "left_anti").unionByName(chosen(left, several, "left_semi").dropDuplicates(["doc_id"]))
+    return chosen(left, several, "left_anti").unionByName(chosen(left, several, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE = r"""
