@@ -328,6 +328,22 @@ def test_mixed_documents_come_as_often_as_taken(spark):
     assert {r.doc_id: r.n for r in rows.groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == {i: n for i, n in plan.items() if n}
 
 
+@pytest.mark.parametrize("texts", [1000, 40, 1])
+def test_the_budget_may_end_inside_a_unit_of_rows(spark, texts):
+    rows = [(None, f"t{n % texts} " + "a " * 9, "p") for n in range(1000)] + [(n, "b " * 10, "q") for n in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for share in (0.3, 1.0):
+        how = {"weights": (5, 2), "share": share}
+        want = {"p": 0, "q": 0}
+        for r in mixing.mix(docs, **how).collect():
+            want["p" if r.doc_id is None else "q"] += r.taken // r.size
+        got = mixing.mixed_documents(docs, **how).groupBy("source", "text").agg(F.count("*").alias("n")).collect()
+        assert {s: sum(r.n for r in got if r.source == s) for s in "pq"} == want
+        times = [r.n * texts / 1000 for r in got if r.source == "p"]
+        assert not times or max(times) <= 3
+    assert 0 < want["p"] % 1000
+
+
 def test_pipeline_equals_its_stages_by_hand(spark):
     docs = table(spark, FOLDER, "documents")
     got = sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, FOLDER).collect())

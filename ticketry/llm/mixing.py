@@ -110,19 +110,39 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"))
 
 
+def some_rows(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` of the rows (fewer than there are), those with the smallest hashes of all columns; equal rows are counted, not ordered."""
+    h = F.xxhash64(*[rows[c] for c in rows.columns])
+    counts = written(rows.groupBy(h.alias("h")).agg(F.count("*").alias("rows")).withColumn("bin", F.shiftright("h", 52)), "hashes")
+
+    def crossing(of: DataFrame, key: str, most: int):
+        until = F.sum("rows").over(Window.orderBy(key))
+        return of.withColumn("until", until).where(F.col("until") >= most).orderBy(key).first()
+
+    at = crossing(counts.groupBy("bin").agg(F.sum("rows").alias("rows")), "bin", n)
+    n -= at["until"] - at["rows"]
+    at = crossing(counts.where(F.col("bin") == at["bin"]), "h", n)
+    n -= at["until"] - at["rows"]
+    last = rows.where(h == at["h"]).limit(1)
+    copies = rows.sparkSession.range(n).crossJoin(F.broadcast(last)).select(*[last[c] for c in rows.columns])
+    return rows.where(h < at["h"]).unionByName(copies)
+
+
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix with all their columns, one row for each time a document is taken.
 
-    Rows equal in doc_id, source and size share their unit's takes alike, rounded.
+    Where the budget ends inside a unit of several rows, as many of them come once more as fit, as in ``mix``.
     """
-    planned = plan(docs, **how).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.round(F.aggregate("copies", F.lit(0).cast("long"), lambda a, n: a + n) / F.col("rows")).cast("int").alias("_times")
-    ).where("_times > 0")
-    taken = docs.join(planned, docs["doc_id"].eqNullSafe(planned["_id"]) & docs["source"].eqNullSafe(planned["_source"])
+    planned = written(plan(docs, **how).where(F.size("copies") > 0).select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("rows").alias("_rows"),
+        F.size(F.filter("copies", lambda n: n >= F.col("rows"))).alias("_times"), F.array_min("copies").alias("_least")), "planned")
+    taken = docs.join(planned.where("_times > 0"), docs["doc_id"].eqNullSafe(planned["_id"]) & docs["source"].eqNullSafe(planned["_source"])
                       & (n_words(docs["text"]) == planned["_size"]))
-    taken = taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return taken.select(*[docs[c] for c in docs.columns])
+    taken = taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
+    for unit in planned.where("_least < _rows").collect():  # the budget ends in one unit and epoch at most
+        same = docs["doc_id"].eqNullSafe(F.lit(unit["_id"])) & docs["source"].eqNullSafe(F.lit(unit["_source"])) & (n_words(docs["text"]) == unit["_size"])
+        taken = taken.unionByName(some_rows(docs.where(same), unit["_least"]))
+    return taken
 
 
 ORACLE = r"""
