@@ -235,6 +235,32 @@ def test_broken_markup_costs_its_length():
     assert [b.text for b in html_text.leaf_blocks('<p title="a > b">x</p><!-- <p>no</p> --><![CDATA[1 < 2]]><li>y<li>z')] == ["x", "1 < 2", "y", "z"]
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<html><head><title>T</title><body><article><p>One</p></article>", ["One"]),
+    ("<html><head><title>T</title><meta charset=x><div>One</div><p>Two", ["One", "Two"]),
+    ("<head><noscript><style>x</style><body>One", ["One"]),
+    ("<head><title>T</title>x<p>y</p></head><header>One</header>", ["One"]),
+    ('<p>One <svg class="i"/> two</p><p>three</p>', ["One two", "three"]),
+    ('<p>One <svg class="i"><title/><path d="x"/> two</p><p>three</p>', ["One", "three"]),
+    ("<p>One<svg><svg><text>x</text></svg>y</svg> two</p>", ["One two"]),
+    ("<p><b>One <svg> x</b> two</p><p>three</p>", ["One two", "three"]),
+    ("<div>One <select><option>x<option>y</div><p>two</p>", ["One", "two"]),
+    ("<div>One<select><option>x</option></select> two</div>", ["One two"]),
+    ("<div>One <noscript><img src=x><p>x</div><p>two</p>", ["One", "two"]),
+    ("<p>One<noscript><p>x</p></noscript> two</p>", ["One two"]),
+    ("<div>One<template><li>x</template> two <template>y</div><li>three", ["One two", "three"]),
+    ("<div>One <iframe src=x></iframe>two <iframe src=y> x</div><p>three</p>", ["One two", "three"]),
+    ("<p>One<textarea> <p>x</textarea> two<script>'<p>'</script></p><style>three", ["One two"]),
+])
+def test_elements_that_hide_their_text_end(page, want):
+    assert [b.text for b in html_text.leaf_blocks(page)] == want
+
+
+def test_unclosed_elements_that_hide_their_text_cost_their_length():
+    assert [b.text for b in html_text.leaf_blocks("<div>" + "<svg><title/>" * 20_000 + "<p>" * 50_000 + "</div>x")] == ["x"]
+    assert [b.text for b in html_text.leaf_blocks("<head>" * 20_000 + "<body>" + "<select><style/>" * 2000 + "</body>x")] == []
+
+
 def sets_of(text):
     words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
     return {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))} if words else set()

@@ -10,7 +10,7 @@ content. Of each such page the field also learns copies: with ``div`` for ``arti
 without them from the rest, and with some blocks put into elements that are no content. Learning uses the ``sample_pages`` pages with the smallest hash; every page is decoded.
 
 Defined cases: null or empty html gives an empty text; text outside of any tag is a block; line breaks inside a block are
-white space; unclosed tags end with the element around them; pages without any labelled example around are decoded with
+white space; unclosed tags end with the element around them, an unclosed ``head`` where the body begins; pages without any labelled example around are decoded with
 no weights learned, as content; repeated rows come out as often; an empty table gives no rows; extra columns are not read.
 """
 
@@ -33,8 +33,11 @@ SLOTS = 1 << 12
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
                    "strong sub sup time tt u var wbr".split())
-#: Elements whose inside is not text of the page.
-RAW = "script", "style", "noscript", "template", "textarea", "svg", "iframe", "select", "title", "head"
+#: Elements whose inside is not text of the page: of RAW all up to the end tag, or to the end of the page, is no markup either.
+RAW = frozenset("script style textarea title".split())
+HIDDEN = frozenset("noscript template svg iframe select head".split())
+#: What may stand in a head; any other element begins the body.
+OF_HEAD = RAW | HIDDEN - {"svg", "iframe", "select"} | frozenset("html meta link base basefont bgsound noframes".split())
 CONTENT = frozenset(("article", "main"))
 #: Elements and class words that a page's own content does not stand in.
 ASIDE = frozenset("nav header footer aside form button menu dialog".split())
@@ -43,8 +46,10 @@ ASIDE_WORDS = frozenset("nav menu navbar breadcrumb breadcrumbs header footer si
                         "login signup toolbar pagination copyright".split())
 #: Possessive, so that broken markup costs no more than its length. A quoted value may hold > but not <.
 _REST = r"(?:[^<>=]++|=\s*+(?:\"[^\"<]*+\"|'[^'<]*+')?+)*+"
-_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^<>]*+>|<(?P<raw>" + "|".join(RAW) + rf")(?![\w-]){_REST}>.*?(?:</(?P=raw)\s*>|\Z)"
+_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^<>]*+>"
                     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*+)(?P<rest>{_REST})>", re.DOTALL | re.IGNORECASE)
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
+_HEAD_END = re.compile(r"</head\s*>", re.IGNORECASE)
 _CLASS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+")
 
@@ -70,11 +75,15 @@ def leaf_blocks(page: str | None) -> list[Block]:
     stack: list[_Open] = []
     text: list[str] = []
     where: tuple[list[str], list[str]] = ([], [])
-    links = anchors = 0
+    links = anchors = hidden = svgs = 0
     begun = False
+    head: int | None = None  # depth of the outermost open one
+    last_head_end: int | None = None
 
     def add(piece: str) -> None:
         nonlocal where, links, begun
+        if hidden:
+            return
         if not piece or piece.isspace():
             text.extend(" " if piece else "")
             return
@@ -86,18 +95,23 @@ def leaf_blocks(page: str | None) -> list[Block]:
 
     def flush() -> None:
         nonlocal links, begun
+        if hidden:
+            return
         if shown := " ".join(html.unescape("".join(text)).split()):
             blocks.append(Block(shown, *where, min(links, len(shown))))
         text.clear()
         links, begun = 0, False
 
     def close(depth: int) -> None:
-        nonlocal anchors
+        nonlocal anchors, hidden, svgs, head
         anchors -= sum(o.tag == "a" for o in stack[depth:])
+        hidden -= sum(o.tag in HIDDEN for o in stack[depth:])
+        svgs -= sum(o.tag == "svg" for o in stack[depth:])
         del stack[depth:]
+        head = None if head is not None and head >= depth else head
 
     at = 0
-    for m in _PIECE.finditer(page):
+    while (m := _PIECE.search(page, at)) is not None:
         add(page[at:m.start()])
         at = m.end()
         if (data := m["cdata"]) is not None:
@@ -105,12 +119,33 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if m["tag"] is None:
             continue
         tag = m["tag"].lower()
+        empty = m["rest"].endswith("/")
+        if head is not None and not m["end"] and (tag == "body" or stack[-1].tag == "head" and at > last_head_end and tag not in OF_HEAD):
+            close(head)
+        if tag in RAW:
+            # inside of svg these are elements like others
+            if not m["end"] and not (empty and svgs):
+                at = end.end() if (end := _RAW_END[tag].search(page, at)) else len(page)
+            continue
+        if tag in HIDDEN:
+            if m["end"]:
+                if hidden and (depth := next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)) is not None:
+                    close(depth)
+            elif not empty:
+                if tag == "head" and head is None:
+                    head = len(stack)
+                    if last_head_end is None:
+                        last_head_end = max((e.start() for e in _HEAD_END.finditer(page)), default=-1)
+                stack.append(_Open(tag))
+                hidden += 1
+                svgs += tag == "svg"
+            continue
         if tag in INLINE:
             if tag == "br":
                 add(" ")
             elif m["end"]:
                 if (depth := next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)) is not None and all(
-                        o.tag in INLINE for o in stack[depth:]):
+                        o.tag in INLINE or o.tag in HIDDEN for o in stack[depth:]):
                     close(depth)
             elif tag not in VOID:
                 stack.append(_Open(tag, _class_words(m["rest"])))
@@ -120,17 +155,18 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if m["end"]:
             if (depth := next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)) is not None:
                 close(depth)
+                flush()
         elif tag not in VOID:
             # an open paragraph or item ends where the next block begins
             ends = {"li": ("li", "p"), "dt": ("dd", "dt", "p"), "dd": ("dd", "dt", "p"), "tr": ("td", "th", "tr", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}.get(tag, ("p",))
-            stop = ("ul", "ol", "dl", "table", "td", "th", "li", "div", "article", "section")
+            stop = ("ul", "ol", "dl", "table", "td", "th", "li", "div", "article", "section", *HIDDEN)
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag in ends:
                     close(i)
                     break
                 if stack[i].tag in stop:
                     break
-            if not m["rest"].endswith("/"):
+            if not empty:
                 stack.append(_Open(tag, _class_words(m["rest"])))
     add(page[at:])
     flush()
