@@ -179,3 +179,13 @@ def test_experiments_with_weights_and_forest(spark):
     with pytest.raises(ValueError):
         ML.run_experiment(train, judged, ML.TextExperiment("bad", ML.TextFeatures("categoria"), ML.TextModel()))
     assert ML.simpler_if_close(0.70, 0.69) and not ML.simpler_if_close(0.80, 0.69)
+
+
+def test_rare_cuts_are_fitted_as_in_the_reference(spark, monkeypatch):
+    from ticketry.catalog import learning
+    seen = []
+    monkeypatch.setattr(learning, "_category_rows", lambda spark, d: spark.range(0).selectExpr("true AS rotulado", "'TRAIN' AS split"))
+    monkeypatch.setattr(learning.ML, "rare_label_experiments", lambda *args: seen.append(args))
+    learning._rare_cuts(spark, "")
+    (*_, how, cuts), = seen
+    assert (how.kind, how.max_iter, how.balanced, cuts) == ("logistic", 300, True, (10, 20, 30, 50))

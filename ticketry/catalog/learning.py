@@ -278,7 +278,7 @@ add("m07_boosted_on_structure", lambda spark, d: ML.experiment_table(*_experimen
 def _rare_cuts(spark, d) -> DataFrame:
     rows = _category_rows(spark, d).where("rotulado")
     what = ML.TextFeatures(TEXT, ("prioridade", ML.PRODUCT), (), 1, 2, 5000)
-    return ML.rare_label_experiments(rows.where("split = 'TRAIN'"), rows.where("split = 'VAL'"), "categoria", "numero", what, ML.TextModel("logistic", max_iter=15), (10, 20, 30, 50))
+    return ML.rare_label_experiments(rows.where("split = 'TRAIN'"), rows.where("split = 'VAL'"), "categoria", "numero", what, ML.TextModel("logistic", max_iter=300, balanced=True), (10, 20, 30, 50))
 
 
 add("p30_rare_cut_experiment", _rare_cuts)
