@@ -92,6 +92,7 @@ def rollup(totals: DataFrame) -> DataFrame:
 def corpus_counts(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     """The rollups of a corpus with a history: all documents inserted under both versions, toxic ones deleted again, and the
     texts of documents of low quality counted anew without their digits. The first batch comes twice, as after a lost reply.
+    Deletions and new counts touch words-1 only: totals of pieces-2, and those over both versions, hold all documents of the load.
     """
     store = Rollups(docs.sparkSession, folder)
     words = PATTERNS["words-1"]
