@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketry.llm import bpe, html_text, language, mixing, neighbours, quality, secrets, shingle_join, token_counts, vector_dedup
+from ticketry.llm import (
+    bpe, centroids, filter_audit, html_text, language, mixing, neighbours, packing, quality, secrets, shingle_join, token_counts, vector_dedup,
+)
 from ticketry.llm.common import scratch, table
 
 QUERIES = {
@@ -18,6 +20,9 @@ QUERIES = {
     "op8_html_extraction": lambda spark, d: html_text.extract(table(spark, d, "pages")),
     "op9_ngram_jaccard_join": lambda spark, d: shingle_join.groups(table(spark, d, "documents")),
     "op10_source_mixing": lambda spark, d: mixing.mix(table(spark, d, "documents")),
+    "op11_centroid_clusters": lambda spark, d: centroids.clusters(table(spark, d, "embeddings")),
+    "op12_filter_audit": lambda spark, d: filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op13_best_fit_packing": lambda spark, d: packing.pack(table(spark, d, "documents")),
 }
 
 ORACLES = {
@@ -27,4 +32,6 @@ ORACLES = {
     "op6_embedding_near_dedup": vector_dedup.ORACLE,
     "op9_ngram_jaccard_join": shingle_join.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
+    "op11_centroid_clusters": centroids.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
