@@ -156,8 +156,12 @@ def test_scoring_works_after_a_write_was_observed(spark):
     spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
     assert seen.get["n"] == 3
     rows = ML.prepared(tickets(spark).where(F.col("prioridade") != "1 - Crítica"), Rules())
-    fitted = ML.fit(rows, ML.LABEL, ML.default_features(), ML.TextModel("svc", max_iter=5))
-    assert len(ML.score(fitted, rows).collect()) == 360
+    two = rows.where(F.col(ML.LABEL) != "2 - Alta")
+    for how in (ML.TextModel("svc", max_iter=5), ML.TextModel("logistic", max_iter=5), ML.TextModel("hinge", max_iter=5)):
+        fitted = ML.fit(two, ML.LABEL, ML.default_features(), how)
+        assert len(fitted.labels) == 2 and len(ML.score(fitted, two).collect()) == 240
+    fitted = ML.fit(two, ML.LABEL, ML.TextFeatures(None), ML.TextModel("forest", trees=2, depth=2))
+    assert len(ML.score(fitted, two).collect()) == 240
 
 
 def test_drift_slice(spark):

@@ -215,20 +215,22 @@ add("a26_describe_daily_volume", lambda spark, d: rounded(S.describe_numeric(den
 add("a05_duration_quantiles",
     lambda spark, d: rounded(Q.exact_quantiles(SI.tickets(spark, d, "prioridade", "duracao_segundos"), "duracao_segundos", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, ["prioridade"])),
     on_tickets("SELECT prioridade, round(quantile_cont(duracao_segundos, 0.5), 6) AS p50, round(quantile_cont(duracao_segundos, 0.9), 6) AS p90, round(quantile_cont(duracao_segundos, 0.99), 6) AS p99 FROM tickets GROUP BY 1"))
-_MONEY = {"desconto": "cast(l_discount as double)", "preco": "cast(l_extendedprice as double)", "amplo": "cast(l_extendedprice as double) * cast(l_extendedprice as double) * 100"}
+# Expression and digits: a quantile of cents lies on hundredths of a cent, so that rounding meets no halves.
+_MONEY = {"desconto": ("cast(l_discount as double)", 4), "preco": ("cast(l_extendedprice as double)", 4),
+          "amplo": ("cast(l_extendedprice as double) * cast(l_extendedprice as double) * 100", -1)}
 
 
 def _money_quantiles(spark, d) -> DataFrame:
     """Columns of a small, a middle and a very wide range, per return flag."""
     rows = spark.read.parquet(f"{d}/lineitem.parquet")
-    parts = [rounded(Q.exact_quantiles(rows.select("l_returnflag", F.expr(e).alias("v")), "v", {"p25": 0.25, "p50": 0.5, "p99": 0.99}, ["l_returnflag"]), 2).select(
-        F.lit(name).alias("coluna"), "l_returnflag", "p25", "p50", "p99") for name, e in _MONEY.items()]
+    parts = [rounded(Q.exact_quantiles(rows.select("l_returnflag", F.expr(e).alias("v")), "v", {"p25": 0.25, "p50": 0.5, "p99": 0.99}, ["l_returnflag"]), digits).select(
+        F.lit(name).alias("coluna"), "l_returnflag", "p25", "p50", "p99") for name, (e, digits) in _MONEY.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
 add("a05_money_quantiles", _money_quantiles, " UNION ALL ".join(
-    f"SELECT '{name}' AS coluna, l_returnflag, round(quantile_cont({e}, 0.25), 2) AS p25, round(quantile_cont({e}, 0.5), 2) AS p50, round(quantile_cont({e}, 0.99), 2) AS p99 FROM lineitem GROUP BY 2"
-    for name, e in _MONEY.items()))
+    f"SELECT '{name}' AS coluna, l_returnflag, round(quantile_cont({e}, 0.25), {n}) AS p25, round(quantile_cont({e}, 0.5), {n}) AS p50, round(quantile_cont({e}, 0.99), {n}) AS p99 FROM lineitem GROUP BY 2"
+    for name, (e, n) in _MONEY.items()))
 add("a05_duration_quantile_sketch", lambda spark, d: Q.approx_quantiles(SI.tickets(spark, d, "duracao_segundos"), "duracao_segundos", {"p99": 0.99}))
 
 
@@ -627,8 +629,9 @@ def _evaluations(spark, d) -> DataFrame:
 
 
 add("l04_notifications", lambda spark, d: notifications(_evaluations(spark, d)), with_ctes(
-    "SELECT alerta, avaliado_em, disparado, disparado AND coalesce(lag(b) OVER (PARTITION BY alerta, run ORDER BY avaliado_em) <> b, true) AS notifica FROM "
-    "(SELECT *, floor(epoch(avaliado_em - first_value(avaliado_em) OVER (PARTITION BY alerta, run ORDER BY avaliado_em)) / 14400) AS b FROM "
-    "(SELECT *, sum(ch) OVER (PARTITION BY alerta ORDER BY avaliado_em ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM "
-    "(SELECT *, CASE WHEN coalesce(lag(disparado) OVER (PARTITION BY alerta ORDER BY avaliado_em), false) <> disparado THEN 1 ELSE 0 END AS ch FROM "
-    "(SELECT alerta, avaliado_em, n > avg(n) OVER (PARTITION BY alerta) AS disparado FROM (SELECT tipo AS alerta, date_trunc('hour', aberto) AS avaliado_em, count(*) AS n FROM signals GROUP BY ALL)))))", SI.SIGNALS_CTE))
+    "SELECT alerta, avaliado_em, disparado, disparado AND t IS NOT NULL AS notifica FROM ru LEFT JOIN (SELECT alerta, run, t, t AS avaliado_em FROM no) USING (alerta, run, avaliado_em)",
+    SI.SIGNALS_CTE, "ev AS (SELECT alerta, avaliado_em, n > avg(n) OVER (PARTITION BY alerta) AS disparado FROM (SELECT tipo AS alerta, date_trunc('hour', aberto) AS avaliado_em, count(*) AS n FROM signals GROUP BY ALL))",
+    "ch AS (SELECT *, CASE WHEN coalesce(lag(disparado) OVER (PARTITION BY alerta ORDER BY avaliado_em), false) <> disparado THEN 1 ELSE 0 END AS ch FROM ev)",
+    "ru AS (SELECT * EXCLUDE (ch), sum(ch) OVER (PARTITION BY alerta ORDER BY avaliado_em ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM ch)",
+    "no AS (SELECT alerta, run, min(avaliado_em) AS t FROM ru WHERE disparado GROUP BY 1, 2 UNION ALL SELECT n.alerta, n.run, min(r.avaliado_em) FROM no n JOIN ru r "
+    "ON r.alerta = n.alerta AND r.run = n.run AND r.avaliado_em >= n.t + INTERVAL 4 HOUR GROUP BY 1, 2)").replace("WITH ", "WITH RECURSIVE ", 1))

@@ -105,6 +105,43 @@ def _grid(spark, d) -> DataFrame:
         for e in V.alpha_grid(columns, GRID_ALPHAS, h) + V.tree_grid(columns, GRID_DEPTHS, GRID_TREES, h)], R)
 
 
+def _path(spark, d) -> tuple[DataFrame, list]:
+    return TS.volume_dataset(dense_volume(spark, d), R), [
+        e for h, columns in (("D+1", R.lag_columns), ("D+7", R.d7_features)) for e in V.alpha_grid(columns, GRID_ALPHAS, h)]
+
+
+#: Elimination on lists: rows of the penalised products with the target's behind them, one pivot a step.
+_SOLVED = (
+    "f AS (SELECT data_abertura, {lags}, lead(volume_total, 1) OVER w AS y1, lead(volume_total, 7) OVER w AS y7, "
+    "CASE WHEN data_abertura >= DATE '{cut}' THEN 1 ELSE 0 END AS periodo_pos_set_2025 FROM serie WINDOW w AS (ORDER BY data_abertura)),"
+    "h AS (SELECT 'D+1' AS horizonte, 7 AS d, data_abertura, [{names}, 0, y1]::DOUBLE[] AS x, y1 AS y FROM f WHERE lag_28 IS NOT NULL UNION ALL "
+    "SELECT 'D+7', 8, data_abertura, [{names}, periodo_pos_set_2025, y7]::DOUBLE[], y7 FROM f WHERE lag_28 IS NOT NULL),"
+    "t AS (SELECT * FROM h WHERE y IS NOT NULL AND data_abertura < DATE '{end}'),"
+    "p AS (SELECT horizonte, d, i, j, count(*) * covar_pop(x[i], x[CASE WHEN j > d THEN 9 ELSE j END]) AS s FROM t, range(1, 9) a(i), range(1, 10) b(j) WHERE i <= d AND j <= d + 1 GROUP BY ALL),"
+    "al AS (SELECT unnest([{alphas}])::DOUBLE AS alpha),"
+    "q AS (SELECT horizonte, d, alpha, i, list(s + CASE WHEN i = j THEN alpha ELSE 0 END ORDER BY j) AS r FROM p, al GROUP BY ALL),"
+    "e AS (SELECT horizonte, d, alpha, list(r ORDER BY i) AS m, 1 AS k FROM q GROUP BY ALL UNION ALL "
+    "SELECT horizonte, d, alpha, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k]) "
+    "ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END), k + 1 FROM e WHERE k <= d),"
+    "w AS (SELECT horizonte, d, alpha, list_transform(m, lambda r: r[d + 1]) AS w FROM e WHERE k = d + 1),"
+    "mu AS (SELECT horizonte, avg(y) AS ym, [{means}] AS xm FROM t GROUP BY 1),"
+    "c AS (SELECT w.*, ym - list_sum(list_transform(w, lambda v, i: v * xm[i])) AS b FROM w JOIN mu USING (horizonte))"
+).format(lags=", ".join(f"lag(volume_total, {k}) OVER w AS lag_{k}" for k in R.lags), cut=R.regime_cut, names=", ".join(R.lag_columns), end=R.train_end,
+         alphas=", ".join(map(str, GRID_ALPHAS)), means=", ".join(f"avg(x[{i}])" for i in range(1, 9)))
+
+
+def _on_path(body: str) -> str:
+    return on_series(body, _SOLVED).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+add("m13_ridge_path_coefficients", lambda spark, d: rounded(V.ridge_path(*_path(spark, d), R).select("horizonte", "alpha", "feature", "coef"), 5, "coef"), _on_path(
+    f"SELECT horizonte, alpha, unnest([{', '.join(repr(f) for f in R.d7_features)}][1:d]) AS feature, round(unnest(w), 5) AS coef FROM c "
+    "UNION ALL SELECT horizonte, alpha, '', round(b, 5) FROM c"))
+add("m13_ridge_path_winner", lambda spark, d: V.best_on_val(V.experiment_table(*_path(spark, d), R)), _on_path(
+    "SELECT horizonte, 'II' AS estrategia, arg_min(e, struct_pack(a := mae, b := e)) AS vencedor, min(mae) AS val_mae FROM (SELECT horizonte, 'ridge_' || a.n AS e, "
+    "round(avg(abs(y - greatest(0, b + list_sum(list_transform(w, lambda v, i: v * x[i]))))), 3) AS mae FROM h JOIN c USING (horizonte) "
+    f"JOIN (SELECT unnest([{', '.join(map(str, GRID_ALPHAS))}])::DOUBLE AS alpha, unnest([{', '.join(repr(str(a)) for a in GRID_ALPHAS)}]) AS n) a USING (alpha) "
+    f"WHERE y IS NOT NULL AND data_abertura >= DATE '{R.train_end}' AND data_abertura < DATE '{R.val_end}' GROUP BY ALL) GROUP BY ALL"))
 add("m13_best_alpha_and_tree", lambda spark, d: V.best_on_val(_grid(spark, d)))
 
 
@@ -233,7 +270,7 @@ def category_frames(spark, d) -> tuple[DataFrame, DataFrame]:
 
 
 def _category_experiments(spark, d) -> DataFrame:
-    return ML.experiment_table(*category_frames(spark, d), ML.category_experiments(max_iter=15, forest_trees=30))
+    return ML.experiment_table(*category_frames(spark, d), ML.category_experiments())
 
 
 def _internal_novelty(spark, d) -> DataFrame:
@@ -268,11 +305,11 @@ add("m13_svc_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experi
 add("m13_class_weight_grid", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), ML.weight_grid(), CLASSES))
 add("m13_tfidf_grid_winner", lambda spark, d: ML.best(ML.experiment_table(*_experiment_rows(spark, d), ML.tfidf_grid(), CLASSES)))
 add("m07_forest_on_structure", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), [
-    ML.TextExperiment("B2_estrut_RF", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por", "item_config_prep")), ML.TextModel("forest", trees=50, depth=6, balanced=True)),
+    ML.TextExperiment("B2_estrut_RF", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por", "item_config_prep")), ML.TextModel("forest", balanced=True)),
     ML.TextExperiment("B1_estrut_LR", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por")), ML.TextModel("logistic", balanced=True)),
 ], CLASSES))
 add("m07_boosted_on_structure", lambda spark, d: ML.experiment_table(*_experiment_rows(spark, d), [
-    ML.TextExperiment("B3_estrut_boosted", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por")), ML.TextModel("boosted", trees=20, depth=3, balanced=True))], CLASSES))
+    ML.TextExperiment("B3_estrut_boosted", ML.TextFeatures(None, (ML.PRODUCT, "aberto_por")), ML.TextModel("boosted", trees=300, depth=6, balanced=True))], CLASSES))
 
 
 def _rare_cuts(spark, d) -> DataFrame:

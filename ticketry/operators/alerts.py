@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,23 +89,35 @@ def error_above_expected(forecasts: DataFrame, actual: DataFrame, thresholds: Da
 
 
 def notifications(evaluations: DataFrame, repeat_hours: float = 4.0) -> DataFrame:
-    """Which evaluations notify: the first firing one of a run, then one per ``repeat_hours``.
+    """Which evaluations notify: the first firing one of a run, then each that comes ``repeat_hours`` or more after the last notice.
 
-    ``evaluations`` is a log (alerta, avaliado_em, disparado). Runs are numbered by counting the
-    changes of state; inside a run the elapsed time falls into repeat buckets and the first
-    evaluation of each bucket notifies.
+    ``evaluations`` is a log (alerta, avaliado_em, disparado). Runs are numbered by counting the changes of state. The
+    firing evaluations of a run are folded in their order; what is carried on is the time of the last notice, so a run of
+    any length needs no memory. Evaluations of the same time are one notice. A NULL state doesn't fire.
     """
     w = Window.partitionBy("alerta").orderBy("avaliado_em")
-    changed = (F.coalesce(F.lag("disparado").over(w), F.lit(False)) != F.col("disparado")).cast("int")
-    runs = evaluations.withColumn("_changed", changed).withColumn(
+    fires = F.coalesce("disparado", F.lit(False))
+    changed = (F.coalesce(F.lag(fires).over(w), F.lit(False)) != fires).cast("int")
+    runs = evaluations.select("alerta", "avaliado_em", "disparado", changed.alias("_changed")).withColumn(
         "_run", F.sum("_changed").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    inside = Window.partitionBy("alerta", "_run").orderBy("avaliado_em")
-    start = F.first("avaliado_em").over(inside)
-    hours = F.timestamp_diff("MICROSECOND", start, F.col("avaliado_em")) / F.lit(3.6e9)
-    bucketed = runs.withColumn("_bucket", F.floor(hours / F.lit(float(repeat_hours))))
-    new_bucket = F.coalesce(F.lag("_bucket").over(inside) != F.col("_bucket"), F.lit(True))
-    return bucketed.withColumn("notifica", F.col("disparado") & new_bucket).select(
-        "alerta", "avaliado_em", "disparado", "notifica")
+    key = ["alerta", "_run"]
+    firing = runs.where(fires).select(*key, "avaliado_em", "disparado").repartition(*key).sortWithinPartitions(*key, "avaliado_em")
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in evaluations.select("alerta", "avaliado_em", "disparado").schema.fields), "notifica boolean"])
+    repeat = pd.Timedelta(hours=repeat_hours)
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        run, last = None, None
+        for frame in frames:
+            marks = []
+            for *now, at in frame[[*key, "avaliado_em"]].itertuples(index=False):
+                first = now != run
+                if notify := first or at - last >= repeat:
+                    run, last = now, at
+                marks.append(notify)
+            yield frame.assign(notifica=marks).drop(columns="_run")
+
+    quiet = evaluations.where(~fires).select("alerta", "avaliado_em", "disparado", F.lit(False).alias("notifica"))
+    return firing.mapInPandas(fold, schema).unionByName(quiet)
 
 
 def require_predictions(n: int, what: str) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ from ticketry.operators.quantiles import exact_quantiles
 from ticketry.schema import HORIZON_DAYS, Rules
 
 RESULT = ["checagem", "ok", "mensagem"]
+#: Columns of silver without which a ticket is broken.
+REQUIRED = ["prioridade", "produto", "categoria", "subcategoria"]
 
 
 # -- row constraints ---------------------------------------------------------------------
@@ -189,13 +191,27 @@ def ticket_forecast_table(forecasts: DataFrame, rules: Rules = Rules()) -> DataF
 def layer_checks(source: DataFrame, bronze: DataFrame, silver: DataFrame, gold_total: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [
         same_count("bronze_igual_origem", source, bronze),
-        no_nulls("silver_sem_nulos", silver, ["prioridade", "produto", "categoria", "subcategoria"]),
+        no_nulls("silver_sem_nulos", silver, REQUIRED),
         no_duplicates("silver_sem_duplicatas", silver, ["numero"]),
         not_more("silver_ate_bronze", silver, bronze),
         total_matches("gold_igual_silver", gold_total, silver),
     ])
 
 
+def committed_checks(spark: SparkSession, bronze: dict, silver: dict, gold: dict) -> DataFrame:
+    """The checks of ``layer_checks`` that follow from what the loads observed. A figure that no load left fails its check."""
+    def check(name: str, holds, text: str, *figures) -> tuple[str, bool, str]:
+        return name, None not in figures and bool(holds(*figures)), text.format(*figures)
+
+    lidas, b, nulos, s, total = bronze.get("lidas"), bronze.get("n"), silver.get("nulos"), silver.get("n"), gold.get("total")
+    return spark.createDataFrame([
+        check("bronze_igual_origem", lambda x, y: x == y, "origem={} | bronze={}", lidas, b),
+        check("silver_sem_nulos", lambda x: x == 0, "linhas com nulo obrigatorio: {}", nulos),
+        check("silver_ate_bronze", lambda x, y: x <= y, "silver={} | bronze={}", s, b),
+        check("gold_igual_silver", lambda x, y: x == y, "gold={} | silver={}", total, s),
+    ], "checagem string, ok boolean, mensagem string")
+
+
 def dimension_totals(tables: dict[str, DataFrame], silver: DataFrame) -> DataFrame:
     """Every count table sums to the silver row count; silver is counted once."""
     sums = reduce(DataFrame.unionByName, [

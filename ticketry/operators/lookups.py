@@ -16,7 +16,7 @@ SALTS = 64
 
 
 def proven_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``table`` has at most ``max_rows`` rows and ``max_bytes`` of text.
+    """Whether ``table`` has at most ``max_rows`` rows and ``max_bytes`` of text and numbers.
 
     A distributed count and sum; no row leaves its task.
     """
@@ -24,6 +24,8 @@ def proven_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: in
     for field in table.schema.fields:
         if field.dataType.simpleString() == "string":
             size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif field.dataType.simpleString() in ("array<double>", "array<bigint>"):
+            size = size + 16 + 8 * F.coalesce(F.size(field.name), F.lit(0))
         else:
             size = size + F.lit(16)
     row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ticketry.functions import text as T
 from ticketry.operators.lookups import digested, known_keys, lookup_join
 from ticketry.schema import LEAKAGE_COLUMNS
-from ticketry.session import keep
+from ticketry.session import settled
 
 # --- fixed values: the four novelty classes, nearest first -------------------------------
 EXACT = "Exact Match"
@@ -35,7 +35,7 @@ def text_novelty(train: DataFrame, texts: DataFrame, column: str) -> DataFrame:
     """
     distinct = texts.where(F.col(column).isNotNull()).select(column).distinct()
     keyed = distinct.withColumns({"_norm": T.as_template(column), "_prefix": T.before_colon(column)})
-    seen = keep(train.select(column).where(F.col(column).isNotNull()).distinct())
+    seen = settled(train.select(column).where(F.col(column).isNotNull()).distinct())
     norms = seen.select(T.as_template(column).alias("_norm")).distinct().withColumn("_norm_known", F.lit(True))
     prefixes = seen.select(T.before_colon(column).alias("_prefix")).distinct().withColumn("_prefix_known", F.lit(True))
     out = keyed.join(seen.withColumn("_exact", F.lit(True)), column, "left")

@@ -29,7 +29,6 @@ def forecast_volume(lake: Lake, models: str, rules: Rules = Rules(), fill: int |
     n = lake.upsert_forecasts(made.rows, FORECASTS)
     alerts.require_predictions(n, "volume forecasts")
     lake.append("gold", THRESHOLDS, alerts.volume_threshold(series, rules).unionByName(alerts.error_threshold(made.metrics)))
-    made.scored.unpersist()
     return n
 
 

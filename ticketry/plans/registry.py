@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import platform
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -23,7 +24,7 @@ REQUIRED_FIELDS = (
 
 @dataclass(frozen=True)
 class LoadedModel:
-    model: PipelineModel
+    model: object
     metadata: dict
     path: str
 
@@ -56,10 +57,13 @@ def describe(name: str, version: str, kind: str, target: str, features: list[str
     }
 
 
-def save(spark: SparkSession, base: str, family: str, model: PipelineModel, metadata: dict) -> str:
-    """Save a version and put it in force. The pointer is written last."""
+def save(spark: SparkSession, base: str, family: str, model, metadata: dict) -> str:
+    """Save a version and put it in force. The pointer is written last. A model is a pipeline or has ``write_to(spark, folder)``."""
     folder = f"{base}/{family}/{metadata['versao']}"
-    model.write().overwrite().save(f"{folder}/model")
+    if hasattr(model, "write_to"):
+        model.write_to(spark, f"{folder}/model")
+    else:
+        model.write().overwrite().save(f"{folder}/model")
     _write_json(spark, f"{folder}/metadata", metadata)
     promote(spark, base, family, metadata["versao"])
     return folder
@@ -69,8 +73,8 @@ def promote(spark: SparkSession, base: str, family: str, version: str) -> None:
     _write_json(spark, f"{base}/{family}/current", {"version": version})
 
 
-def load(spark: SparkSession, base: str, family: str) -> LoadedModel:
-    """Pointer -> version -> metadata -> required fields -> model; every missing link is an error."""
+def load(spark: SparkSession, base: str, family: str, reader: Callable[[SparkSession, str], object] | None = None) -> LoadedModel:
+    """Pointer -> version -> metadata -> required fields -> model; every missing link is an error. Without ``reader`` it is a pipeline."""
     current = _read_json(spark, f"{base}/{family}/current", f"pointer of model {family}")
     version = current.get("version")
     if not version:
@@ -84,7 +88,8 @@ def load(spark: SparkSession, base: str, family: str) -> LoadedModel:
         spark.read.text(f"{folder}/model/metadata").limit(1).collect()
     except AnalysisException as err:
         raise FileNotFoundError(f"no model under {folder}") from err
-    return LoadedModel(PipelineModel.load(f"{folder}/model"), metadata, f"{folder}/model")
+    model = reader(spark, f"{folder}/model") if reader else PipelineModel.load(f"{folder}/model")
+    return LoadedModel(model, metadata, f"{folder}/model")
 
 
 def require_features(metadata: dict, produced: list[str]) -> None:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression, OneVsRest, RandomForestClassifier,
+    LinearSVC, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.feature import (
     IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer,
@@ -15,21 +16,19 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketry.functions import columns as C
 from ticketry.functions import text as T
 from ticketry.operators import baselines, metrics, novelty
-from ticketry.plans import registry
+from ticketry.plans import boosting as BT, linear_text as LT, registry
 from ticketry.schema import Rules
-from ticketry.session import keep
+from ticketry.session import keep, settled
 
 FAMILY, MODEL_NAME = "prioridade", "linearsvc_prioridade"
 LABEL, TEXT, PRODUCT = "prioridade", "descricao_resumida", "produto_prep"
 FEATURES = [TEXT, PRODUCT]
-#: What the vocabulary's size parameter holds at most; stands for "all terms".
-ALL_TERMS = 2**31 - 1
 #: Labels and category values become columns and are held on the driver; more of them are an error.
 MOST_VALUES = 100_000
 
@@ -95,7 +94,7 @@ class TextFeatures:
     numbers: tuple[str, ...] = ()
     max_ngram: int = 2
     min_df: float = 1
-    max_features: int = 20000
+    max_features: int | None = 20000
 
     @property
     def columns(self) -> list[str]:
@@ -103,13 +102,17 @@ class TextFeatures:
 
 
 def fit_features(train: DataFrame, what: TextFeatures) -> PipelineModel:
-    """TF-IDF of the text beside one-hot categories and numbers, learned on ``train``.
+    """TF-IDF of the text beside one-hot categories and numbers as vectors, for classifiers that need them; learned on ``train``.
+
+    Spark's stages hold the vocabulary on the driver, so a text needs a bound on its terms; the linear models have none.
 
     The inverse document frequency is ln((1 + n) / (1 + df)) + 1; Spark's own lacks the + 1, so
     the learned vector plus 1 is applied as a scaling stage, before rows are brought to length 1.
     A category not seen in ``train`` gets no column at all.
     """
     stages, blocks = [], []
+    if what.text and what.max_features is None:
+        raise ValueError("max_features bounds the vocabulary that this matrix keeps on the driver")
     if what.text:
         words = [RegexTokenizer(inputCol=what.text, outputCol="_w1", pattern=T.WORD, gaps=False, toLowercase=True)]
         for n in range(2, what.max_ngram + 1):
@@ -117,7 +120,7 @@ def fit_features(train: DataFrame, what: TextFeatures) -> PipelineModel:
         grams = ", ".join(f"_w{n}" for n in range(1, what.max_ngram + 1))
         words.append(SQLTransformer(statement=f"SELECT *, concat({grams}) AS _terms FROM __THIS__"))
         words.append(CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=what.min_df,
-                                     vocabSize=ALL_TERMS if what.max_features is None else what.max_features))
+                                     vocabSize=what.max_features))
         counted = Pipeline(stages=words).fit(train)
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(train)).idf
         stages += counted.stages
@@ -151,29 +154,30 @@ def feature_names(model: PipelineModel, what: TextFeatures) -> list[str]:
 
 @dataclass(frozen=True)
 class TextModel:
-    """svc, logistic, forest or boosted, with its settings."""
+    """svc (squared hinge), logistic, hinge (Spark's own SVM), forest or boosted, with its settings.
+
+    30 is the deepest that Spark's forests go, as good as unlimited for rows that fit a leaf before.
+    """
 
     kind: str = "svc"
     c: float = 1.0
     balanced: bool = False
-    max_iter: int = 50
+    max_iter: int = 1000
     trees: int = 300
-    depth: int = 10
+    depth: int = 30
+
+    @property
+    def linear(self) -> bool:
+        return self.kind in ("svc", "logistic")
 
     def estimator(self, rows: int):
         weight = {"weightCol": "peso"} if self.balanced else {}
-        if self.kind == "svc":
+        if self.kind == "hinge":
             one = LinearSVC(regParam=1.0 / (self.c * max(rows, 1)), maxIter=self.max_iter, standardization=False)
             return OneVsRest(classifier=one, labelCol="_y", featuresCol="features", parallelism=4, **weight)
-        if self.kind == "logistic":
-            return LogisticRegression(labelCol="_y", featuresCol="features", family="multinomial", standardization=False,
-                                      regParam=1.0 / (self.c * max(rows, 1)), maxIter=self.max_iter, **weight)
         if self.kind == "forest":
             return RandomForestClassifier(labelCol="_y", featuresCol="features", numTrees=self.trees, maxDepth=self.depth,
                                           seed=42, **weight)
-        if self.kind == "boosted":
-            one = GBTClassifier(maxIter=self.trees, maxDepth=self.depth, stepSize=0.1, seed=42)
-            return OneVsRest(classifier=one, labelCol="_y", featuresCol="features", **weight)
         raise ValueError(f"unknown model family: {self.kind}")
 
 
@@ -181,7 +185,7 @@ class TextModel:
 class FittedText:
     """A fitted matrix and classifier; ``labels`` maps class numbers to class names."""
 
-    model: PipelineModel
+    model: PipelineModel | LT.LinearModel | BT.BoostedModel
     labels: list[str]
     what: TextFeatures = field(default_factory=TextFeatures)
 
@@ -195,9 +199,37 @@ def require_few_values(df: DataFrame, columns: Sequence[str], most: int = MOST_V
 
 
 def fit_all(train: DataFrame, label: str, what: TextFeatures, hows: Sequence[TextModel]) -> list[FittedText]:
-    """Fit the matrix once and every classifier on it. The matrix is cached meanwhile."""
+    """Fit the matrix once for the linear classifiers and once for the others, and every classifier on it."""
     train = train.where(F.col(label).isNotNull())
     require_few_values(train, [label, *what.categories])
+    out: dict[int, FittedText] = {}
+    linear = [i for i, how in enumerate(hows) if how.linear]
+    if linear:
+        labels, models = LT.fit_linear(train, label, what, [hows[i] for i in linear])
+        out |= {i: FittedText(model, labels, what) for i, model in zip(linear, models, strict=True)}
+    for i, how in enumerate(hows):
+        if how.kind == "boosted":
+            out[i] = _fit_boosted(train, label, what, how)
+    if others := [i for i in range(len(hows)) if i not in out]:
+        out |= dict(zip(others, _fit_stages(train, label, what, [hows[i] for i in others]), strict=True))
+    return [out[i] for i in range(len(hows))]
+
+
+def _fit_boosted(train: DataFrame, label: str, what: TextFeatures, how: TextModel) -> FittedText:
+    """One model over all classes; balanced classes weigh as much as the largest one. Text is no column for trees."""
+    if what.text:
+        raise ValueError("boosted trees take categories and numbers only")
+    per_label = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
+    labels = sorted(per_label)
+    place = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(i))])
+    weight = F.create_map(*[x for v in labels for x in (F.lit(v), F.lit(max(per_label.values()) / per_label[v] if how.balanced else 1.0))])
+    values = {c: sorted(r[0] for r in train.select(F.col(c).cast("string").alias("v")).where("v IS NOT NULL").distinct().collect()) for c in what.categories}
+    model = BT.fit(train, F.element_at(place, F.col(label)), F.element_at(weight, F.col(label)), len(labels), values, what.numbers, BT.Boosting(how.trees, how.depth))
+    return FittedText(model, labels, what)
+
+
+def _fit_stages(train: DataFrame, label: str, what: TextFeatures, hows: Sequence[TextModel]) -> list[FittedText]:
+    """Spark's own classifiers on a matrix of vectors, which is cached meanwhile."""
     weights = [c for c in ("peso",) if any(how.balanced for how in hows)]
     if weights:
         train = train.join(F.broadcast(baselines.class_weights(train, label)), label)
@@ -224,7 +256,7 @@ def _scoring_stages(fitted) -> list:
     a copy leaves the summary behind.
     """
     if not hasattr(fitted, "models"):
-        return [fitted]
+        return [fitted.copy()]
     out = []
     for i, one in enumerate(fitted.models):
         one = one.copy().setFeaturesCol("features").setRawPredictionCol(f"_raw_{i}").setPredictionCol(f"_pred_{i}")
@@ -246,10 +278,13 @@ def score(fitted: FittedText, rows: DataFrame, out: str = "previsto") -> DataFra
     The score of a margin classifier is no probability.
     """
     labels = F.array(*[F.lit(x) for x in fitted.labels])
-    scores = _margins(fitted.model.stages)
+    if not isinstance(fitted.model, PipelineModel):
+        scored, scores = (LT if isinstance(fitted.model, LT.LinearModel) else BT).with_margins(fitted.model, rows), F.col("_margins")
+    else:
+        scored, scores = fitted.model.transform(rows), _margins(fitted.model.stages)
     by_rank = F.array_sort(F.arrays_zip(F.transform(scores, lambda x: -x).alias("menos"), labels.alias("classe")))
     ranked = F.transform(by_rank, lambda x: F.struct((-x["menos"]).alias("score"), x["classe"].alias("classe")))
-    scored = fitted.model.transform(rows).select(*rows.columns, ranked.alias("ranking"))
+    scored = scored.select(*rows.columns, ranked.alias("ranking"))
     return scored.withColumns({
         out: F.col("ranking")[0]["classe"], "score_vencedor": F.col("ranking")[0]["score"]})
 
@@ -273,7 +308,7 @@ class TrainedText:
 
 def _report(scored: DataFrame, labels: Sequence[str]) -> dict[str, dict]:
     """Figures per split. The model runs once; everything else works on the confusion counts."""
-    counts = keep(scored.groupBy("split", LABEL, "previsto").agg(F.count(F.lit(1)).alias("n")))
+    counts = settled(scored.groupBy("split", LABEL, "previsto").agg(F.count(F.lit(1)).alias("n")))
     overall = metrics.classification(counts, LABEL, "previsto", ["split"], labels, "n")
     recalls = metrics.class_recall(counts, LABEL, "previsto", labels, ["split"], "n")
     out = {}
@@ -289,7 +324,7 @@ def train(silver: DataFrame, rules: Rules = Rules(), what: TextFeatures | None =
     what = what or default_features(rules)
     how = how or TextModel("svc", c=rules.svc_c)
     novelty.require_no_leakage(what.columns)
-    data = keep(with_split(prepared(population(silver, rules), rules), rules))
+    data = settled(with_split(prepared(population(silver, rules), rules), rules))
     learn = data.where("split = 'TRAIN'")
     fitted = fit(learn, LABEL, what, how)
     scores = _report(score(fitted, data.where("split in ('VAL', 'TEST')")), rules.priority_classes)
@@ -301,14 +336,14 @@ def save(spark, base: str, trained: TrainedText, rules: Rules = Rules(), version
     meta = registry.describe(
         MODEL_NAME, version, "classificacao", LABEL, trained.fitted.what.columns,
         {"C": rules.svc_c, "ngram": rules.max_ngram, "min_df": rules.min_df, "max_features": rules.max_features,
-         "classes": trained.fitted.labels},
+         "classes": trained.fitted.labels, "ajuste": trained.fitted.model.fits},
         trained.period, trained.metrics_val, trained.metrics_test,
         "For assisted triage only. The score is a margin, not a probability.")
     return registry.save(spark, base, FAMILY, trained.fitted.model, meta)
 
 
 def load(spark, base: str) -> FittedText:
-    loaded = registry.load(spark, base, FAMILY)
+    loaded = registry.load(spark, base, FAMILY, LT.LinearModel.read_from)
     return FittedText(loaded.model, loaded.metadata["hiperparametros"]["classes"])
 
 
@@ -316,7 +351,7 @@ def predict_unseen(silver: DataFrame, fitted: FittedText, rules: Rules = Rules()
                    version: str = "v1") -> tuple[DataFrame, DataFrame]:
     """(rows for the forecast table, metrics) over VAL and TEST; TRAIN is never scored."""
     rows = with_split(prepared(population(silver, rules), rules), rules).where("split in ('VAL', 'TEST')")
-    scored = keep(score(fitted, rows))
+    scored = settled(score(fitted, rows))
     table = scored.select(
         "numero", "data_abertura", F.col(LABEL).alias("prioridade_real"), F.col("previsto").alias("prioridade_prevista"),
         "score_vencedor", F.lit(name).alias("modelo_utilizado"), F.lit(version).alias("versao_modelo"))
@@ -329,21 +364,18 @@ def suggest(fitted: FittedText, rows: DataFrame, k: int = 3) -> DataFrame:
 
 
 def top_terms(fitted: FittedText, spark, k: int = 12) -> DataFrame:
-    """The ``k`` features with the largest positive weight per class.
-
-    The weights are part of the model and already on the driver; only the ``k`` best leave it.
-    """
-    names = feature_names(fitted.model, fitted.what)
-    binary = [m for m in fitted.model.stages if isinstance(m, LinearSVCModel)]
-    if binary:
-        weights = [m.coefficients.toArray() for m in binary]
-    else:
-        weights = list(fitted.model.stages[-1].coefficientMatrix.toArray())
-    rows = []
-    for label, w in zip(fitted.labels, weights):
-        for place, i in enumerate(w.argsort()[::-1][:k]):
-            rows.append((label, place + 1, names[i], float(w[i])))
-    return spark.createDataFrame(rows, "classe string, posicao int, termo string, peso double")
+    """The ``k`` features with the largest weight per class, from the model's tables; ties go by name."""
+    model = fitted.model
+    parts = [model.values.select(F.concat("coluna", F.lit("__"), "valor").alias("termo"), "w")]
+    if model.terms is not None:
+        parts.append(model.terms.select(F.concat(F.lit("texto__"), "term").alias("termo"), "w"))
+    if model.numbers:
+        parts.append(spark.createDataFrame(list(model.numbers.items()), "termo string, w array<double>"))
+    each = reduce(DataFrame.unionByName, parts).select("termo", F.posexplode("w").alias("_k", "peso"))
+    place = F.row_number().over(Window.partitionBy("_k").orderBy(F.desc("peso"), "termo"))
+    best = each.withColumn("posicao", place).where(F.col("posicao") <= k)
+    names = F.array(*[F.lit(x) for x in fitted.labels])
+    return best.select(F.element_at(names, F.col("_k") + 1).alias("classe"), "posicao", "termo", "peso")
 
 
 # -- experiments -------------------------------------------------------------------------
@@ -372,7 +404,7 @@ def judged_by(fitted: FittedText, judged: DataFrame, exp: TextExperiment, labels
 def experiment_table(train_rows: DataFrame, judged: DataFrame, experiments: Sequence[TextExperiment],
                      labels: Sequence[str] | None = None, seen: str = "seen_in_train") -> DataFrame:
     """One result table; experiments on the same matrix share it."""
-    train_rows, judged = keep(train_rows), keep(judged)
+    train_rows, judged = settled(train_rows), settled(judged)
     alike: dict[tuple[str, TextFeatures], list[TextExperiment]] = {}
     for exp in experiments:
         alike.setdefault((exp.label, exp.what), []).append(exp)
@@ -423,9 +455,9 @@ def standard_experiments() -> list[TextExperiment]:
     ]
 
 
-def category_experiments(max_iter: int = 50, forest_trees: int = 300) -> list[TextExperiment]:
+def category_experiments(max_iter: int = 500, trees: int = 300) -> list[TextExperiment]:
     """Category families: text, structure, both; then calendar columns one-hot, and no channel."""
-    lr, svm = TextModel("logistic", balanced=True, max_iter=max_iter), TextModel("svc", balanced=True, max_iter=max_iter)
+    lr, svm = TextModel("logistic", balanced=True, max_iter=max_iter), TextModel("svc", balanced=True)
     text = dict(max_ngram=1, min_df=2, max_features=5000)
     structure, number = (LABEL, PRODUCT, "aberto_por"), ("freq_log",)
     calendar = ("hora_txt", "dia_txt", "mes_txt")
@@ -436,7 +468,8 @@ def category_experiments(max_iter: int = 50, forest_trees: int = 300) -> list[Te
     return [
         make("A1_texto_LR", TEXT, (), lr, ()), make("A2_texto_SVM", TEXT, (), svm, ()),
         make("B1_estrut_LR", None, structure, lr),
-        make("B2_estrut_RF", None, structure, TextModel("forest", balanced=True, trees=forest_trees)),
+        make("B2_estrut_RF", None, structure, TextModel("forest", balanced=True, trees=trees)),
+        make("B3_estrut_boosted", None, structure, TextModel("boosted", balanced=True, trees=trees, depth=6)),
         make("C1_hibrido_LR", TEXT, structure, lr), make("C2_hibrido_SVM", TEXT, structure, svm),
         make("exp09_com_temporal", TEXT, structure + calendar, svm), make("exp12_sem_aberto_por", TEXT, structure[:2], svm),
     ]
@@ -496,7 +529,7 @@ def simpler_if_close(best_score: float, simple_score: float, margin: float = 0.0
 def rare_label_experiments(train_rows: DataFrame, judged: DataFrame, label: str, row_id: str, what: TextFeatures,
                            how: TextModel, cuts: Sequence[int] = (10, 20, 30, 50)) -> DataFrame:
     """F1 on VAL for every rare-label cut; the grouping is learned on the training rows."""
-    train_rows, judged = keep(train_rows), keep(judged)
+    train_rows, judged = settled(train_rows), settled(judged)
     out = None
     for cut in cuts:
         grouped = novelty.bucket_rare_labels(train_rows, train_rows, label, row_id, cut)

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketry.functions import columns as C
 from ticketry.operators import metrics, series as TS
-from ticketry.plans import registry
+from ticketry.plans import registry, ridge as RD
 from ticketry.schema import Rules
-from ticketry.session import keep
+from ticketry.session import settled
 
 DAY, KEY, VALUE = TS.DAY, TS.KEY, TS.VALUE
 FAMILY, MODEL_NAME, NAIVE_NAME, NAIVE_VERSION = "volume_d7", "ridge_d7", "persistencia", "1.0"
@@ -70,10 +71,14 @@ def predict(model: PipelineModel, rows: DataFrame, out: str = "valor_previsto")
     return model.transform(rows).withColumn(out, C.clip_at_zero(PREDICTION)).drop("features", PREDICTION)
 
 
+def split_column(rules: Rules, strategy: str) -> Column:
+    cuts = (rules.train_end, rules.val_end) if strategy == "II" else (rules.family_train_end, rules.family_val_end)
+    return C.split_by_cuts(DAY, *cuts)
+
+
 def with_split(dataset: DataFrame, rules: Rules = Rules(), strategy: str = "II") -> DataFrame:
     """Strategy I cuts before the regime change is learnt, strategy II after it."""
-    cuts = (rules.train_end, rules.val_end) if strategy == "II" else (rules.family_train_end, rules.family_val_end)
-    return dataset.withColumn("split", C.split_by_cuts(DAY, *cuts))
+    return dataset.withColumn("split", split_column(rules, strategy))
 
 
 def training_frame(series: DataFrame, rules: Rules = Rules(), target: str = "target_d7") -> DataFrame:
@@ -90,7 +95,7 @@ class Trained:
 
 def train(series: DataFrame, rules: Rules = Rules(), target: str = "target_d7") -> Trained:
     """Fit on TRAIN for the figures, then on TRAIN + VAL for use. TEST is in neither fit."""
-    data = keep(training_frame(series, rules, target))
+    data = settled(training_frame(series, rules, target))
     how = Regressor("ridge", alpha=rules.ridge_alpha)
     judged = fit(data.where("split = 'TRAIN'"), rules.d7_features, target, how)
     scores = {
@@ -130,7 +135,7 @@ def persistence_rows(series: DataFrame, dates: DataFrame) -> DataFrame:
 
 @dataclass
 class Forecast:
-    """Rows for the forecast table, figures on the unseen days, and the cached frame behind both."""
+    """Rows for the forecast table, figures on the unseen days, and the written frame behind both."""
 
     rows: DataFrame
     metrics: DataFrame
@@ -143,7 +148,7 @@ def forecast(series: DataFrame, model: PipelineModel, rules: Rules = Rules(), na
 
     The unseen days are scored once; that frame feeds both the figures and the rows.
     """
-    scored = keep(predict(model, out_of_sample(series, rules, target)))
+    scored = settled(predict(model, out_of_sample(series, rules, target)))
     ahead = predict(model, TS.last_day(TS.volume_features(series, rules)))
     days = scored.select(KEY, DAY).unionByName(ahead.select(KEY, DAY))
     d7 = scored.select(KEY, DAY, "valor_previsto").unionByName(ahead.select(KEY, DAY, "valor_previsto"))
@@ -190,14 +195,41 @@ def run_experiment(dataset: DataFrame, exp: VolumeExperiment, rules: Rules = Rul
         F.lit(exp.model.kind).alias("modelo"), "split", "mae", "rmse", "smape_pct", "r2", "n")
 
 
+def _linear_fits(dataset: DataFrame, exps: Sequence[VolumeExperiment], rules: Rules) -> list[tuple]:
+    """(coefficients, constant) of linear and ridge experiments, all from one aggregate."""
+    columns = list(dict.fromkeys(f for e in exps for f in e.features))
+    samples = {(e.target, e.strategy): RD.Sample(f"{e.target}:{e.strategy}", e.target, split_column(rules, e.strategy) == "TRAIN") for e in exps}
+    sums = RD.moments(dataset, columns, list(samples.values()))
+    return [sums.solve(samples[e.target, e.strategy].name, e.features, e.model.alpha if e.model.kind == "ridge" else 0.0) for e in exps]
+
+
+def _linear_table(dataset: DataFrame, exps: Sequence[VolumeExperiment], rules: Rules) -> DataFrame:
+    """Metrics of all linear and ridge experiments: one scan for the fits and one for the figures."""
+    rows = F.array(*[
+        F.struct(F.lit(e.name).alias("experimento"), F.lit(e.horizon).alias("horizonte"), F.lit(e.strategy).alias("estrategia"), F.lit(e.model.kind).alias("modelo"),
+                 split_column(rules, e.strategy).alias("split"), F.col(e.target).cast("double").alias("real"), C.clip_at_zero(RD.predicted(e.features, w, b)).alias("valor_previsto"))
+        for e, (w, b) in zip(exps, _linear_fits(dataset, exps, rules), strict=True)])
+    judged = dataset.select(F.inline(rows)).where("real IS NOT NULL")
+    return metrics.regression(judged, "real", "valor_previsto", ["experimento", "horizonte", "estrategia", "modelo", "split"])
+
+
+def ridge_path(dataset: DataFrame, exps: Sequence[VolumeExperiment], rules: Rules = Rules()) -> DataFrame:
+    """experimento, horizonte, alpha, feature, coef of ridge experiments; the constant is feature ''."""
+    rows = [(e.name, e.horizon, float(e.model.alpha), f, float(v)) for e, (w, b) in zip(exps, _linear_fits(dataset, exps, rules), strict=True)
+            for f, v in [*zip(e.features, w, strict=True), ("", b)]]
+    return dataset.sparkSession.createDataFrame(rows, "experimento string, horizonte string, alpha double, feature string, coef double")
+
+
 def experiment_table(dataset: DataFrame, experiments: Sequence[VolumeExperiment], rules: Rules = Rules()) -> DataFrame:
-    """One result table over all experiments; the dataset (one row per day) is cached once."""
-    dataset = keep(dataset)
-    out = None
-    for exp in experiments:
-        rows = run_experiment(dataset, exp, rules)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """One result table over all experiments; the dataset (one row per day) is written once.
+
+    All linear and ridge experiments share two scans of it, whatever their number.
+    """
+    dataset = settled(dataset)
+    linear = [e for e in experiments if e.model.kind in ("linear", "ridge")]
+    parts = [_linear_table(dataset, linear, rules)] if linear else []
+    parts += [run_experiment(dataset, e, rules) for e in experiments if e not in linear]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def standard_experiments(rules: Rules = Rules(), horizons: Sequence[str] = ("D+1", "D+7")) -> list[VolumeExperiment]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -52,3 +53,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def keep(df: DataFrame) -> DataFrame:
     """Cache a frame that several later steps read; lost blocks are recomputed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written once below the checkpoint folder and read from there by all later steps.
+
+    Nothing stays in the executors' memory and there is nothing to release: a lost executor costs a reread, and the folder
+    goes when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
