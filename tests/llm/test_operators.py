@@ -5,11 +5,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ticketry.llm import bpe, codes, components, html_text, language, mixing, neighbours, quality, secrets, shingle_join, token_counts, vector_dedup
+from ticketry.llm import components as components_module
 from ticketry.llm.common import scratch, table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -261,13 +263,13 @@ def test_unclosed_elements_that_hide_their_text_cost_their_length():
     assert [b.text for b in html_text.leaf_blocks("<head>" * 20_000 + "<body>" + "<select><style/>" * 2000 + "</body>x")] == []
 
 
-def sets_of(text):
+def sets_of(text, width=3):
     words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
-    return {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+    return {tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
 
 
-def brute_groups(texts, percent=90):
-    sets = [sets_of(t) for t in texts]
+def brute_groups(texts, percent=90, width=3):
+    sets = [sets_of(t, width) for t in texts]
     pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
     i, j = (np.array(p, int) for p in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int),) * 2
     return vector_dedup.roots(len(sets), i, j), [len(s) for s in sets]
@@ -291,12 +293,39 @@ def test_shingle_join_equals_brute_force(spark, blocks):
     assert all(got[i].component_id == root[i] and got[i].n_shingles == sizes[i] for i in range(len(texts)))
 
 
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(components_module, "FEW", few)
+    random = np.random.default_rng(6)
+    chain = [(i, i + 1) for i in range(1000, 1200)]
+    some = [(int(a), int(b)) for a, b in random.integers(0, 400, (260, 2))] + [(5, None), (None, 6), (7, 7), (2, 1), (1, 2), (-9, 3), *chain]
+    links = spark.createDataFrame(some, "a long, b long").repartition(5)
+    names = sorted({x for p in some if None not in p for x in p})
+    at = {x: i for i, x in enumerate(names)}
+    i, j = np.array([(at[a], at[b]) for a, b in some if a is not None and b is not None]).T
+    root = components_module.roots(len(names), i, j)
+    want = {x: names[r] for x, r in zip(names, root) if (root == r).sum() > 1}
+    assert {r["node"]: r["root"] for r in components_module.components(links).collect()} == want
+    assert components_module.components(links.limit(0)).count() == 0
+
+
+def test_segments_are_run_through_in_their_order():
+    rows = [(1, 4), (1, 9), (2, 3), (3, 2), (3, 5), (3, 6), (4, 1)]
+    for size in (1, 2, 3, 7):
+        batches = [pa.record_batch([pa.array([s for s, _ in part]), pa.array([c for _, c in part])], names=["segment", "class"])
+                   for part in (rows[i:i + size] for i in range(0, len(rows), size))]
+        got = [tuple(r.values()) for b in shingle_join.next_of_segment(iter(batches)) for r in b.to_pylist()]
+        assert got == [(9, 4), (5, 2), (6, 2)]
+
+
 def test_shingle_join_of_odd_documents(odd, none):
     rows = sorted((r.doc_id or -1, r.n_shingles, r.component_id) for r in shingle_join.groups(odd).collect())
     assert rows == [(-1, 3, 1), (1, 3, 1), (1, 3, 1), (2, 0, 2), (3, 0, 3), (4, 5, 4), (5, 3, 1), (6, 0, 6), (7, 1, 7), (8, 2, 8)]
     assert shingle_join.groups(none).count() == 0 and shingle_join.representatives(none).count() == 0
     kept = shingle_join.representatives(odd)
-    assert kept.columns == odd.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 6, 7, 8]
+    assert kept.columns == odd.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [1, 2, 3, 4, 6, 7, 8]
+    unnamed = odd.where("doc_id IS NULL")
+    assert [(r.doc_id, r.text) for r in shingle_join.representatives(unnamed.unionByName(unnamed)).collect()] == [(None, "one two three four five")]
 
 
 @pytest.mark.parametrize("blocks", [{}, {"block_docs": 4, "leaders": 1}])
@@ -309,7 +338,7 @@ def test_shingle_join_where_an_id_stands_on_many_texts(spark, blocks):
     assert len(got) == len(rows) and all(c == 7 for i, c in got if i is not None and i != 9)
     kept = [(r.doc_id, r.text) for r in shingle_join.representatives(docs, **blocks).collect()]
     assert sorted(t for i, t in kept if i == 7) == sorted([*texts, "alone one two three"])
-    assert sorted(t for i, t in kept if i is None) == [" ", " ", f"new {'text ' * 9}", texts[0]]
+    assert sorted(t for i, t in kept if i is None) == [" ", " ", f"new {'text ' * 9}"]
     assert len(kept) == 26 and sum(i == 9 for i, _ in kept) == 1
 
 
@@ -374,7 +403,7 @@ def test_pipeline_equals_its_stages_by_hand(spark):
     docs = table(spark, FOLDER, "documents")
     got = sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, FOLDER).collect())
     good = [r for r in quality.good_documents(docs, table(spark, FOLDER, "labels")).orderBy("doc_id").collect()]
-    root, _ = brute_groups([r.text for r in good])
+    root, _ = brute_groups([r.text for r in good], percent=80, width=5)
     left = [r for n, r in enumerate(good) if root[n] == n]
     work, want = bpe.ChunkCoder(bpe.tokenizer_text()), []
     frame = secrets.masked(spark.createDataFrame(left, docs.schema))

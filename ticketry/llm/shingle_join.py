@@ -8,8 +8,8 @@ near the next class carries that class's segments too). By that surplus a docume
 those up to some number of shingles, which documents share by chance: of a pair's equal segments, those that either
 leaves out are fewer than all. No pair above the threshold is missed.
 
-Documents with equal sets are one class. Equal segments join classes into candidate groups (a minimum by segment,
-pre-aggregated, then connected components), and the texts of groups of two and more are brought together once. There the
+Documents with equal sets are one class. Equal segments join classes into candidate groups (each class with the first one
+of the segment, in one pass over the sorted segments, then connected components), and the texts of groups of two and more are brought together once. There the
 overlaps are counted fragment by fragment and summed per pair. A group beyond one block is dealt into blocks: each block
 is compared inside and with a few leaders of its group; what is not yet connected with the largest part of its group is
 then compared with all blocks. Nothing lists the pairs of a group.
@@ -31,13 +31,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketry.llm.common import give_back, small_batches, written
-from ticketry.llm.components import components
-from ticketry.llm.vector_dedup import roots
+from ticketry.llm.common import dropped, give_back, small_batches, written
+from ticketry.llm.components import components, roots
 
 GROWTH = 1.6
 #: The largest table of chosen rows that is sent to every task instead of shuffling all texts to it.
 BROADCAST_ROWS = 2_000_000
+#: Classes that a task remembers, so that copies of a text don't give its segments again.
+MET_CLASSES = 1 << 19
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -128,6 +129,21 @@ def links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tupl
     return np.nonzero(100 * common >= percent * (size - common))
 
 
+def next_of_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, low): each class of a segment with the first one of it, from rows (segment, class) in their order."""
+    last, low = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        segment, name = batch.column("segment").to_numpy(), batch.column("class").to_numpy()
+        new = np.concatenate([[segment[0] != last], segment[1:] != segment[:-1]])
+        start = np.maximum.accumulate(np.where(new, np.arange(len(name)), -1))
+        first = np.where(start < 0, 0 if low is None else low, name[start])
+        last, low = segment[-1], first[-1]
+        some = first != name
+        yield pa.record_batch([pa.array(name[some], pa.int64()), pa.array(first[some], pa.int64())], names=["class", "low"])
+
+
 def row_key() -> Column:
     """The name of a row: of its doc_id and text, for an id may stand on rows of several texts."""
     return F.xxhash64(F.col("doc_id").cast("long"), "text")
@@ -149,26 +165,35 @@ def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int
     if not 50 <= percent < 100:
         raise ValueError("percent must be from 50 to 99")
     small_batches(docs.sparkSession)
+
     def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of a class that the task has met lately carry no segments again."""
+        met: set[int] = set()
         for frame in frames:
             sets = [shingles(t, width) for t in frame["text"]]
             ends = size_classes(2 * max([len(s) for s in sets], default=0) + 100, percent)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "key": frame["key"], "n": [len(s) for s in sets], "class": [class_of(s) for s in sets],
-                                "segments": [segments(s, percent, ends).view("<i8") for s in sets]})
+            names, made = [class_of(s) for s in sets], []
+            for name, one in zip(names, sets, strict=True):
+                made.append(np.zeros(0, "<i8") if name in met else segments(one, percent, ends).view("<i8"))
+                if len(met) >= MET_CLASSES:
+                    met.clear()
+                met.add(name)
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "key": frame["key"], "n": [len(s) for s in sets], "class": names, "segments": made})
         give_back()
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", row_key())
     made = keyed.mapInPandas(signed, "doc_id long, key long, n long, class long, segments array<long>")
     made = written(made, "sets")
-    rows = made.select("doc_id", "key", "n", "class")
+    rows = written(made.select("doc_id", "key", "n", "class"), "rows")
     # equal sets are one class; its text is that of the row with the smallest key
     classes = rows.where("n > 0").groupBy("class", "n").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
-    segment = made.select("class", F.explode("segments").alias("segment"))
-    low = segment.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("segment", "low")
-    met = segment.join(low, "segment").where("class != low").select("class", "low").distinct()
+    # segments are shuffled once and run through in their order, so a common one needs no memory
+    segment = made.select("class", F.explode("segments").alias("segment")).repartition("segment").sortWithinPartitions("segment", "class")
+    met = segment.mapInArrow(next_of_segment, "class long, low long").distinct()
     candidate = components(met, "class", "low").select(F.col("node").alias("class"), F.col("root").alias("cand"))
 
     members = written(candidate.join(classes, "class"), "candidates")
+    dropped(made)
     sizes = members.groupBy("cand").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int")
     members = members.join(sizes.select("cand", blocks.alias("blocks")), "cand").withColumn(
@@ -258,15 +283,15 @@ def groups(docs: DataFrame, **how) -> DataFrame:
 
 
 def representatives(docs: DataFrame, **how) -> DataFrame:
-    """One row of each group of ``docs``, with its smallest doc_id; one more if the group also has rows without an id.
+    """One row of each group of ``docs``, with its smallest doc_id; a row without an id only where no row of the group has one.
 
     Rows are told apart by doc_id and text: an id on texts of several groups stays in each of them. Of rows without words
     one stays for each id, and all without an id.
     """
     found = written(grouped(docs, **how), "groups").where("n_shingles > 0 OR doc_id IS NOT NULL")
     # an id may be the smallest of several groups, so they go by root
-    best = found.where("doc_id IS NULL OR doc_id = component_id").groupBy(
-        F.col("root").isNull().alias("blank"), F.coalesce("root", "doc_id").alias("group"), F.col("doc_id").isNull().alias("unnamed")).agg(F.min("key").alias("key"))
+    best = found.where("doc_id <=> component_id").groupBy(
+        F.col("root").isNull().alias("blank"), F.coalesce("root", "doc_id").alias("group")).agg(F.min("key").alias("key"))
     keys = found.groupBy("key").agg(F.count("*").alias("rows")).join(best.select("key", F.lit(True).alias("stays")).distinct(), "key", "left")
     keys = written(keys, "keys")
 

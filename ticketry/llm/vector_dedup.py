@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ticketry.llm import codes
 from ticketry.llm.common import give_back, small_batches, written
-from ticketry.llm.components import components
+from ticketry.llm.components import components, roots
 
 PIECE = ["bucket", "low", "high"]
 
@@ -38,20 +38,6 @@ def table_shape(rows: int, threshold: float, recall: float) -> tuple[int, int]:
     return width, max(2, int(np.ceil(np.log(1 - recall) / np.log(1 - meet))))
 
 
-def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest position reachable from each of ``n`` positions by the links (i, j)."""
-    root = np.arange(n)
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        before = root.copy()
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
-        root = root[root]
-        if (root == before).all():
-            break
-    return root
-
-
 def in_pieces(rows: DataFrame, bucket: str, size: str, block_rows: int, *columns: str) -> DataFrame:
     """``columns`` of ``rows`` dealt to the pieces of their buckets, sorted by piece: each block, and each pair of blocks."""
     blocks = F.ceil(F.col(size) / block_rows).cast("int")
