@@ -19,25 +19,30 @@ def usable(vector: Column) -> Column:
 
 
 def vectors(table: DataFrame, vector: str, *columns: str) -> DataFrame:
-    """``columns`` and double vector ``_v`` of the usable rows, those of the most common length (the smaller on ties).
+    """``columns`` and double vector ``_v`` of the usable rows. Only vectors of one length can be compared with each other."""
+    return table.select(*columns, F.col(vector).cast("array<double>").alias("_v")).where(usable(F.col("_v")))
 
-    Rows of any other length can't be compared with them and take no part.
-    """
-    rows = table.select(*columns, F.col(vector).cast("array<double>").alias("_v")).where(usable(F.col("_v")))
-    length = rows.groupBy(F.size("_v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("_v") == (length["n"] if length else 0))
+
+def longest(rows: DataFrame) -> int:
+    return rows.agg(F.max(F.size("_v"))).first()[0] or 1
 
 
-def sample_matrix(rows: DataFrame, key: str, size: int) -> np.ndarray:
-    """``size`` rows at most, those with the smallest hash of ``key``, scaled to length 1."""
+def sample_matrix(rows: DataFrame, key: str, size: int, width: int) -> np.ndarray:
+    """``size`` rows at most, those with the smallest hash of ``key``, scaled to length 1; shorter vectors end in zeros."""
     got = rows.orderBy(F.xxhash64(key), key, "_v").limit(size).select("_v").toPandas()["_v"]
-    x = np.stack(got.tolist()) if len(got) else np.zeros((0, 1))
-    return x / np.linalg.norm(x, axis=1, keepdims=True) if len(got) else x
+    x = np.zeros((len(got), width))
+    for i, v in enumerate(got):
+        x[i, :len(v)] = v
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def learn_rotations(x: np.ndarray, bits: int, rounds: int = 20, seed: int = 7) -> np.ndarray:
-    """[d, bits] projections: as many learned rotations side by side as ``bits`` need, the last one cut."""
+    """[d, bits] projections: as many learned rotations side by side as ``bits`` need, the last one cut.
+
+    Vectors of more than 1,024 components get rotations that are not learned.
+    """
     d = x.shape[1]
+    rounds = rounds if d <= 1024 else 0
     random, parts = np.random.default_rng(seed), []
     while sum(p.shape[1] for p in parts) < bits:
         r = np.linalg.qr(random.standard_normal((d, d)))[0]
@@ -49,8 +54,8 @@ def learn_rotations(x: np.ndarray, bits: int, rounds: int = 20, seed: int = 7) -
 
 
 def sign_bits(x: np.ndarray, rotations: np.ndarray) -> np.ndarray:
-    """[n, bits] booleans."""
-    return x @ rotations >= 0
+    """[n, bits] booleans; a vector shorter than the rotations counts as if it ended in zeros."""
+    return x @ rotations[:x.shape[1]] >= 0
 
 
 def pack(bits: np.ndarray) -> np.ndarray:

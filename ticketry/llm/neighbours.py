@@ -7,11 +7,11 @@ the bits, so the k-th best cosine found says how far the codes of anything bette
 included: the radius grows to that and the search ends. Where that means more probes than an index has rows, the codes
 are compared directly, which retrieves the same rows.
 
-Index rows are dealt to shards and queries to blocks, by hash; each (shard, block) is one bounded group, whose best rows
-meet in a ranking. The query set is searched against all rows; nothing is dropped and no bucket is capped.
+Index rows are dealt to shards and queries to blocks, by hash; each (shard, block, vector length) is one bounded group, whose
+best rows meet in a ranking. The query set is searched against all rows; nothing is dropped and no bucket is capped.
 
-Defined cases: vectors null, zero, with null or non-finite components, or of another length than most take no part, nor
-do rows without id; ids that repeat are several candidates and one query (with the smallest of its vectors); ties go to
+Defined cases: vectors null, zero, or with null or non-finite components take no part, nor do rows without id; vectors of
+several lengths are compared with those of their own length; ids that repeat are several candidates and one query (with the smallest of its vectors); ties go to
 the smaller id; an empty table gives no rows; extra columns are not read.
 """
 
@@ -94,13 +94,13 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     rows = written(codes.vectors(table.where(F.col(key).isNotNull()), vector, key).withColumn("_query", F.coalesce(is_query, F.lit(False))), "rows")
     n, queries = rows.agg(F.count("*"), F.count(F.when(F.col("_query"), 1))).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-queries // block_rows))
-    x = codes.sample_matrix(rows, key, sample_rows)
+    x = codes.sample_matrix(rows, key, sample_rows, codes.longest(rows))
     rotations = codes.learn_rotations(x, bits)
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     shard = lambda salt, count: F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(count)).cast("int")
-    index = rows.select(F.col(key).cast("long").alias("id"), "_v", shard(1, shards).alias("shard"), every(blocks).alias("block"))
+    index = rows.select(F.col(key).cast("long").alias("id"), "_v", F.size("_v").alias("length"), shard(1, shards).alias("shard"), every(blocks).alias("block"))
     asked = (rows.where("_query").groupBy(key).agg(F.min("_v").alias("_v"))
-             .select(F.col(key).cast("long").alias("id"), "_v", shard(2, blocks).alias("block"), every(shards).alias("shard")))
+             .select(F.col(key).cast("long").alias("id"), "_v", F.size("_v").alias("length"), shard(2, blocks).alias("block"), every(shards).alias("shard")))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple] = []
@@ -110,7 +110,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
                 found += index.search(i, np.asarray(v), k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    best = index.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(search, RESULT)
+    best = index.groupBy("shard", "block", "length").cogroup(asked.groupBy("shard", "block", "length")).applyInPandas(search, RESULT)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

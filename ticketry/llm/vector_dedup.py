@@ -6,13 +6,15 @@ candidates. Codes that differ in fewer bits than there are tables always meet, a
 pair at the threshold meets with probability ``recall``. Only codes go to the buckets. The original vectors of each group
 of candidates are then brought together once and compared exactly, all pairs of the group.
 
-Equal vectors of a label are one node with a number of copies. A bucket or group above ``block_rows`` is dealt into
+Equal vectors of a label are one node with a number of copies; a node has a number of its own, and the smallest id of a
+component is looked up at the end, so ids may repeat, also under several labels. Vectors of several lengths meet those of
+their own length. A bucket or group above ``block_rows`` is dealt into
 blocks, and each pair of blocks is one piece of work; pieces give out sums and one root a row, never pairs. So a group
 that holds a third of all rows costs work, not memory or rows.
 
-Defined cases: null labels and vectors that are null, zero, with null or non-finite components, or of another length than
-most link with nothing (n_links 0, own component); a null id gets n_links and the component of its group, kept false;
-repeated ids are rows of their own; an empty table gives no rows; extra columns are not read.
+Defined cases: null labels and vectors that are null, zero, or with null or non-finite components link with nothing (n_links
+0, own component); a null id gets n_links and the component of its group (null where no row of
+it has an id), kept false; repeated ids are rows of their own; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ PIECE = ["bucket", "low", "high"]
 
 def table_shape(rows: int, threshold: float, recall: float) -> tuple[int, int]:
     """(width, tables): the width of a substring follows the logarithm of the rows, the tables follow the recall asked for."""
-    width = int(np.clip(round(np.log2(max(rows, 2))) - 4, 8, 20))
+    width = max(8, round(np.log2(max(rows, 2))) - 4)
     meet = (1 - codes.bits_apart(threshold)) ** width
     return width, max(2, int(np.ceil(np.log(1 - recall) / np.log(1 - meet))))
 
@@ -126,28 +128,29 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, recall: float = 0
     hashed = lambda df: df.withColumn("h1", F.xxhash64("_v")).withColumn("h2", F.xxhash64(F.lit(1), F.col("_v")))
     rows = hashed(codes.vectors(everything.where("label IS NOT NULL"), "_v", "vec_id", "label"))
     same = rows.groupBy("label", "h1", "h2").agg(
-        F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.min("_v").alias("_v"))
-    # a group whose rows all lack an id is named by its hash
-    nodes = written(same.select(F.coalesce("vec_id", "h1").alias("rep"), "label", "h1", "h2", "copies", "_v"), "nodes")
+        F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.min("_v").alias("_v"))
+    nodes = written(same.withColumn("rep", F.monotonically_increasing_id()), "nodes")
     width, tables = table_shape(nodes.count(), threshold, recall)
-    rotations = codes.learn_rotations(codes.sample_matrix(nodes, "rep", sample_rows), width * tables)
+    rotations = codes.learn_rotations(codes.sample_matrix(nodes, "h1", sample_rows, codes.longest(nodes)), width * tables)
     share = codes.bits_apart(threshold)
     radius = int(np.ceil(width * tables * share + z * np.sqrt(width * tables * share * (1 - share))))
 
     def coded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x = np.stack(frame["_v"].tolist()) if len(frame) else np.zeros((0, len(rotations)))
-            bits = codes.sign_bits(x, rotations)
-            unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-            yield pd.DataFrame({"rep": frame["rep"], "label": frame["label"], "copies": frame["copies"], "code": [c.tobytes() for c in codes.pack(bits)],
-                                "parts": [p for p in codes.substrings(bits, width).astype("<i4")], "unit": [u.astype("<f8").tobytes() for u in unit]})
+            for length, part in frame.groupby("length"):
+                x = np.stack(part["_v"].tolist())
+                bits = codes.sign_bits(x, rotations)
+                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+                yield pd.DataFrame({"rep": part["rep"], "label": part["label"], "length": length, "copies": part["copies"], "code": [c.tobytes() for c in codes.pack(bits)],
+                                    "parts": [p for p in codes.substrings(bits, width)], "unit": [u.astype("<f8").tobytes() for u in unit]})
 
     kind = nodes.schema["label"].dataType.simpleString()
-    code = written(nodes.select("rep", "label", "copies", "_v").mapInPandas(
-        coded, f"rep long, label {kind}, copies long, code binary, parts array<int>, unit binary"), "codes")
+    code = written(nodes.select("rep", "label", F.size("_v").alias("length"), "copies", "_v").mapInPandas(
+        coded, f"rep long, label {kind}, length int, copies long, code binary, parts array<long>, unit binary"), "codes")
 
     # candidates: codes that meet in a bucket and are near
-    slots = code.select("rep", "code", "label", F.posexplode("parts").alias("tab", "value")).select("rep", "code", F.xxhash64("label", "tab", "value").alias("slot"))
+    slots = code.select("rep", "code", "label", "length", F.posexplode("parts").alias("tab", "value")).select(
+        "rep", "code", F.xxhash64("label", "length", "tab", "value").alias("slot"))
     sizes = slots.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1")
     met = in_pieces(slots.join(sizes, "slot"), "slot", "n", block_rows, "code")
     near = written(met.mapInPandas(by_piece(near_codes(radius), rooted), "rep long, root long").distinct(), "near")
@@ -160,12 +163,15 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93, recall: float = 0
     found = written(pieces.mapInPandas(by_piece(near_vectors(threshold), counted), "rep long, n_links long, root long"), "found")
     linked = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
     group = components(found, "rep", "root")
-    known = (nodes.select("rep", "label", "h1", "h2", "copies").join(linked, "rep", "left").join(group, F.col("rep") == F.col("node"), "left")
-             .select(F.col("label").alias("_label"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"),
-                     (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root")))
+    named = nodes.select("rep", "label", "h1", "h2", "copies", "least").join(linked, "rep", "left").join(group, F.col("rep") == F.col("node"), "left")
+    named = named.withColumn("root", F.coalesce("root", "rep"))
+    smallest = named.groupBy("root").agg(F.min("least").alias("smallest"))
+    known = named.join(smallest, "root").select(
+        F.col("label").alias("_label"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"),
+        (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.lit(True).alias("_node"), "smallest")
     all_rows = hashed(everything.withColumn("_ok", codes.usable(F.col("_v"))))
     joined = all_rows.join(known, F.col("_ok") & (F.col("label") == F.col("_label")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
-    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id")).withColumn(
+    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("_node"), F.col("smallest")).otherwise(F.col("vec_id")).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
