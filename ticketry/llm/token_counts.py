@@ -14,6 +14,7 @@ changes nothing; extra columns are not read.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,20 +92,25 @@ def rollup(totals: DataFrame) -> DataFrame:
 
 def corpus_counts(docs: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     """The rollups of a corpus with a history: all documents inserted under both versions, toxic ones deleted again, and the
-    texts of documents of low quality counted anew without their digits. The first batch comes twice, as after a lost reply.
-    Deletions and new counts touch words-1 only: totals of pieces-2, and those over both versions, hold all documents of the load.
+    texts of documents of low quality counted anew without their digits, both under both versions. The first batch comes
+    twice, as after a lost reply.
     """
     store = Rollups(docs.sparkSession, folder)
-    words = PATTERNS["words-1"]
-    counts = written(docs.select("doc_id", "source", "lang", n_tokens(F.col("text"), "words-1").alias("words"), n_tokens(F.col("text"), "pieces-2").alias("pieces"),
-                                 F.coalesce(F.regexp_count(F.regexp_replace("text", "[0-9]+", ""), F.lit(words)), F.lit(0)).alias("plain")), "counts")
-    first = changes(counts, "insert", "words-1", "words").unionByName(changes(counts, "insert", "pieces-2", "pieces"))
-    store.apply("load", first)
-    store.apply("load", first)
+    plain = F.regexp_replace("text", "[0-9]+", "")
+    counts = written(docs.select("doc_id", "source", "lang", *[n_tokens(F.col("text"), v).alias(v) for v in PATTERNS],
+                                 *[n_tokens(plain, v).alias(f"plain_{v}") for v in PATTERNS]), "counts")
+
+    def batch(rows: DataFrame, kind: str, n: str, before: str | None = None) -> DataFrame:
+        """Changes of a kind under all versions; ``n`` and ``before`` name the counts of a version."""
+        parts = [changes(rows, kind, v, n.format(v), before and before.format(v)) for v in PATTERNS]
+        return reduce(DataFrame.unionByName, parts)
+
+    store.apply("load", batch(counts, "insert", "{}"))
+    store.apply("load", batch(counts, "insert", "{}"))
     judged = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     marked = counts.join(judged, "doc_id")
-    store.apply("toxic", changes(marked.where("toxic = 1"), "delete", "words-1", "words"))
-    store.apply("revised", changes(marked.where("quality = 0 AND toxic = 0"), "revise", "words-1", "plain", "words"))
+    store.apply("toxic", batch(marked.where("toxic = 1"), "delete", "{}"))
+    store.apply("revised", batch(marked.where("quality = 0 AND toxic = 0"), "revise", "plain_{}", "{}"))
     return rollup(store.totals())
 
 
@@ -112,11 +118,13 @@ ORACLE = r"""
 WITH j AS (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id),
 w AS (SELECT d.source, d.lang, j.toxic, j.quality, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words,
   coalesce(len(regexp_extract_all(text, '[A-Za-z]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D]')), 0) AS pieces,
-  coalesce(len(regexp_extract_all(regexp_replace(text, '[0-9]', '', 'g'), '[^\x20\x09-\x0D]+')), 0) AS plain
+  coalesce(len(regexp_extract_all(regexp_replace(text, '[0-9]', '', 'g'), '[^\x20\x09-\x0D]+')), 0) AS plain_words,
+  coalesce(len(regexp_extract_all(regexp_replace(text, '[0-9]', '', 'g'), '[A-Za-z]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D]')), 0) AS plain_pieces
   FROM documents d LEFT JOIN j USING (doc_id)),
-c AS (SELECT source, lang, 'words-1' AS tokenizer, 1 AS documents, words AS tokens FROM w UNION ALL SELECT source, lang, 'pieces-2', 1, pieces FROM w
-  UNION ALL SELECT source, lang, 'words-1', -1, -words FROM w WHERE toxic = 1
-  UNION ALL SELECT source, lang, 'words-1', 0, plain - words FROM w WHERE quality = 0 AND toxic = 0),
+v AS (SELECT source, lang, toxic, quality, 'words-1' AS tokenizer, words AS n, plain_words AS plain FROM w UNION ALL SELECT source, lang, toxic, quality, 'pieces-2', pieces, plain_pieces FROM w),
+c AS (SELECT source, lang, tokenizer, 1 AS documents, n AS tokens FROM v
+  UNION ALL SELECT source, lang, tokenizer, -1, -n FROM v WHERE toxic = 1
+  UNION ALL SELECT source, lang, tokenizer, 0, plain - n FROM v WHERE quality = 0 AND toxic = 0),
 t AS (SELECT source, lang, tokenizer, sum(documents) AS documents, sum(tokens) AS tokens FROM c GROUP BY ALL HAVING sum(documents) <> 0 OR sum(tokens) <> 0)
 SELECT grouping_id(source, lang, tokenizer)::BIGINT AS level, source, lang, tokenizer, sum(documents)::BIGINT AS documents, sum(tokens)::BIGINT AS tokens
 FROM t GROUP BY CUBE (source, lang, tokenizer)
