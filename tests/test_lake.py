@@ -4,10 +4,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ticketry.operators import checks
+from ticketry.operators import checks, sketches
 from ticketry.plans import etl, registry
 from ticketry.schema import BRONZE_COLUMNS, GOLD_SCHEMAS, INGEST_SEQ, SOURCE_COLUMNS, STAND_IN_RULES, SILVER_SCHEMA
-from ticketry.sources import stand_ins as SI
+from ticketry.sources import raw, stand_ins as SI
 from ticketry.sources.lake import Lake, add_columns
 from ticketry.sources.raw import read_source
 
@@ -55,6 +55,16 @@ def test_source_contract(spark, base, change):
         read_source(spark, base)
 
 
+def test_names_are_trimmed_and_listed_columns_dropped(spark):
+    df = spark.createDataFrame([(1, 2, 3)], [" a", "b ", "c"])
+    assert raw.trimmed(df).columns == ["a", "b", "c"] and raw.without(raw.trimmed(df), ["b"]).columns == ["a", "c"]
+    with pytest.raises(ValueError, match="blanks only"):
+        raw.trimmed(spark.createDataFrame([(1, 2)], ["a", " a"]))
+    with pytest.raises(ValueError, match="missing"):
+        raw.without(df, ["x"])
+    assert raw.column_differences(["a", "b"], ["b", "c"]) == (["c"], ["a"])
+
+
 def test_missing_source_raises(spark, base):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_source(spark, base + "/nothing")
@@ -232,6 +242,23 @@ def test_load_chain_twice_leaves_forecasts_alone(spark, base, folder):
         assert checks.schema_differences(lake.table("gold", name), schema) == []
 
 
+def test_daily_sketches_give_any_range(spark, base, folder):
+    lake = Lake(spark, base)
+    silver = SI.tickets(spark, folder)
+    lake.replace("silver", etl.SILVER, silver)
+    assert etl.load_sketches(lake) == silver.select("data_abertura").distinct().count()
+    daily = lake.table("gold", etl.SKETCHES)
+    part = F.col("data_abertura").between("1996-03-01", "1998-02-01")
+    row = sketches.over(daily.where(part)).select("n", sketches.values_seen("duracao_segundos").alias("v"), sketches.quantile("duracao_segundos", 0.5).alias("q"),
+                                                  sketches.distinct("numero").alias("d")).first()
+    values = sorted(r[0] for r in silver.where(part & F.col("duracao_segundos").isNotNull()).select("duracao_segundos").collect())
+    below = sum(v <= row["q"] for v in values) / len(values)
+    assert row["n"] == silver.where(part).count() and row["v"] == len(values) and abs(below - 0.5) <= sketches.RANK_ERROR
+    assert abs(row["d"] - row["n"]) <= sketches.DISTINCT_ERROR * row["n"]
+    none = sketches.over(sketches.daily(silver.limit(0), ["data_abertura"], ["duracao_segundos"], ["numero"]))
+    assert none.select(sketches.quantile("duracao_segundos", 0.5)).first()[0] is None
+
+
 def test_the_gate_reads_what_the_loads_observed(spark, base, folder):
     lake = Lake(spark, base)
     source = SI.bronze(spark, folder)

@@ -8,7 +8,7 @@ from tests.conftest import FOLDER
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # These train many models or write the whole lake; ``python -m tests.compare`` runs them.
-SLOW = {"m12_text_experiment_rows", "m17_suggestion_shape", "v14_ticket_forecast_checks", "v11_model_forecast_checks", "s06_load_chain_row_counts", "a11_loaded_kpi_summary"}
+SLOW = {"m12_text_experiment_rows", "m12_text_experiment_optimality", "m17_suggestion_shape", "v14_ticket_forecast_checks", "v11_model_forecast_checks", "s06_load_chain_row_counts", "a11_loaded_kpi_summary"}
 
 
 @pytest.fixture(scope="module")

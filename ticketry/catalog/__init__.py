@@ -2,6 +2,6 @@
 
 
 def all_catalogs():
-    from ticketry.catalog import analysis, jobs, learning, linear, tables
+    from ticketry.catalog import analysis, contracts, jobs, learning, linear, tables
 
-    return [tables.catalog, analysis.catalog, learning.catalog, jobs.catalog, linear.catalog]
+    return [tables.catalog, analysis.catalog, learning.catalog, jobs.catalog, linear.catalog, contracts.catalog]

@@ -8,12 +8,12 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketry.operators import checks, gold
+from ticketry.operators import checks, gold, sketches
 from ticketry.operators.clean import clean
 from ticketry.schema import SILVER_COLUMNS, SILVER_SCHEMA, Rules
 from ticketry.sources.lake import Lake
 
-BRONZE, SILVER = "incidentes_raw", "incidentes_tratados"
+BRONZE, SILVER, SKETCHES = "incidentes_raw", "incidentes_tratados", "incidentes_diario_esbocos"
 
 
 def load_silver(lake: Lake, rules: Rules = Rules()) -> int:
@@ -40,6 +40,11 @@ def load_gold(lake: Lake, rules: Rules = Rules()) -> dict[str, int]:
     return lake.replace_all("gold", tables, {name: {"total": total} for name, df in tables.items() if "total_incidentes" in df.columns})
 
 
+def load_sketches(lake: Lake) -> int:
+    """Rebuild the daily sketches of duration and of the two ids beside the gold tables: quantiles and distinct counts of any range."""
+    return lake.replace("gold", SKETCHES, sketches.daily(lake.table("silver", SILVER), ["data_abertura"], ["duracao_segundos"], ["numero", "item_configuracao"]))
+
+
 def validate(lake: Lake, source: DataFrame | None = None) -> list:
     """The gate between layers; raises with every failed check.
 

@@ -9,14 +9,32 @@ from pyspark.sql import types as T
 from ticketry.schema import INGEST_SEQ, SOURCE_COLUMNS
 
 
+def column_differences(found: list[str], expected: list[str]) -> tuple[list[str], list[str]]:
+    """(missing, unexpected) names."""
+    return sorted(set(expected) - set(found)), sorted(set(found) - set(expected))
+
+
 def check_columns(found: list[str], expected: list[str]) -> None:
     """Missing and unexpected columns are both errors. Metadata only, no job."""
-    missing = sorted(set(expected) - set(found))
-    extra = sorted(set(found) - set(expected))
+    missing, extra = column_differences(found, expected)
     if missing or extra:
         raise ValueError(f"source columns differ from the contract: missing {missing}, unexpected {extra}")
 
 
+def trimmed(df: DataFrame) -> DataFrame:
+    """Column names without blanks around them; two that become the same are an error."""
+    names = [c.strip() for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"column names differ in blanks only: {sorted(df.columns)}")
+    return df.toDF(*names)
+
+
+def without(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` without the listed columns; one that is not there is an error."""
+    require_columns(df, columns)
+    return df.drop(*columns)
+
+
 def require_columns(df: DataFrame, needed: list[str]) -> None:
     missing = sorted(set(needed) - set(df.columns))
     if missing:
