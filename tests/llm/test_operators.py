@@ -167,7 +167,7 @@ def test_vector_dedup_splits_large_buckets(spark):
     got = {r.vec_id: r for r in vector_dedup.near_duplicates(rows, block_rows=16).collect()}
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     linked = (unit @ unit.T >= 0.93) & (np.arange(len(x))[:, None] % 2 == np.arange(len(x)) % 2) & ~np.eye(len(x), dtype=bool)
-    root = vector_dedup.roots(len(x), *np.nonzero(linked))
+    root = components_module.roots(len(x), *np.nonzero(linked))
     assert all(got[i].n_links == linked[i].sum() and got[i].component_id == root[i] for i in range(len(x)))
 
 
@@ -185,7 +185,7 @@ def test_vectors_of_several_lengths_and_ids_under_several_labels(spark):
         return a @ b / np.sqrt((a @ a) * (b @ b)) if len(a) == len(b) else -2
 
     pairs = [(i, j) for i in range(len(rows)) for j in range(len(rows)) if i != j and rows[i][2] == rows[j][2] and cosine(rows[i][1], rows[j][1]) >= 0.93]
-    root = vector_dedup.roots(len(rows), *np.array(pairs).T)
+    root = components_module.roots(len(rows), *np.array(pairs).T)
     least = {r: min(rows[i][0] for i in range(len(rows)) if root[i] == r and rows[i][0] is not None) for r in set(root.tolist())}
     want = sorted((-1 if r[0] is None else r[0], sum(i == a for a, _ in pairs), least[root[i]], r[0] == least[root[i]]) for i, r in enumerate(rows))
     got = vector_dedup.near_duplicates(frame).collect()
@@ -203,7 +203,7 @@ def test_components_equal_a_local_search(spark):
     random = np.random.default_rng(2)
     a, b = random.integers(0, 300, 220), random.integers(0, 300, 220)
     links = spark.createDataFrame([(int(i), int(j)) for i, j in zip(a, b, strict=True)] + [(None, 5), (7, 7), *[(1000 + i, 1001 + i) for i in range(40)]], "a long, b long")
-    want = vector_dedup.roots(300, a, b)
+    want = components_module.roots(300, a, b)
     got = {r.node: r.root for r in components.components(links).collect()}
     assert all(got.get(i, i) == want[i] for i in range(300)) and all(got[1000 + i] == 1000 for i in range(41))
 
@@ -300,7 +300,7 @@ def brute_groups(texts, percent=90, width=3):
     sets = [sets_of(t, width) for t in texts]
     pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
     i, j = (np.array(p, int) for p in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int),) * 2
-    return vector_dedup.roots(len(sets), i, j), [len(s) for s in sets]
+    return components_module.roots(len(sets), i, j), [len(s) for s in sets]
 
 
 @pytest.mark.parametrize("blocks", [{}, {"block_docs": 4, "leaders": 1}])
@@ -337,13 +337,22 @@ def test_components_in_one_task_and_in_rounds(spark, monkeypatch, few):
     assert components_module.components(links.limit(0)).count() == 0
 
 
-def test_segments_are_run_through_in_their_order():
-    rows = [(1, 4), (1, 9), (2, 3), (3, 2), (3, 5), (3, 6), (4, 1)]
-    for size in (1, 2, 3, 7):
+@pytest.mark.parametrize("held", [1 << 20, 3])
+def test_holders_are_counted_in_one_pass(monkeypatch, held):
+    monkeypatch.setattr(shingle_join, "HELD", held)
+    random = np.random.default_rng(3)
+    rows = sorted({(int(s), int(c)) for s, c in zip(random.integers(0, 30, 90), random.integers(0, 12, 90), strict=True)} | {(7, c) for c in range(40)})
+    rows = sorted([*rows, *rows[::5]])
+    holders = {s: len({c for t, c in rows if t == s}) for s, _ in rows}
+    for size in (1, 2, 3, 7, 500):
         batches = [pa.record_batch([pa.array([s for s, _ in part]), pa.array([c for _, c in part])], names=["segment", "class"])
                    for part in (rows[i:i + size] for i in range(0, len(rows), size))]
-        got = [tuple(r.values()) for b in shingle_join.next_of_segment(iter(batches)) for r in b.to_pylist()]
-        assert got == [(9, 4), (5, 2), (6, 2)]
+        got = [r for b in shingle_join.shared_segments(iter(batches)) for r in b.to_pylist()]
+        assert {(r["segment"], r["class"]) for r in got} == {(s, c) for s, c in rows if holders[s] > 1}
+        # repetitions count before a segment has more rows than wait, not in its number of holders otherwise
+        assert all(r["holders"] == min(holders[r["segment"]], held) for r in got if held > 3 or holders[r["segment"]] * 2 < 3)
+        for s in {r["segment"] for r in got}:
+            assert len({r["holders"] for r in got if r["segment"] == s}) == 1
 
 
 def test_shingle_join_of_odd_documents(odd, none):
@@ -383,7 +392,7 @@ def test_pipeline_stage_takes_five_words_and_80_percent(spark):
     words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")) for r in rows]
     fives = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
     pairs = [(i, j) for i in range(len(rows)) for j in range(i) if fives[i] and 100 * len(fives[i] & fives[j]) >= 80 * len(fives[i] | fives[j])]
-    root = vector_dedup.roots(len(rows), *(np.array(p, int) for p in zip(*pairs, strict=True)))
+    root = components_module.roots(len(rows), *(np.array(p, int) for p in zip(*pairs, strict=True)))
     kept = corpus_pipeline.keep_one_of_each(spark, table(spark, FOLDER, "documents"), FOLDER)
     assert sorted(r.doc_id for r in kept.collect()) == [r.doc_id for n, r in enumerate(rows) if root[n] == n]
 

@@ -4,15 +4,17 @@ The global order of shingles is that of their 64-bit hashes. It is cut into frag
 segment per fragment. A pair with Jaccard similarity of ``percent`` / 100 differs in a bounded number of shingles, fewer
 than there are fragments for its size, so at least one segment is the same in both: only documents with an equal segment
 are compared. There are more fragments per size class than the bound asks for (the larger document decides the class; one
-near the next class carries that class's segments too). By that surplus a document may leave out its thinnest segments,
-those up to some number of shingles, which documents share by chance: of a pair's equal segments, those that either
-leaves out are fewer than all. No pair above the threshold is missed.
-
-Documents with equal sets are one class. Equal segments join classes into candidate groups (each class with the first one
-of the segment, in one pass over the sorted segments, then connected components), and the texts of groups of two and more are brought together once. There the
-overlaps are counted fragment by fragment and summed per pair. A group beyond one block is dealt into blocks: each block
-is compared inside and with a few leaders of its group; what is not yet connected with the largest part of its group is
-then compared with all blocks. Nothing lists the pairs of a group.
+near the next class carries that class's segments too). By that surplus a document may leave out two kinds of segments that
+documents share by chance: its thinnest, up to some number of shingles, and of those that others hold too its commonest, down
+to some number of holders. Size and holders are the same for both documents of a pair, so what either leaves out is what the
+one with the further limit leaves out: fewer segments than they share. No pair above the threshold is missed.
+
+Documents with equal sets are one class. Segments are shuffled once and their holders counted in one pass over their order.
+Equal segments join classes into candidate groups (a minimum by segment, then connected components), and the texts of groups
+of two and more are brought together once. There the overlaps are counted fragment by fragment and summed per pair. A group beyond one
+block is dealt into blocks: each block is compared inside and with a few leaders of its group; what is not yet connected
+with the largest part of its group is dealt into blocks of its own, which are compared with all blocks. Nothing lists the
+pairs of a group.
 
 Defined cases: null text is an empty one; texts without words have no set, n_shingles 0 and their own component; with
 fewer words than a shingle the whole sequence is the one shingle; repeated rows and ids come out as often, an id on several
@@ -37,6 +39,8 @@ from ticketry.llm.components import components, roots
 GROWTH = 1.6
 #: The largest table of chosen rows that is sent to every task instead of shuffling all texts to it.
 BROADCAST_ROWS = 2_000_000
+#: Size classes that a segment's name has room for, and the rows of one segment that wait in a task's memory.
+SIZE_CLASSES, HELD = 64, 1 << 20
 #: Classes that a task remembers, so that copies of a text don't give its segments again.
 MET_CLASSES = 1 << 19
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -70,27 +74,28 @@ def size_classes(most: int, percent: int) -> list[int]:
     return ends
 
 
-def fragments(high: int, percent: int) -> tuple[int, int]:
-    """(fragments, surplus) for pairs whose larger set has less than ``high`` shingles."""
+def fragments(high: int, percent: int) -> tuple[int, int, int]:
+    """(fragments, thin, common) for pairs whose larger set has less than ``high`` shingles: of its segments a document may leave
+    out ``thin`` for their size and ``common`` for their frequency."""
     needed = 2 * (high - 1) * (100 - percent) // (100 + percent) + 1
-    surplus = 2 + needed // 4
-    return needed + surplus, surplus
+    thin, common = 2 + needed // 3, 1 + needed // 8
+    return needed + thin + common, thin, common
 
 
 def segments(sets: np.ndarray, percent: int, ends: list[int]) -> np.ndarray:
-    """Hashes of the segments of a set, for each size class in which a pair with it can fall."""
+    """Hashes of the segments of a set, for each size class in which a pair with it can fall; the lowest bits are the class."""
     n, made = len(sets), []
     own = np.searchsorted(ends, n, "right") - 1
     largest = np.searchsorted(ends, n * 100 // percent, "right") - 1
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(sets), dtype=np.uint64)])
         for c in range(max(0, own), largest + 1) if n else ():
-            count, surplus = fragments(ends[c + 1], percent)
+            count, budget, _ = fragments(ends[c + 1], percent)
             at = np.searchsorted((sets >> np.uint64(32)) * np.uint64(count) >> np.uint64(32), np.arange(count + 1, dtype=np.uint64))
             part = _mixed((sums[at[1:]] - sums[at[:-1]]) + _ODD[0] * (np.arange(count, dtype=np.uint64) + np.uint64(c << 32)))
             held = at[1:] - at[:-1]
-            thin = int(np.searchsorted(np.cumsum(np.bincount(held)), surplus, "right"))  # sizes below leave out no more than the surplus
-            made.append(part[held >= thin])
+            thin = int(np.searchsorted(np.cumsum(np.bincount(held)), budget, "right"))  # sizes below leave out no more than the budget
+            made.append((part[held >= thin] & ~np.uint64(SIZE_CLASSES - 1)) | np.uint64(c))
     return np.concatenate(made) if made else np.zeros(0, np.uint64)
 
 
@@ -129,19 +134,38 @@ def links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tupl
     return np.nonzero(100 * common >= percent * (size - common))
 
 
-def next_of_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, low): each class of a segment with the first one of it, from rows (segment, class) in their order."""
-    last, low = None, None
+def shared_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, segment, holders) of segments that several classes hold, from rows (segment, class) in their order.
+
+    The rows of a segment wait for its end, 16 bytes each. Where ``HELD`` of them wait they are given out, and all rows of
+    that segment get that number of holders.
+    """
+    def counted(segment: np.ndarray, name: np.ndarray, over: int | None) -> pa.RecordBatch:
+        new = np.concatenate([[True], segment[1:] != segment[:-1]])
+        first = new | np.concatenate([[True], name[1:] != name[:-1]])  # a class that comes twice is one holder
+        segment, name, new = segment[first], name[first], new[first]
+        holders = np.diff(np.append(np.flatnonzero(new), len(segment)))
+        holders = np.minimum(np.repeat(holders, holders), HELD)
+        if over is not None:
+            holders[segment == over] = HELD
+        some = holders > 1
+        return pa.record_batch([pa.array(name[some], pa.int64()), pa.array(segment[some], pa.int64()), pa.array(holders[some], pa.int64())], names=["class", "segment", "holders"])
+
+    waiting, over = [np.zeros(0, np.int64), np.zeros(0, np.int64)], None
     for batch in batches:
-        if not batch.num_rows:
+        segment, name = (np.concatenate([a, batch.column(c).to_numpy()]) for a, c in zip(waiting, ("segment", "class"), strict=True))
+        if not len(segment):
             continue
-        segment, name = batch.column("segment").to_numpy(), batch.column("class").to_numpy()
-        new = np.concatenate([[segment[0] != last], segment[1:] != segment[:-1]])
-        start = np.maximum.accumulate(np.where(new, np.arange(len(name)), -1))
-        first = np.where(start < 0, 0 if low is None else low, name[start])
-        last, low = segment[-1], first[-1]
-        some = first != name
-        yield pa.record_batch([pa.array(name[some], pa.int64()), pa.array(first[some], pa.int64())], names=["class", "low"])
+        end = int(np.searchsorted(segment, segment[-1]))  # rows are sorted: the last segment may go on
+        if end:
+            yield counted(segment[:end], name[:end], over)
+        waiting = [segment[end:], name[end:]]
+        if len(waiting[0]) >= HELD or segment[-1] == over:
+            over = int(segment[-1])
+            yield counted(*waiting, over)
+            waiting = [a[:0] for a in waiting]
+    if len(waiting[0]):
+        yield counted(*waiting, over)
 
 
 def row_key() -> Column:
@@ -187,18 +211,26 @@ def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int
     rows = written(made.select("doc_id", "key", "n", "class"), "rows")
     # equal sets are one class; its text is that of the row with the smallest key
     classes = rows.where("n > 0").groupBy("class", "n").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
-    # segments are shuffled once and run through in their order, so a common one needs no memory
+    # segments are shuffled once; only those that several classes hold go on, without the commonest ones of each class
     segment = made.select("class", F.explode("segments").alias("segment")).repartition("segment").sortWithinPartitions("segment", "class")
-    met = segment.mapInArrow(next_of_segment, "class long, low long").distinct()
+    shared = segment.mapInArrow(shared_segments, "class long, segment long, holders long")
+    size_class, ends = F.col("segment").bitwiseAND(F.lit(SIZE_CLASSES - 1)).cast("int"), size_classes(1 << 40, percent)
+    common = F.lit([fragments(e, percent)[2] for e in ends[1:SIZE_CLASSES + 1]])
+    as_common = Window.partitionBy("class", size_class).orderBy(F.desc("holders")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    shared = shared.withColumn("rank", F.count("*").over(as_common)).where(F.col("rank") > F.get(common, size_class))
+    shared = written(shared.select("class", "segment"), "shared")
+    dropped(made)
+    low = shared.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("segment", "low")
+    met = shared.join(low, "segment").where("class != low").select("class", "low").distinct()
     candidate = components(met, "class", "low").select(F.col("node").alias("class"), F.col("root").alias("cand"))
 
     members = written(candidate.join(classes, "class"), "candidates")
-    dropped(made)
+    dropped(shared)
     sizes = members.groupBy("cand").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int")
     members = members.join(sizes.select("cand", blocks.alias("blocks")), "cand").withColumn(
         "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    members = written(members.select("class", "key", "cand", "blocks", "block"), "members")
+    members = written(members.select("class", "key", "n", "cand", "blocks", "block"), "members")
 
     def verified(placed: DataFrame) -> DataFrame:
         """(class, root) of linked classes, from rows (class, key, cand, pieces, side); side 1 is compared with side 0 only."""
@@ -255,17 +287,19 @@ def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int
     linked = written(verified(members.join(lead, "class", "left").select("class", "key", "cand", spots.alias("pieces"), F.lit(0).alias("side"))), "first")
     final = written(components(linked, "class", "root").select(F.col("node").alias("class"), "root"), "round")
 
-    # second round: what is outside the largest part of a large group, with all blocks of that group
+    # second round: what is outside the largest part of a large group, in blocks of its own, with all blocks of that group
     large = large.join(final, "class", "left").withColumn("root", F.coalesce("root", "class"))
     main = large.groupBy("cand", "root").agg(F.count("*").alias("docs")).groupBy("cand").agg(F.max(F.struct("docs", "root"))["root"].alias("main"))
     outside = written(large.join(main, "cand").where("root != main").drop("root", "main"), "outside")
-    if not outside.isEmpty():
-        # piece (b, u): the rows of block b as side 0, those outside of block u as side 1
-        held = outside.groupBy("cand").agg(F.collect_set(F.col("block").cast("long")).alias("held"))
-        left = members.join(held, "cand").select("class", "key", "cand", F.transform(
-            "held", lambda u: F.col("block").cast("long") * F.col("blocks") + u).alias("pieces"), F.lit(0).alias("side"))
-        right = outside.select("class", "key", "cand", F.transform(
-            every, lambda b: b * F.col("blocks") + F.col("block")).alias("pieces"), F.lit(1).alias("side"))
+    sizes = outside.groupBy("cand").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / block_shingles)).cast("long").alias("parts"))
+    sizes = written(sizes, "outside-sizes")
+    if not sizes.isEmpty():
+        # piece (b, u): the rows of block b as side 0, part u of those outside as side 1
+        of_part = lambda b, u: b * F.col("parts") + u
+        left = members.join(sizes, "cand").select("class", "key", "cand", F.transform(
+            F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda u: of_part(F.col("block").cast("long"), u)).alias("pieces"), F.lit(0).alias("side"))
+        right = outside.join(sizes, "cand").select("class", "key", "cand", F.transform(
+            every, lambda b: of_part(b, F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")))).alias("pieces"), F.lit(1).alias("side"))
         linked = linked.unionByName(written(verified(left.unionByName(right)), "second"))
         final = components(linked, "class", "root").select(F.col("node").alias("class"), "root")
 
