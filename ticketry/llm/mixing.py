@@ -136,7 +136,8 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     planned = written(plan(docs, **how).where(F.size("copies") > 0).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("rows").alias("_rows"),
         F.size(F.filter("copies", lambda n: n >= F.col("rows"))).alias("_times"), F.array_min("copies").alias("_least")), "planned")
-    taken = docs.join(planned.where("_times > 0"), docs["doc_id"].eqNullSafe(planned["_id"]) & docs["source"].eqNullSafe(planned["_source"])
+    # the plan has a row per document: it is never broadcast, so the join is the same at every size
+    taken = docs.join(planned.where("_times > 0").hint("merge"), docs["doc_id"].eqNullSafe(planned["_id"]) & docs["source"].eqNullSafe(planned["_source"])
                       & (n_words(docs["text"]) == planned["_size"]))
     taken = taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
     for unit in planned.where("_least < _rows").collect():  # the budget ends in one unit and epoch at most

@@ -184,7 +184,7 @@ def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch.filter(pa.array(new, pa.bool_()))
 
 
-def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int = 512, block_shingles: int = 1 << 20, leaders: int = 8) -> DataFrame:
+def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int = 1024, block_shingles: int = 1 << 20, leaders: int = 8) -> DataFrame:
     """doc_id, key, n_shingles, root, component_id per row of ``docs``; root names the group, null without words."""
     if not 50 <= percent < 100:
         raise ValueError("percent must be from 50 to 99")
