@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketry.operators import terms as TM
-from ticketry.plans import boosting as BT, linear_text as LT, ridge as RD, solvers, tickets_ml as ML, volume as V
+from ticketry.plans import boosting as BT, forest as FO, linear_text as LT, ridge as RD, solvers, tickets_ml as ML, volume as V
 
 TEXTS = ["Disco cheio no servidor", "usuário sem acesso", "Disco lento", "acesso negado ao usuário", "servidor é lento x", "", None, "Disco cheio no servidor"]
 
@@ -292,3 +292,60 @@ def test_a_lost_worker_starts_from_the_first_tree():
     BT._MARGINS.clear()
     assert (BT.margins_so_far("k", codes, trees, 3) == kept).all()
     assert (BT.margins_so_far("k", codes, trees[:2], 3) == BT.BoostedModel(3, {}, {}, trees[:2]).margins(codes)).all()
+
+
+def test_a_tree_equals_a_plain_version():
+    """All columns are tried, so that nothing is drawn: one row per pair of codes, two classes, an empty pair between them."""
+    rng = np.random.default_rng(3)
+    codes = np.array([(a, b) for a in range(-1, 4) for b in range(-1, 5)])
+    w = rng.integers(0, 6, (len(codes), 2)).astype(float)
+    equal = [True, False]
+
+    def gini(x):
+        return x.sum() - (x * x).sum() / x.sum() if x.sum() else 0.0
+
+    def plain(rows, depth):
+        total = w[rows].sum(axis=0)
+        tests = [(0, v, codes[rows, 0] == v) for v in range(4)] + [(1, v, codes[rows, 1] > v) for v in range(-1, 5)]
+        found = [(gini(total) - gini(w[rows[r]].sum(axis=0)) - gini(w[rows[~r]].sum(axis=0)), c, v, r) for c, v, r in tests if w[rows[r]].any() and w[rows[~r]].any()]
+        top = max(found, key=lambda x: round(x[0], 9), default=(0,))
+        if depth == 0 or top[0] <= 1e-9:
+            return total / total.sum()
+        left, right = plain(rows[~top[3]], depth - 1), plain(rows[top[3]], depth - 1)
+        if isinstance(left, np.ndarray) and isinstance(right, np.ndarray) and left.argmax() == right.argmax():
+            return total / total.sum()
+        return top[1], top[2], left, right
+
+    def at(tree, row):
+        while isinstance(tree, tuple):
+            c, v, left, right = tree
+            tree = right if (row[c] == v if equal[c] else row[c] > v) else left
+        return tree
+
+    everything = lambda rng, nodes, columns: np.ones((nodes, columns), bool)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(FO, "_tried", everything)
+        for depth in (1, 2, 5, 30):
+            tree, expected = FO.grow(codes, w, [4, 5], equal, depth, rng), plain(np.flatnonzero(w.any(axis=1)), depth)
+            np.testing.assert_allclose(tree.votes(codes, np.array(equal)), np.stack([at(expected, row) for row in codes.tolist()]))
+    drawn = FO._tried(rng, 50, 30)
+    assert (drawn.sum(axis=1) == 6).all() and drawn.any(axis=0).all()
+
+
+def test_forests_grow_from_the_different_rows(spark, monkeypatch):
+    """Repeats are counts, no tree is fitted by passes over the rows, and more different rows than allowed go to Spark's own forest."""
+    rows = spark.range(4000).selectExpr("if(id % 7 = 0, null, concat('p', id % 3)) AS p", "cast(id % 50 AS double) AS z",
+                                        "CASE WHEN id % 3 = 1 AND id % 50 > 20 THEN 'a' WHEN id % 50 > 35 THEN 'b' ELSE 'c' END AS y")
+    what, how = ML.TextFeatures(None, ("p",), ("z",)), ML.TextModel("forest", trees=20, balanced=True)
+    fitted = ML.fit(rows, "y", what, how)
+    assert isinstance(fitted.model, FO.ForestModel)
+    scored = ML.score(fitted, rows.unionByName(rows.limit(5).selectExpr("'unknown' AS p", "cast(null AS double) AS z", "y")))
+    known = scored.where("p IS NOT NULL AND p != 'unknown'").agg(F.avg((F.col("y") == F.col("previsto")).cast("int")), F.count(F.lit(1))).first()
+    assert scored.count() == 4005 and known[0] > 0.9 and known[1] > 3000
+    one = scored.withColumn("votes", F.aggregate("ranking", F.lit(0.0), lambda a, x: a + x["score"]))
+    assert one.where("abs(votes - 20) > 1e-6").count() == 0
+    again = {tuple(r) for r in ML.score(ML.fit(rows, "y", what, how), rows).select("p", "z", F.to_json("ranking")).distinct().collect()}
+    assert again == {tuple(r) for r in ML.score(fitted, rows).select("p", "z", F.to_json("ranking")).distinct().collect()}
+    monkeypatch.setattr(FO, "MOST_CELLS", 10)
+    rest = ML.fit(rows.where("p IS NOT NULL"), "y", what, ML.TextModel("forest", trees=2, depth=3))
+    assert not isinstance(rest.model, FO.ForestModel) and ML.score(rest, rows.where("p IS NOT NULL")).count() > 3000

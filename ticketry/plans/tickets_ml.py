@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ticketry.functions import columns as C
 from ticketry.functions import text as T
 from ticketry.operators import baselines, metrics, novelty
-from ticketry.plans import boosting as BT, linear_text as LT, registry
+from ticketry.plans import boosting as BT, forest as FO, linear_text as LT, registry
 from ticketry.schema import Rules
 from ticketry.session import keep, settled
 
@@ -185,7 +185,7 @@ class TextModel:
 class FittedText:
     """A fitted matrix and classifier; ``labels`` maps class numbers to class names."""
 
-    model: PipelineModel | LT.LinearModel | BT.BoostedModel
+    model: PipelineModel | LT.LinearModel | BT.BoostedModel | FO.ForestModel
     labels: list[str]
     what: TextFeatures = field(default_factory=TextFeatures)
 
@@ -210,6 +210,8 @@ def fit_all(train: DataFrame, label: str, what: TextFeatures, hows: Sequence[Tex
     for i, how in enumerate(hows):
         if how.kind == "boosted":
             out[i] = _fit_boosted(train, label, what, how)
+        elif how.kind == "forest" and not what.text and what.columns and (fitted := _fit_forest(train, label, what, how)):
+            out[i] = fitted
     if others := [i for i in range(len(hows)) if i not in out]:
         out |= dict(zip(others, _fit_stages(train, label, what, [hows[i] for i in others]), strict=True))
     return [out[i] for i in range(len(hows))]
@@ -228,6 +230,20 @@ def _fit_boosted(train: DataFrame, label: str, what: TextFeatures, how: TextMode
     return FittedText(model, labels, what)
 
 
+def _fit_forest(train: DataFrame, label: str, what: TextFeatures, how: TextModel) -> FittedText | None:
+    """Whole trees side by side where the different rows are few; None where they are not, which is work for Spark's own forest."""
+    per_label = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
+    labels, total = sorted(per_label), sum(per_label.values())
+    place = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(i))])
+    found = {c: sorted(r[0] for r in train.select(F.col(c).cast("string").alias("v")).where("v IS NOT NULL").distinct().collect()) for c in what.categories}
+    categories, numbers = {c: {v: i for i, v in enumerate(values)} for c, values in found.items()}, FO.borders(train, what.numbers)
+    cells, few = FO.cells(train, F.element_at(place, F.col(label)), len(labels), categories, numbers)
+    if not few:
+        return None
+    weights = [total / (len(labels) * per_label[v]) if how.balanced else 1.0 for v in labels]
+    return FittedText(FO.fit(cells, weights, categories, numbers, how.trees, how.depth), labels, what)
+
+
 def _fit_stages(train: DataFrame, label: str, what: TextFeatures, hows: Sequence[TextModel]) -> list[FittedText]:
     """Spark's own classifiers on a matrix of vectors, which is cached meanwhile."""
     weights = [c for c in ("peso",) if any(how.balanced for how in hows)]
@@ -279,7 +295,8 @@ def score(fitted: FittedText, rows: DataFrame, out: str = "previsto") -> DataFra
     """
     labels = F.array(*[F.lit(x) for x in fitted.labels])
     if not isinstance(fitted.model, PipelineModel):
-        scored, scores = (LT if isinstance(fitted.model, LT.LinearModel) else BT).with_margins(fitted.model, rows), F.col("_margins")
+        by = LT if isinstance(fitted.model, LT.LinearModel) else FO if isinstance(fitted.model, FO.ForestModel) else BT
+        scored, scores = by.with_margins(fitted.model, rows), F.col("_margins")
     else:
         scored, scores = fitted.model.transform(rows), _margins(fitted.model.stages)
     by_rank = F.array_sort(F.arrays_zip(F.transform(scores, lambda x: -x).alias("menos"), labels.alias("classe")))
