@@ -349,3 +349,39 @@ def test_forests_grow_from_the_different_rows(spark, monkeypatch):
     monkeypatch.setattr(FO, "MOST_CELLS", 10)
     rest = ML.fit(rows.where("p IS NOT NULL"), "y", what, ML.TextModel("forest", trees=2, depth=3))
     assert not isinstance(rest.model, FO.ForestModel) and ML.score(rest, rows.where("p IS NOT NULL")).count() > 3000
+
+
+def test_rows_that_differ_in_the_label_only_are_one(spark):
+    rows = spark.range(60).selectExpr("concat('disco ', id % 2) AS t", "if(id % 4 = 0, null, 'p') AS p", "concat('c', id % 5) AS y")
+    made = LT.matrix(rows, "y", ML.TextFeatures("t", ("p",), (), 1, 1, None))
+    frame = made.frame.collect()
+    assert len(frame) == 3 and sum(sum(r["times"]) for r in frame) == 60 and all(list(r["label"]) == [0, 1, 2, 3, 4] for r in frame)
+    plain = [([j for j in r["indices"]], [v for v in r["values"]], y, n) for r in frame for y, n in zip(r["label"], r["times"], strict=True)]
+    each = spark.createDataFrame(plain, "indices array<int>, values array<double>, label int, times long")
+    problems = [solvers.Problem("hinge", 1.0, (1.0, 2.0, 1.0, 1.0, 3.0), 1), solvers.Problem("softmax", 1.0, (1.0, 2.0, 1.0, 1.0, 3.0))]
+    with solvers.Matrix(made.frame, made.features, 5) as a, solvers.Matrix(each, made.features, 5) as b:
+        for x, y in zip(solvers.solve(a, problems, 1e-9), solvers.solve(b, problems, 1e-9), strict=True):
+            assert x.loss == pytest.approx(y.loss) and x.w == pytest.approx(y.w, abs=1e-6)
+
+
+def test_sums_meet_before_the_driver(spark, monkeypatch):
+    """However many tasks hold blocks, one array a pass is collected."""
+    from pyspark import RDD
+    monkeypatch.setattr(solvers, "BLOCK_ENTRIES", 20)
+    frame, x, *_ = sample(spark)
+    got, real = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: got.append(real(self)) or got[-1])
+    with solvers.Matrix(frame.repartition(70), x.shape[1], 3) as blocks:
+        assert blocks.blocks.getNumPartitions() == 70
+        total = blocks.sums(lambda block: [block.times.copy(), np.array([len(block.starts)])][1:])
+    assert int(total[0][0]) == 400 and [len(g) for g in got] == [1]
+
+
+def test_hinge_rows_weigh_as_often_as_they_occur(spark, monkeypatch):
+    rows = spark.range(600).selectExpr("CASE id % 3 WHEN 0 THEN 'disco cheio' WHEN 1 THEN 'rede fora' ELSE 'senha' END AS t", "concat('c', if(id % 20 = 0, 0, id % 3)) AS y", "'p' AS p")
+    seen, real = [], ML.keep
+    monkeypatch.setattr(ML, "keep", lambda df: seen.append(df.count()) or real(df))
+    for balanced in (False, True):
+        fitted = ML.fit(rows, "y", ML.TextFeatures("t", ("p",), (), 1, 1, 100), ML.TextModel("hinge", balanced=balanced, max_iter=20))
+        wrong = ML.score(fitted, rows).where("previsto != y").count()
+        assert wrong == 20 and seen[-1] <= 9

@@ -84,6 +84,9 @@ def matrix(train: DataFrame, label: str, what) -> Matrix:
     rows = settled(rows.groupBy("_label", *keys).agg(F.count(F.lit(1)).alias("times")))
     per_label = {r["_label"]: r["n"] for r in rows.groupBy("_label").agg(F.sum("times").alias("n")).collect()}
     labels = sorted(per_label)
+    place = F.element_at(F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(i))]), F.col("_label")) if labels else F.lit(0)
+    cells = F.array_sort(F.collect_list(F.struct(place.alias("label"), "times")))
+    rows = rows.groupBy(*keys).agg(cells.alias("_cells")) if keys else rows.agg(cells.alias("_cells")).where("size(_cells) > 0")
 
     terms, n_terms, spark = None, 0, train.sparkSession
     if what.text:
@@ -105,8 +108,7 @@ def matrix(train: DataFrame, label: str, what) -> Matrix:
     indices = F.concat(F.coalesce("indices", none("int")) if what.text else none("int"), places, F.array(*[F.lit(first + i) for i in range(len(numbers))]).cast("array<int>"))
     values = F.concat(F.coalesce("values", none("double")) if what.text else none("double"), F.transform(places, lambda x: F.lit(1.0)),
                       F.array(*[number(i) for i in range(len(numbers))]).cast("array<double>"))
-    place = F.element_at(F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(i))]), F.col("_label")) if labels else F.lit(0)
-    frame = settled(rows.select(indices.alias("indices"), values.alias("values"), place.alias("label"), "times"))
+    frame = settled(rows.select(indices.alias("indices"), values.alias("values"), F.col("_cells.label").alias("label"), F.col("_cells.times").alias("times")))
     return Matrix(terms, spark.createDataFrame(known, VALUES), frame, first + len(numbers), n_terms, len(known), labels, [per_label[v] for v in labels])
 
 

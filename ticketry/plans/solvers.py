@@ -5,19 +5,21 @@ loss and gradient of all problems that are still running, classes and settings a
 coefficients, one number per feature and class, are on the driver. A matrix of one block (``BLOCK_ENTRIES`` entries at
 most) is one task anyway: its passes run one after the other inside that task, by the same code.
 
-Rows carry the number of times they occur, so equal rows are one.
+Rows carry the number of times they occur with each label, so equal rows are one, whatever their labels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Generator, Iterator, Sequence
 from dataclasses import dataclass, field
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 BLOCK_ENTRIES = 1 << 18
 
@@ -25,11 +27,15 @@ BLOCK_ENTRIES = 1 << 18
 # -- blocks -------------------------------------------------------------------------------
 @dataclass
 class Block:
-    """Compressed rows: entries of row i stand at starts[i] to starts[i + 1]; each row ends with the constant feature."""
+    """Compressed rows: entries of row i stand at starts[i] to starts[i + 1]; each row ends with the constant feature.
+
+    Row of[j] occurs times[j] times with label[j].
+    """
 
     starts: np.ndarray
     indices: np.ndarray
     values: np.ndarray
+    of: np.ndarray
     label: np.ndarray
     times: np.ndarray
 
@@ -44,9 +50,9 @@ class Block:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], constant: int) -> Iterator[pa.RecordBatch]:
-    names = ("starts", "indices", "values", "label", "times")
+    names = ("starts", "indices", "values", "of", "label", "times")
     for batch in batches:
-        rows = list(zip(*[batch.column(c).to_pylist() for c in ("indices", "values", "label", "times")], strict=True))
+        rows = list(zip(*[batch.column(c).to_pylist() for c in ("indices", "values", "labels", "times")], strict=True))
         while rows:
             size, n = 0, 0
             while n < len(rows) and (n == 0 or size + len(rows[n][0]) < BLOCK_ENTRIES):
@@ -55,18 +61,19 @@ def _encode(batches: Iterator[pa.RecordBatch], constant: int) -> Iterator[pa.Rec
             part, rows = rows[:n], rows[n:]
             lengths = np.array([len(r[0]) + 1 for r in part])
             made = (np.cumsum(lengths) - lengths, np.concatenate([[*r[0], constant] for r in part]), np.concatenate([[*r[1], 1.0] for r in part]),
-                    np.array([r[2] for r in part]), np.array([r[3] for r in part]))
-            kinds = ("<i8", "<i4", "<f8", "<i4", "<f8")
+                    np.repeat(np.arange(n), [len(r[2]) for r in part]), np.concatenate([r[2] for r in part]), np.concatenate([r[3] for r in part]))
+            kinds = ("<i8", "<i4", "<f8", "<i4", "<i4", "<f8")
             yield pa.record_batch([pa.array([a.astype(k).tobytes()], pa.binary()) for a, k in zip(made, kinds, strict=True)], names=list(names))
 
 
 def _decode(row) -> Block:
-    kinds = {"starts": "<i8", "indices": "<i4", "values": "<f8", "label": "<i4", "times": "<f8"}
+    kinds = {"starts": "<i8", "indices": "<i4", "values": "<f8", "of": "<i4", "label": "<i4", "times": "<f8"}
     return Block(**{c: np.frombuffer(row[c], k) for c, k in kinds.items()})
 
 
 class Matrix:
-    """Blocks of a frame with indices, values, label (class number) and times. Use as a context: blocks are released at its end.
+    """Blocks of a frame with indices, values, label (class number) and times, or both as lists of one length. Use as a context: blocks
+    are released at its end.
 
     The frame is read twice: for its size, which says how many tasks it takes, and for the blocks.
     """
@@ -74,10 +81,12 @@ class Matrix:
     def __init__(self, rows: DataFrame, features: int, classes: int) -> None:
         self.features, self.classes = features, classes
         constant = features  # the place behind the last feature
-        frame = rows.select(F.col("indices").cast("array<int>"), F.col("values").cast("array<double>"), F.col("label").cast("int"), F.col("times").cast("double"))
+        listed = F.col if isinstance(rows.schema["label"].dataType, ArrayType) else F.array
+        frame = rows.select(F.col("indices").cast("array<int>"), F.col("values").cast("array<double>"), listed("label").cast("array<int>").alias("labels"),
+                            listed("times").cast("array<double>").alias("times"))
         entries = frame.agg(F.sum(F.size("indices") + 1)).first()[0] or 0
         self.tasks = max(1, -(-entries // BLOCK_ENTRIES))
-        coded = frame.coalesce(self.tasks).mapInArrow(lambda batches: _encode(batches, constant), "starts binary, indices binary, values binary, label binary, times binary")
+        coded = frame.coalesce(self.tasks).mapInArrow(lambda batches: _encode(batches, constant), "starts binary, indices binary, values binary, of binary, label binary, times binary")
         self.blocks = coded.rdd.map(_decode).persist(StorageLevel.MEMORY_AND_DISK)
         self.context = rows.sparkSession.sparkContext
 
@@ -88,17 +97,25 @@ class Matrix:
         self.blocks.unpersist()
 
     def sums(self, of, *given) -> list[np.ndarray]:
-        """The sums of the arrays ``of(block, *given)`` over all blocks."""
+        """The sums of the arrays ``of(block, *given)`` over all blocks. They meet on the executors: the driver gets them once a pass."""
         shared = self.context.broadcast(given)
         parts = self.blocks.mapPartitions(lambda blocks: [total] if (total := added(blocks, of, shared.value)) is not None else [])
         try:
-            if self.blocks.getNumPartitions() <= 32:
-                return [sum(arrays) for arrays in zip(*parts.collect(), strict=True)]
-            return parts.treeReduce(lambda a, b: [x + y for x, y in zip(a, b, strict=True)], depth=3)
+            if (n := self.blocks.getNumPartitions()) > 64:
+                parts = _met(parts, ceil(sqrt(n)))
+            if n > 1:
+                parts = _met(parts, 1)
+            return parts.collect()[0]
         finally:
             shared.destroy()
 
 
+def _met(parts, n: int):
+    """The arrays of ``parts`` added up to those of ``n`` tasks."""
+    dealt = parts.mapPartitionsWithIndex(lambda i, found: ((i % n, arrays) for arrays in found))
+    return dealt.reduceByKey(lambda a, b: [x + y for x, y in zip(a, b, strict=True)], n).values()
+
+
 class Local:
     """The same inside a task: blocks in its memory."""
 
@@ -141,21 +158,21 @@ class Problem:
             weight = np.where(np.arange(len(weight)) == self.target, weight, 1.0)
         return weight[label]
 
-    def at(self, margins: np.ndarray, label: np.ndarray, times: np.ndarray) -> tuple[float, np.ndarray]:
+    def at(self, margins: np.ndarray, of: np.ndarray, label: np.ndarray, times: np.ndarray) -> tuple[float, np.ndarray]:
         """Loss and its derivative by the margins."""
-        s = self.c * self.row_weights(label) * times
+        s, n = self.c * self.row_weights(label) * times, len(margins)
         if self.loss == "hinge":
-            y = np.where(label == self.target, 1.0, -1.0)
-            short = np.maximum(0.0, 1.0 - y * margins[:, 0])
-            return float((s * short * short).sum()), (-2.0 * s * y * short)[:, None]
+            mine = label == self.target
+            of_class, of_rest = np.bincount(of, s * mine, n), np.bincount(of, s * ~mine, n)
+            low, high = np.maximum(0.0, 1.0 - margins[:, 0]), np.maximum(0.0, 1.0 + margins[:, 0])
+            return float((of_class * low * low + of_rest * high * high).sum()), (2.0 * (of_rest * high - of_class * low))[:, None]
         top = margins.max(axis=1, keepdims=True)
         e = np.exp(margins - top)
         total = e.sum(axis=1, keepdims=True)
-        rows = np.arange(len(label))
-        slope = e / total
-        loss = (s * (np.log(total[:, 0]) + top[:, 0] - margins[rows, label])).sum()
-        slope[rows, label] -= 1.0
-        return float(loss), s[:, None] * slope
+        k, whole = margins.shape[1], np.bincount(of, s, n)
+        told = np.bincount(of * k + label, s, n * k).reshape(n, k)
+        loss = (whole * (np.log(total[:, 0]) + top[:, 0])).sum() - (told * margins).sum()
+        return float(loss), whole[:, None] * e / total - told
 
 
 @dataclass
@@ -220,15 +237,15 @@ def lbfgs(x: np.ndarray, scale: np.ndarray, tolerance: float, most: int, memory:
 
 def _squares(block: Block, problems: Sequence[Problem], d: int) -> list[np.ndarray]:
     """Sums of squares per feature, weighted as each problem weights its rows."""
-    r = np.stack([p.c * p.row_weights(block.label) * block.times for p in problems], axis=1)
-    return [Block(block.starts, block.indices, block.values**2, block.label, block.times).spread(r, d)]
+    r = np.stack([np.bincount(block.of, p.c * p.row_weights(block.label) * block.times, len(block.starts)) for p in problems], axis=1)
+    return [Block(block.starts, block.indices, block.values**2, block.of, block.label, block.times).spread(r, d)]
 
 
 def _pass(block: Block, problems: Sequence[Problem], w: np.ndarray) -> list[np.ndarray]:
     """Losses and gradients of the problems at their columns of ``w``."""
     margins, slopes, losses, at = block.margins(w), [], [], 0
     for p in problems:
-        loss, slope = p.at(margins[:, at:at + p.columns], block.label, block.times)
+        loss, slope = p.at(margins[:, at:at + p.columns], block.of, block.label, block.times)
         losses.append(loss)
         slopes.append(slope)
         at += p.columns
