@@ -170,9 +170,11 @@ class TextModel:
     def linear(self) -> bool:
         return self.kind in ("svc", "logistic")
 
-    def estimator(self, rows: int):
+    def estimator(self, rows: int, times: str | None = None):
+        """Spark's classifier for so many rows; ``times``: the column that says how many of them one stands for."""
         weight = {"weightCol": "peso"} if self.balanced else {}
         if self.kind == "hinge":
+            weight = weight or ({"weightCol": times} if times else {})
             one = LinearSVC(regParam=1.0 / (self.c * max(rows, 1)), maxIter=self.max_iter, standardization=False)
             return OneVsRest(classifier=one, labelCol="_y", featuresCol="features", parallelism=4, **weight)
         if self.kind == "forest":
@@ -245,16 +247,23 @@ def _fit_forest(train: DataFrame, label: str, what: TextFeatures, how: TextModel
 
 
 def _fit_stages(train: DataFrame, label: str, what: TextFeatures, hows: Sequence[TextModel]) -> list[FittedText]:
-    """Spark's own classifiers on a matrix of vectors, which is cached meanwhile."""
+    """Spark's own classifiers on a matrix of vectors, which is cached meanwhile.
+
+    For margins, equal rows are one that weighs as often as it occurs; a forest draws its rows one by one.
+    """
     weights = [c for c in ("peso",) if any(how.balanced for how in hows)]
     if weights:
         train = train.join(F.broadcast(baselines.class_weights(train, label)), label)
     index = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc", handleInvalid="error").fit(train)
     matrix = fit_features(train, what)
-    ready = keep(matrix.transform(index.transform(train)).select("features", "_y", *weights))
+    n, rows, times = train.count(), train, []
+    if all(how.kind == "hinge" for how in hows):
+        rows = train.groupBy(label, *dict.fromkeys(c for c in what.columns if c != label), *weights).agg(F.count(F.lit(1)).cast("double").alias("_times"))
+        times = ["_times"]
+    each = F.col("_times") if times else F.lit(1.0)
+    ready = keep(matrix.transform(index.transform(rows)).select("features", "_y", *times, *[(F.col(c) * each).alias(c) for c in weights]))
     try:
-        n = ready.count()
-        return [FittedText(PipelineModel([*matrix.stages, *_scoring_stages(how.estimator(n).fit(ready))]), list(index.labels), what)
+        return [FittedText(PipelineModel([*matrix.stages, *_scoring_stages(how.estimator(n, *times).fit(ready))]), list(index.labels), what)
                 for how in hows]
     finally:
         ready.unpersist()
