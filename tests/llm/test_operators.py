@@ -1,6 +1,7 @@
 """Every operator on small hand-made tables: nulls, empty and very long texts, ties, repeated rows, empty tables, extra columns."""
 
 import hashlib
+import json
 import re
 import zlib
 
@@ -109,6 +110,36 @@ def test_bpe_equals_the_library(spark, odd, none):
         assert r.n_tokens == len(r.ids) and hashlib.sha256(r.text.encode()).hexdigest() == r.decoded_sha256
 
 
+def test_bpe_pieces_equal_the_library_for_any_mix_of_characters():
+    from tokenizers import Tokenizer
+
+    plain, work, random = Tokenizer.from_str(bpe.tokenizer_text()), bpe.ChunkCoder(bpe.tokenizer_text(), memo_words=300), np.random.default_rng(5)
+    marks = [*"\x00\x1c\x1d\x85\xa0\u0301\u0308\u0327\u0483\u0488\u1100\u1161\u11a8\u2000\u2028\u200d\u212b\u2c65ΣςσΑİıẞßǅⅫ①२中😀", "\r\n", "\x0b"]
+    parts = [*bpe.ASKED, *marks, *["'s", "'RE", "'Ll", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|", "it's", "Übér", "12", "--", " ", "\t", "\n"] * 20]
+    texts = [*bpe.ASKED, *marks, *(a + b for a in "eß7«" for b in bpe.ASKED), *("".join(random.choice(parts, n)) for n in random.integers(1, 60, 1500))]
+    texts.append(" ".join(texts))
+    for text in texts:
+        assert np.frombuffer(work.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_bpe_merges_a_piece_once_for_all_words_that_hold_it():
+    work = bpe.ChunkCoder(bpe.tokenizer_text())
+    stems = [a + b for a in ("haus", "étage", "niño", "дом", "word") for b in ("ab", "cd", "ef", "gh")]
+    ends = ["", ",", ".", "!", "?", ";", ":", ")", "'s", "-x", "###", "»"]
+    words = [shape(stem) + end for stem in stems for end in ends for shape in (str.lower, str.upper, str.title)]
+    assert work.encode(" ".join(words)) and len(work.words) + len(work.old_words) <= len(stems) + 2 * len(ends)
+
+
+def test_bpe_with_other_rules_leaves_all_words_to_the_library():
+    from tokenizers import Tokenizer
+
+    spec = json.loads(bpe.tokenizer_text())
+    spec["normalizer"] = {"type": "Sequence", "normalizers": spec["normalizer"]["normalizers"][:2]}
+    plain, work = Tokenizer.from_str(json.dumps(spec)), bpe.ChunkCoder(json.dumps(spec))
+    text = "The THE the, it's Ünder ÜNDER 12x " * 100
+    assert not work.pieces.known("the") and np.frombuffer(work.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_chunks_are_shared_and_follow_the_content():
     cuts = bpe.RollingCuts(bits=6, window=8, least=16)
     passage = " ".join(f"word{i * 7919 % 1000}" for i in range(2000)).encode()

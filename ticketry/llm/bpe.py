@@ -7,7 +7,12 @@ the left chunk to the first of the right one. This tokenizer drops white space b
 reaches over it and from there outwards the joined encoding agrees exactly with that of the whole text. A chunk without
 white space widens the join by the whole chunk, until there is some or the text ends.
 
-Chunks and words are kept per worker, in memory of a fixed bound, so texts never cross a shuffle and a lost executor
+The tokenizer lower-cases a text and cuts it into runs of letters, single digits and runs of other characters; merges stay
+inside such a piece. So a piece is merged once per worker and serves every word that holds it, in either case and beside
+any punctuation. Pieces are cut here where each character stands for itself (most Latin and Cyrillic letters, ASCII, common
+punctuation, as the tokenizer's own parts say); a word with any other character, or with a special token, goes to the library whole.
+
+Chunks and pieces are kept per worker, in memory of a fixed bound, so texts never cross a shuffle and a lost executor
 costs only its own tasks.
 
 Defined cases: null text is encoded as an empty one (no ids); repeated rows come out as often; any other column is kept
@@ -18,6 +23,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +37,15 @@ from ticketry.llm.common import give_back, small_batches
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 BLANKS = b" \t\n\r\x0b\x0c"
+#: Characters that may be cut into pieces here; the tokenizer is asked about each.
+ASKED = [chr(c) for a, b in ((0x21, 0x7F), (0xA1, 0x250), (0x400, 0x530), (0x2010, 0x2028)) for c in range(a, b)]
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: How a tokenizer must change and cut texts for it; with another one, all words go to the library.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 _PRIME, _GOLDEN = 0x9E3779B97F4A7C55, np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,6 +81,45 @@ class RollingCuts:
         return cuts
 
 
+class PieceCuts:
+    """Cuts words into the pieces that the tokenizer's normalizer and word pattern make of them."""
+
+    def __init__(self, tokenizer, tokenizer_json: str) -> None:
+        spec = json.loads(tokenizer_json)
+        added = spec.get("added_tokens") or []
+        self.special = [t["content"] for t in added]
+        self.bytes: dict[int, str] = {}
+        kinds: dict[str, list[str]] = {"letter": [], "number": [], "other": []}
+        if (spec.get("normalizer"), spec.get("pre_tokenizer")) == (NORMALIZER, PRE_TOKENIZER) and not any(t["normalized"] for t in added):
+            for c in ASKED:
+                low = c.lower()
+                if low in ASKED and not unicodedata.combining(c) and unicodedata.is_normalized("NFC", c) and tokenizer.normalizer.normalize_str(c) == low:
+                    ends = [end for _, (_, end) in tokenizer.pre_tokenizer.pre_tokenize_str(f"a{low}!")]
+                    kinds["letter" if ends == [2, 3] else "other" if ends == [1, 3] else "number"] += {c, low}
+                    self.bytes[ord(low)] = "".join(piece for piece, _ in tokenizer.pre_tokenizer.pre_tokenize_str(low))
+        letters, numbers, others = ("".join(map(re.escape, kinds[k])) for k in kinds)
+        self.plain = re.compile(rf"[{letters}{numbers}{others} \t\n\r\x0b\x0c]*")
+        self.pattern = re.compile(PIECES.replace(r"\p{L}", letters).replace(r"\p{N}", numbers)) if self.bytes else None
+
+    def known(self, text: str) -> bool:
+        """Whether all characters stand for themselves and no special token is in between."""
+        return self.pattern is not None and self.plain.fullmatch(text) is not None and not any(t in text for t in self.special)
+
+    def __call__(self, data: bytes) -> tuple[list[str], set[str]]:
+        """Pieces in order, and those among them that are whole words for the library."""
+        text = data.decode()
+        if self.known(text):
+            return self.pattern.findall(text.lower()), set()
+        made, whole = [], set()
+        for word in [w.decode() for w in data.split()]:
+            if self.known(word):
+                made += self.pattern.findall(word.lower())
+            else:
+                made.append(word)
+                whole.add(word)
+        return made, whole
+
+
 class ChunkCoder:
     """Encodes texts to ids (little-endian uint32, as bytes) and decodes them.
 
@@ -82,26 +138,31 @@ class ChunkCoder:
         self.memo_bytes, self.memo_words = memo_bytes, memo_words
         self.chunks: dict[bytes, tuple | None] = {}
         self.old_chunks: dict[bytes, tuple | None] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.old_words: dict[bytes, bytes] = {}
+        self.pieces = PieceCuts(self.tokenizer, tokenizer_json)
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.held = self.reused = self.encoded = 0
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Encode words that aren't known, all in one call; a token belongs to the word that holds its first character."""
-        plain = [w.decode() for w in words]
-        made = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-        starts = np.cumsum([0, *[len(w) + 1 for w in plain]])
+        made = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
         offsets = np.array(made.offsets, np.int64).reshape(-1, 2)[:, 0]
         ends = (4 * np.searchsorted(offsets, starts[1:], "left")).tolist()
         raw = np.array(made.ids, "<u4").tobytes()
         self.words |= {w: raw[a:b] for w, a, b in zip(words, [0, *ends], ends, strict=False)}
 
+    def _merge(self, piece: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(piece.translate(self.pieces.bytes))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _encode(self, data: bytes) -> bytes:
         """A piece that starts and ends at white space or at the ends of the text."""
-        parts = data.split()
-        known = self.words
-        if new := {w for w in parts if w not in known}:
-            known |= {w: self.old_words[w] for w in new if w in self.old_words}
+        parts, whole = self.pieces(data)
+        known, old = self.words, self.old_words
+        if new := set(parts).difference(known):
+            known |= {w: old[w] if w in old else self._merge(w) for w in new if w in old or w not in whole}
             if new := [w for w in new if w not in known]:
                 self._learn(new)
         ids = b"".join([known[w] for w in parts])
