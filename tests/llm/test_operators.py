@@ -352,6 +352,42 @@ def test_shingle_join_equals_brute_force(spark, blocks):
     assert all(got[i].component_id == root[i] and got[i].n_shingles == sizes[i] for i in range(len(texts)))
 
 
+def chained_texts():
+    """Texts that share most of their words with the next, too few to be near copies, and twenty near copies among them."""
+    texts = [" ".join([f"w{n + i}" for i in range(53)] + [f"own{n}x{i}" for i in range(9)]) for n in range(120)]
+    return texts + [t.replace(f"own{n}x8", f"new{n}") for n, t in enumerate(texts[:20])]
+
+
+def test_a_group_that_chance_holds_together_is_parted(spark, monkeypatch):
+    tables, kept = {}, shingle_join.written
+    monkeypatch.setattr(shingle_join, "written", lambda df, name: tables.setdefault(name, []).append(kept(df, name)) or tables[name][-1])
+    texts = chained_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in shingle_join.groups(docs, block_docs=16, leaders=1).collect()}
+    root, _ = brute_groups(texts)
+    assert [got[i] for i in range(len(texts))] == root.tolist() and (root != np.arange(len(texts))).sum() == 20
+    # one group before; its texts without a partner go no further, and nothing is compared with all blocks
+    assert tables["candidates"][0].groupBy("cand").count().agg({"count": "max"}).first()[0] > 100
+    assert tables["members"][0].count() == 40 and "second" not in tables
+    # rows that go to every task, and so through the driver, have numbers only, however many blocks they stand for
+    assert {kind for t in tables["placed"] for _, kind in t.dtypes} == {"bigint"}
+
+
+@pytest.mark.parametrize("marks", [1 << 10, 1 << 25])
+def test_more_rows_than_the_driver_may_hold_are_shuffled(spark, monkeypatch, marks):
+    monkeypatch.setattr(shingle_join, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(shingle_join, "MARKS", marks)
+    monkeypatch.setattr(F, "broadcast", None)
+    texts = chained_texts()
+    root, _ = brute_groups(texts)
+    docs = spark.createDataFrame([*enumerate(texts), *list(enumerate(texts))[::3], (None, texts[0]), (None, "alone"), (None, "alone")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in shingle_join.groups(docs, block_docs=16, leaders=1).collect() if r.doc_id is not None}
+    assert [got[i] for i in range(len(texts))] == root.tolist()
+    kept = shingle_join.representatives(docs, block_docs=16, leaders=1).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id is not None) == [(i, t) for i, t in enumerate(texts) if root[i] == i]
+    assert [r.text for r in kept if r.doc_id is None] == ["alone"]
+
+
 @pytest.mark.parametrize("few", [0, 1 << 18])
 def test_components_in_one_task_and_in_rounds(spark, monkeypatch, few):
     monkeypatch.setattr(components_module, "FEW", few)

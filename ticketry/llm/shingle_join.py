@@ -10,12 +10,18 @@ to some number of holders. Size and holders are the same for both documents of a
 one with the further limit leaves out: fewer segments than they share. No pair above the threshold is missed.
 
 Documents with equal sets are one class. Segments are shuffled once and their holders counted in one pass over their order.
-Equal segments join classes into candidate groups (a minimum by segment, then connected components), and the texts of groups
+Equal segments join classes into candidate groups (a minimum by segment, then connected components). A group beyond one block is
+mostly held together by what short documents share by chance, and grows faster than the corpus. It is parted again, by its rarest
+shingles: two documents above the threshold share one of the first n - ceil(n * percent / 100) + 1 of each, ordered by the number of
+classes of the group that hold a shingle. The texts of groups
 of two and more are brought together once. There the overlaps are counted fragment by fragment and summed per pair. A group beyond one
 block is dealt into blocks: each block is compared inside and with a few leaders of its group; what is not yet connected
 with the largest part of its group is dealt into blocks of its own, which are compared with all blocks. Nothing lists the
 pairs of a group.
 
+The driver holds no table beyond ``BROADCAST_BYTES``. Where more rows are to meet the texts, a table of one bit per hash says which
+texts may be asked for, and only those are shuffled.
+
 Defined cases: null text is an empty one; texts without words have no set, n_shingles 0 and their own component; with
 fewer words than a shingle the whole sequence is the one shingle; repeated rows and ids come out as often, an id on several
 texts with the group of each; a null doc_id
@@ -37,8 +43,10 @@ from ticketry.llm.common import dropped, give_back, small_batches, written
 from ticketry.llm.components import components, roots
 
 GROWTH = 1.6
-#: The largest table of chosen rows that is sent to every task instead of shuffling all texts to it.
-BROADCAST_ROWS = 2_000_000
+#: The largest table of chosen rows that is sent to every task, and held by the driver for that, instead of shuffling texts to it.
+BROADCAST_BYTES = 32 << 20
+#: Bits of the table that tells beyond it which texts may be chosen.
+MARKS = 1 << 25
 #: Size classes that a segment's name has room for, and the rows of one segment that wait in a task's memory.
 SIZE_CLASSES, HELD = 64, 1 << 20
 #: Classes that a task remembers, so that copies of a text don't give its segments again.
@@ -99,6 +107,19 @@ def segments(sets: np.ndarray, percent: int, ends: list[int]) -> np.ndarray:
     return np.concatenate(made) if made else np.zeros(0, np.uint64)
 
 
+def held_by_several(lists: DataFrame) -> DataFrame:
+    """(class, segment, holders) of segments that several classes hold, from rows (class, segments); each segment is shuffled once."""
+    segment = lists.select("class", F.explode("segments").alias("segment")).repartition("segment").sortWithinPartitions("segment", "class")
+    return segment.mapInArrow(shared_segments, "class long, segment long, holders long")
+
+
+def joined(shared: DataFrame) -> DataFrame:
+    """(class, cand) of classes that rows (class, segment) connect."""
+    low = shared.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("segment", "low")
+    met = shared.join(low, "segment").where("class != low").select("class", "low").distinct()
+    return components(met, "class", "low").select(F.col("node").alias("class"), F.col("root").alias("cand"))
+
+
 def class_of(sets: np.ndarray) -> int:
     """The 64-bit name of a set, as a signed integer."""
     return xxhash.xxh3_64_intdigest(sets.tobytes()) - (1 << 63)
@@ -173,6 +194,22 @@ def row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), "text")
 
 
+def sent_whole(rows: DataFrame) -> bool:
+    """Whether a table of long columns is small enough to be broadcast."""
+    return rows.count() * (8 * len(rows.columns) + 24) <= BROADCAST_BYTES
+
+
+def marked(keys: DataFrame, name: str, key: Column) -> Column:
+    """Whether ``key`` may be among the hashes in column ``name`` of ``keys``: one bit of ``MARKS`` stands for its lowest bits."""
+    low = lambda k: k.bitwiseAND(F.lit(MARKS - 1))
+    word, bit = lambda k: F.shiftright(low(k), 6), lambda k: k.bitwiseAND(F.lit(63)).cast("int")
+    set_ = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col(name)))
+    words = keys.groupBy(word(F.col(name)).alias("id")).agg(F.bit_or(set_).alias("bits"))
+    words = keys.sparkSession.range(MARKS // 64).join(words, "id", "left").select(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("x"))
+    words = words.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["bits"]))
+    return F.call_function("bit_get", F.get(words.scalar(), word(key).cast("int")), bit(key)) == 1
+
+
 def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (class, side, tag, ...) without those whose three came before in the same task."""
     seen = set()
@@ -212,35 +249,71 @@ def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int
     # equal sets are one class; its text is that of the row with the smallest key
     classes = rows.where("n > 0").groupBy("class", "n").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
     # segments are shuffled once; only those that several classes hold go on, without the commonest ones of each class
-    segment = made.select("class", F.explode("segments").alias("segment")).repartition("segment").sortWithinPartitions("segment", "class")
-    shared = segment.mapInArrow(shared_segments, "class long, segment long, holders long")
+    shared = held_by_several(made)
     size_class, ends = F.col("segment").bitwiseAND(F.lit(SIZE_CLASSES - 1)).cast("int"), size_classes(1 << 40, percent)
     common = F.lit([fragments(e, percent)[2] for e in ends[1:SIZE_CLASSES + 1]])
     as_common = Window.partitionBy("class", size_class).orderBy(F.desc("holders")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     shared = shared.withColumn("rank", F.count("*").over(as_common)).where(F.col("rank") > F.get(common, size_class))
     shared = written(shared.select("class", "segment"), "shared")
     dropped(made)
-    low = shared.groupBy("segment").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("segment", "low")
-    met = shared.join(low, "segment").where("class != low").select("class", "low").distinct()
-    candidate = components(met, "class", "low").select(F.col("node").alias("class"), F.col("root").alias("cand"))
-
-    members = written(candidate.join(classes, "class"), "candidates")
+    members = written(joined(shared).join(classes, "class").select("class", "key", "n", "cand"), "candidates")
     dropped(shared)
-    sizes = members.groupBy("cand").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int")
-    members = members.join(sizes.select("cand", blocks.alias("blocks")), "cand").withColumn(
-        "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+
+    def sized(members: DataFrame) -> DataFrame:
+        """With the number of blocks of each group."""
+        sizes = members.groupBy("cand").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+        blocks = F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int")
+        return members.join(sizes.select("cand", blocks.alias("blocks")), "cand")
+
+    def with_texts(wanted: DataFrame) -> DataFrame:
+        """``wanted`` (key, ...) with the texts of its keys."""
+        texts = keyed.select("key", "text")
+        if sent_whole(wanted):
+            return texts.join(F.broadcast(wanted), "key")
+        return texts.where(marked(wanted, "key", F.col("key"))).join(wanted.hint("merge"), "key")
+
+    def rarest(wide: DataFrame) -> DataFrame:
+        """(class, segment) of the rarest shingles of classes (class, key, n, cand), as many as a pair shares one of; only those
+        that several classes of the group hold."""
+        def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met: set[int] = set()
+            for batch in batches:
+                names, made = [], []
+                for cand, name, text in zip(*(batch.column(c).to_pylist() for c in ("cand", "class", "text")), strict=True):
+                    if name in met:
+                        continue
+                    one = shingles(text, width)
+                    if class_of(one) == name:  # a key is a hash, so texts of two classes may share it
+                        names.append(name)
+                        made.append(_mixed(one ^ _mixed(np.array([cand]).view(np.uint64))).view("<i8"))
+                        if len(met) >= MET_CLASSES:
+                            met.clear()
+                        met.add(name)
+                yield pa.record_batch([pa.array(names, pa.int64()), pa.array(made, pa.list_(pa.int64()))], names=["class", "segments"])
+            give_back()
+
+        held = held_by_several(with_texts(wide.select("class", "key", "cand")).select("cand", "class", "text").mapInArrow(named, "class long, segments array<long>"))
+        held = held.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("holders", "segment"))).alias("held")).join(wide.select("class", "n"), "class")
+        # the shingles that no other class holds come before all others
+        first = F.slice("held", 1, F.greatest(F.lit(0), F.size("held") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+        return held.select("class", F.explode(F.transform(first, lambda x: x["segment"])).alias("segment"))
+
+    members = sized(members)
+    wide = written(members.where("blocks > 1").drop("blocks"), "wide")
+    if not wide.isEmpty():
+        rare = written(rarest(wide), "rare")
+        members = members.where("blocks = 1").unionByName(sized(wide.drop("cand").join(joined(rare), "class")).select(*members.columns))
+    members = members.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     members = written(members.select("class", "key", "n", "cand", "blocks", "block"), "members")
 
     def verified(placed: DataFrame) -> DataFrame:
-        """(class, root) of linked classes, from rows (class, key, cand, pieces, side); side 1 is compared with side 0 only."""
-        placed = written(placed, "placed")
-        few = placed.count() <= BROADCAST_ROWS
-        placed = keyed.select("key", "text").join(F.broadcast(placed) if few else placed, "key").select(
-            "cand", "pieces", "class", "side", F.hash("text").alias("tag"), "text")
+        """(class, root) of linked classes, from rows (class, key, cand, start, stop, step, side): pieces from start to stop, side 1
+        is compared with side 0 only."""
+        placed = with_texts(written(placed, "placed")).select(
+            "cand", "start", "stop", "step", "class", "side", F.hash("text").alias("tag"), "text")
         # a row that comes many times is sent once by each task
         placed = placed.mapInArrow(first_of_each, placed.schema)
-        placed = placed.select("cand", F.explode("pieces").alias("piece"), "class", "side", "text").repartition(
+        placed = placed.select("cand", F.explode(F.sequence("start", "stop", "step")).alias("piece"), "class", "side", "text").repartition(
             "cand", "piece").sortWithinPartitions("cand", "piece", "class")
 
         def piece(group: pd.DataFrame) -> pd.DataFrame | None:
@@ -282,9 +355,15 @@ def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int
     large = members.where("blocks > 1")
     place = F.row_number().over(Window.partitionBy("cand").orderBy(F.xxhash64("class"), "class"))
     lead = large.withColumn("place", place).where(F.col("place") <= leaders).select("class", F.lit(True).alias("leads"))
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)
-    spots = F.when(F.col("leads"), every).otherwise(F.array(F.col("block").cast("long")))
-    linked = written(verified(members.join(lead, "class", "left").select("class", "key", "cand", spots.alias("pieces"), F.lit(0).alias("side"))), "first")
+
+    def spots(start: Column, number: Column, step: Column, side: int) -> list:
+        """So many pieces from ``start`` on: three numbers, for a list of them would go to the driver with every row."""
+        start, number, step = (c.cast("long") for c in (start, number, step))
+        return ["class", "key", "cand", start.alias("start"), (start + (number - 1) * step).alias("stop"), step.alias("step"), F.lit(side).cast("long").alias("side")]
+
+    leads, one = F.col("leads").isNotNull(), F.lit(1)
+    linked = members.join(lead, "class", "left").select(*spots(F.when(leads, 0).otherwise(F.col("block")), F.when(leads, F.col("blocks")).otherwise(1), one, 0))
+    linked = written(verified(linked), "first")
     final = written(components(linked, "class", "root").select(F.col("node").alias("class"), "root"), "round")
 
     # second round: what is outside the largest part of a large group, in blocks of its own, with all blocks of that group
@@ -295,11 +374,8 @@ def grouped(docs: DataFrame, percent: int = 90, width: int = 3, block_docs: int
     sizes = written(sizes, "outside-sizes")
     if not sizes.isEmpty():
         # piece (b, u): the rows of block b as side 0, part u of those outside as side 1
-        of_part = lambda b, u: b * F.col("parts") + u
-        left = members.join(sizes, "cand").select("class", "key", "cand", F.transform(
-            F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda u: of_part(F.col("block").cast("long"), u)).alias("pieces"), F.lit(0).alias("side"))
-        right = outside.join(sizes, "cand").select("class", "key", "cand", F.transform(
-            every, lambda b: of_part(b, F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")))).alias("pieces"), F.lit(1).alias("side"))
+        left = members.join(sizes, "cand").select(*spots(F.col("block") * F.col("parts"), F.col("parts"), one, 0))
+        right = outside.join(sizes, "cand").select(*spots(F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")), F.col("blocks"), F.col("parts"), 1))
         linked = linked.unionByName(written(verified(left.unionByName(right)), "second"))
         final = components(linked, "class", "root").select(F.col("node").alias("class"), "root")
 
@@ -330,10 +406,13 @@ def representatives(docs: DataFrame, **how) -> DataFrame:
     keys = written(keys, "keys")
 
     def chosen(of: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-        """Beyond ``BROADCAST_ROWS`` keys both sides are shuffled."""
+        """Beyond ``BROADCAST_BYTES`` both sides are shuffled, of the rows those that may be among the keys."""
         right = rows.select(F.col("key").alias("_key"))
-        right = F.broadcast(right) if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else right
-        return of.join(right, row_key() == right["_key"], how)
+        if sent_whole(right):
+            return of.join(F.broadcast(right), row_key() == right["_key"], how)
+        may = marked(right, "_key", row_key())
+        found = of.where(may).join(right.hint("merge"), row_key() == right["_key"], how)
+        return found if how == "left_semi" else of.where(~may).unionByName(found)
 
     left = chosen(docs, keys.where("stays IS NULL"), "left_anti")
     several = keys.where("stays AND rows > 1")
